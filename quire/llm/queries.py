@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import encode as enc
+from quire.llm import markup as mk
 from quire.llm import mix as mx
 from quire.llm import neardup as nd
 from quire.llm import repeat as rp
+from quire.llm import scan as sc
 from quire.llm import sitelines as sl
 from quire.runtime import cut, ship, table
 
@@ -41,6 +43,58 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
     return out.select("chunk_id", "clean_text", F.col("removed").cast("bigint").alias("removed")).distinct()
 
 
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    """`file_id, doc_id, source, page_no, block_no, content` of every block of content_list_v2."""
+    files = table(spark, d, "content_list_v2").select("file_id", "doc_id", "source", F.posexplode("pages").alias("p", "page"))
+    blocks = files.select("file_id", "doc_id", "source", "p", F.posexplode("page").alias("b", "block"))
+    return blocks.select("file_id", "doc_id", "source", (F.col("p") + 1).alias("page_no"), (F.col("b") + 1).alias("block_no"), F.col("block.content").alias("content"))
+
+
+def _block_key():
+    return F.concat_ws(":", "file_id", "page_no", "block_no")
+
+
+def _scanned(spark: SparkSession, d: str) -> sc.Scanned:
+    chunks = table(spark, d, "kb_chunks").select(
+        F.lit("kb_chunks").alias("place"), F.col("chunk_id").alias("record_key"), "doc_id", F.col("doc_title").alias("title"), F.col("chunk_text").alias("text")
+    )
+    items = F.col("content.paragraph_content")
+    text = F.array_join(F.transform(items, lambda i: i["content"]), "")
+    blocks = _pages(spark, d).where(items.isNotNull()).select(F.lit("content_list_v2").alias("place"), _block_key().alias("record_key"), "doc_id", F.lit(None).cast("string").alias("title"), text.alias("text"))
+    return sc.Scanned(chunks.unionByName(blocks))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scanned(spark, d).found()
+
+
+def p4_clean(spark: SparkSession, d: str) -> DataFrame:
+    return _scanned(spark, d).repaired().distinct()
+
+
+def _marked_up(spark: SparkSession, d: str) -> mk.Markup:
+    chunks = table(spark, d, "kb_chunks").where(~F.col("content_type").eqNullSafe("formula"))
+    records = chunks.select(F.lit("kb_chunks").alias("place"), F.col("chunk_id").alias("record_key"), F.col("source").alias("host"), F.col("chunk_text").alias("text"))
+    blocks = _pages(spark, d).where("content is not null")
+    for field in ("html", "math_content"):
+        part = blocks.select(F.lit(field).alias("place"), _block_key().alias("record_key"), F.col("source").alias("host"), F.col(f"content.{field}").alias("text"))
+        records = records.unionByName(part.where("text is not null"))
+    return mk.Markup(records, mk.wrappers(records))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _marked_up(spark, d).found()
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    return _marked_up(spark, d).cleaned().distinct()
+
+
+def p5_wrappers(spark: SparkSession, d: str) -> DataFrame:
+    """The wrapper of each host and root element, as JSON of (label, quantifier, parts)."""
+    return _marked_up(spark, d).wraps
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return enc.encode(table(spark, d, "documents"), "doc_id", "text")
 
@@ -88,7 +142,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p2_found, p2_groups, p3_found, p3_lines, p3_clean, p6_ids, p6_round_trip, p7_mix, p7_shares, p8_found, p8_shares, p8_cutoffs, p8_heavy]
+    names = [p2_found, p2_groups, p3_found, p3_lines, p3_clean, p4_found, p4_clean, p5_found, p5_clean, p5_wrappers, p6_ids, p6_round_trip, p7_mix, p7_shares, p8_found, p8_shares, p8_cutoffs, p8_heavy]
 
     def ready(f: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
