@@ -10,14 +10,15 @@ sets reaches num/den.  The join is exact:
   l <= alpha it shares at least l among the first a-alpha+l and b-alpha+l runs.  Each text lengthens its
   prefix by its own l, the one with the least estimated cost: postings touched (from the sketch) plus
   verifications expected, which fall by RATE with every further match required.
-* Postings (run, class) meet in one equi-join; a meeting counts only if it lies within both prefixes
+* Postings (run, text) meet by run in one shuffle; a meeting counts only if it lies within both prefixes
   at the l of that pair, and a pair becomes a candidate at l or more meetings.
 * Runs that the sketch proves unique are never sent.
 * Candidates are verified on the texts themselves.
 
-Scale: the sketch and its broadcast have a fixed size whatever the input; the posting join and the
-count by pair are shuffles with partial aggregation, and hot runs are split by adaptive skew joins; the
-rarest-first order keeps runs that a third of all texts share out of nearly every prefix.
+Scale: the sketch and its broadcast have a fixed size whatever the input.  Texts are not shuffled to be
+posted.  A run in more than CELL texts (by the sketch) is spread over a grid of cells in which every pair of
+its texts meets exactly once; meetings are counted by pair with partial aggregation.  The rarest-first
+order keeps runs that a third of all texts share out of nearly every prefix.
 
 Defined results: null texts and texts under `min_words` words or without any run take no part; empty
 tables give no pairs; repeated rows of an id count once; if one id has several texts the smallest text
@@ -44,6 +45,8 @@ PIECES = 16
 MOST = 8
 #: Share of candidates that also have a further match, and cost of verifying one in postings touched.
 RATE, VERIFY = 0.12, 200.0
+#: Texts of one run that meet in one cell; hotter runs are spread over a grid of cells.
+CELL = 4096
 #: Classes up to this size are written out as all their pairs, larger ones as links to their representative.
 SPELLED = 64
 
@@ -52,6 +55,16 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (mix64(h) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
+def _fingerprints(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """One 64-bit fingerprint for each text's set of runs; 0 where it has none."""
+    fp = np.zeros(len(n), dtype=np.uint64)
+    has = n > 0
+    with np.errstate(over="ignore"):
+        if len(h):
+            fp[has] = mix64(np.add.reduceat(mix64(h + np.uint64(77)), (np.cumsum(n) - n)[has]))
+    return fp
+
+
 def profile(df: DataFrame, key: str, text: str, width: int, min_words: int) -> tuple[DataFrame, np.ndarray]:
     """One pass over the texts: `id, fp, n` of each row (materialised) and the counting sketch of all runs.
 
@@ -66,10 +79,7 @@ def profile(df: DataFrame, key: str, text: str, width: int, min_words: int) -> t
             np.add.at(sketch, _slot(h), 1)
             ids = pdf["_k"].to_numpy()
             has = n > 0
-            with np.errstate(over="ignore"):
-                fp = np.zeros(len(n), dtype=np.uint64)
-                if len(h):
-                    fp[has] = mix64(np.add.reduceat(mix64(h + np.uint64(77)), (np.cumsum(n) - n)[has]))
+            fp = _fingerprints(h, n)
             yield pd.DataFrame({"id": ids[has], "fp": fp[has].view(np.int64), "n": n[has].astype(np.int32), "piece": np.full(has.sum(), -1, np.int32), "counts": np.full(has.sum(), None, dtype=object)})
         full = np.minimum(sketch, 65535).astype(np.uint16)
         rows = [(i, zlib.compress(full[i * step : (i + 1) * step].tobytes(), 1)) for i in range(PIECES) if full[i * step : (i + 1) * step].any()]
@@ -118,31 +128,111 @@ def _prefixes(doc, h, n, sketch, num, den):
     return doc[keep], h[keep], pos[keep], ell
 
 
-def candidates(texts: DataFrame, sketch: np.ndarray, width: int, num: int, den: int) -> DataFrame:
-    """Candidate pairs `a, b` (class fingerprints, a < b) of `texts` (fp, text), one row for each class."""
-    held = texts.sparkSession.sparkContext.broadcast(sketch)
+def _cells(run: np.ndarray, tag: np.ndarray, at: np.ndarray, count: np.ndarray):
+    """Keys of postings: a run by itself, or, beyond CELL texts, a grid of cells that each pair meets in once.
 
-    def run(batches):
+    The texts of a hot run fall into `s` parts by their tag; a posting of part i goes to the cells
+    (i, j) of all j, lower part first; bit 8 of `at` marks the upper side of a mixed cell.
+    """
+    key = run << 16
+    parts = np.minimum(255, -(-count // CELL))
+    hot = np.flatnonzero(parts > 1)
+    if not len(hot):
+        return key, tag, at
+    s = parts[hot]
+    i = (mix64(tag[hot].astype(np.uint64)) % s.astype(np.uint64)).astype(np.int64)
+    who = np.repeat(np.arange(len(hot)), s)
+    j = np.arange(len(who)) - np.repeat(np.cumsum(s) - s, s)
+    me = i[who]
+    cell = (np.minimum(me, j) << 8) | np.maximum(me, j)
+    side = (me > j).astype(np.int64) << 8
+    cold = parts <= 1
+    return np.r_[key[cold], key[hot][who] | cell], np.r_[tag[cold], tag[hot][who]], np.r_[at[cold], at[hot][who] | side]
+
+
+def _meet(key: np.ndarray, tag: np.ndarray, at: np.ndarray, num: int, den: int):
+    """Meetings `a, b, need` of postings (whole groups of equal keys) that lie within both prefixes."""
+    o = np.lexsort((at, tag, key))
+    key, tag, at = key[o], tag[o], at[o]
+    new = np.r_[True, (key[1:] != key[:-1]) | (tag[1:] != tag[:-1]) | (at[1:] != at[:-1])]
+    key, tag, at = key[new], tag[new], at[new]  # copies of a text give equal postings
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.r_[first, len(key)])
+    follow = np.repeat(first + size, size) - np.arange(len(key)) - 1
+    n, pos, ell, side = at >> 36, (at >> 9) & 0x7FFFFFF, at & 255, (at >> 8) & 1
+    mixed = ((key >> 8) & 255) != (key & 255)
+    ends = np.cumsum(follow)
+    lo = 0
+    while lo < len(key):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + 2_000_000, side="right")))
+        f = follow[lo:hi]
+        x = np.repeat(np.arange(lo, hi), f)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(f) - f, f)
+        lo = hi
+        ok = den * np.minimum(n[x], n[y]) >= num * np.maximum(n[x], n[y])
+        ok &= ~mixed[x] | (side[x] != side[y])
+        x, y = x[ok], y[ok]
+        alpha = (num * (n[x] + n[y]) + num + den - 1) // (num + den)
+        need = np.minimum(np.minimum(ell[x], ell[y]), alpha)
+        ok = (pos[x] < n[x] - alpha + need) & (pos[y] < n[y] - alpha + need)
+        yield np.minimum(tag[x[ok]], tag[y[ok]]), np.maximum(tag[x[ok]], tag[y[ok]]), need[ok]
+
+
+def candidates(rows: DataFrame, key: str, text: str, sketch: np.ndarray, width: int, min_words: int, num: int, den: int) -> DataFrame:
+    """Candidate pairs of tags `a <= b` (a tag is the upper 40 bits of a class's fingerprint).
+
+    Every text of a scan partition is posted once for each class; equal postings of copies in other
+    partitions meet in one task, where they are made one.
+    """
+    held = rows.sparkSession.sparkContext.broadcast(sketch)
+
+    def post(batches):
+        done: set = set()
         for pdf in batches:
-            doc, h, n = shingles(pdf["text"].tolist(), width)
+            doc, h, n = shingles(pdf["_t"].tolist(), width, min_words)
             if not len(h):
                 continue
-            d, run_hash, pos, ell = _prefixes(doc, h, n, held.value, num, den)
-            yield pd.DataFrame({"run": (run_hash >> np.uint64(24)).astype(np.int64), "fp": pdf["fp"].to_numpy()[d], "at": (n[d] << 36) | (pos << 8) | ell[d]})
-
-    # run: 40 bits of the hash (a clash only adds a candidate); at: size, position and l packed
-    posts = texts.select("fp", "text").mapInPandas(run, "run bigint, fp bigint, at bigint")
-    a, b = posts.alias("a"), posts.alias("b")
-    both = a.join(b, (F.col("a.run") == F.col("b.run")) & (F.col("a.fp") < F.col("b.fp")))
-    na, nb = "shiftright(a.at, 36)", "shiftright(b.at, 36)"
-    pa, pb = "(shiftright(a.at, 8) & 268435455)", "(shiftright(b.at, 8) & 268435455)"
-    la, lb = "(a.at & 255)", "(b.at & 255)"
-    alpha = f"(({num} * ({na} + {nb}) + {num + den - 1}) div {num + den})"
-    need = f"least({la}, {lb}, {alpha})"
-    sized = f"{den} * least({na}, {nb}) >= {num} * greatest({na}, {nb})"
-    near = f"{pa} < {na} - {alpha} + {need} and {pb} < {nb} - {alpha} + {need}"
-    met = both.where(f"{sized} and {near}").selectExpr("a.fp as a", "b.fp as b", f"cast({need} as int) as need")
-    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
+            fp = _fingerprints(h, n)
+            fresh = np.zeros(len(n), dtype=bool)
+            for i in np.flatnonzero(n):
+                if fp[i] not in done:
+                    done.add(fp[i])
+                    fresh[i] = True
+            if len(done) > 1_000_000:
+                done.clear()
+            keep = fresh[doc]
+            doc, h, n = doc[keep], h[keep], np.where(fresh, n, 0)
+            d, run, pos, ell = _prefixes(doc, h, n, held.value, num, den)
+            at = (n[d] << 36) | (pos << 9) | ell[d]
+            tag = (fp >> np.uint64(24)).astype(np.int64)[d]
+            k, t, a = _cells((run >> np.uint64(25)).astype(np.int64) & 0x7FFFFFFFFF, tag, at, held.value[_slot(run)].astype(np.int64))
+            yield pd.DataFrame({"key": k, "tag": t, "at": a})
+
+    def meet(batches):
+        kept: list[np.ndarray] = []
+        held_rows = 0
+
+        def out(final: bool):
+            nonlocal kept, held_rows
+            all_rows = np.concatenate(kept) if kept else np.zeros((0, 3), np.int64)
+            cut_at = len(all_rows) if final else int(np.searchsorted(all_rows[:, 0], all_rows[-1, 0]))
+            ready, rest = all_rows[:cut_at], all_rows[cut_at:]
+            kept, held_rows = ([rest] if len(rest) else []), len(rest)
+            if len(ready):
+                for a, b, need in _meet(ready[:, 0], ready[:, 1], ready[:, 2], num, den):
+                    yield pd.DataFrame({"a": a, "b": b, "need": need.astype(np.int32)})
+
+        for pdf in batches:
+            kept.append(pdf[["key", "tag", "at"]].to_numpy())
+            held_rows += len(pdf)
+            if held_rows >= 200_000:
+                yield from out(False)
+        yield from out(True)
+
+    src = rows.select(F.col(text).alias("_t")).where(F.col(key).isNotNull() & F.col(text).isNotNull())
+    posts = src.mapInPandas(post, "key bigint, tag bigint, at bigint")
+    met = posts.repartition("key").sortWithinPartitions("key").mapInPandas(meet, "a bigint, b bigint, need int")
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("need").alias("need")).where("met >= need").select("a", "b")
 
 
 def _verified(pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -157,25 +247,33 @@ def _verified(pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 
 class NearDuplicates:
-    """`members` (id, fp, rep): classes of equal run sets; `pairs` (a, b, similarity): similar classes by fp."""
+    """`rows` (id, fp): the class of each id, possibly repeated; `pairs` (a, b, similarity): similar classes."""
+
+    def __init__(self, rows: DataFrame, pairs: DataFrame):
+        self.rows, self.pairs = rows, pairs
 
-    def __init__(self, members: DataFrame, pairs: DataFrame):
-        self.members, self.pairs = members, pairs
+    def members(self) -> DataFrame:
+        """`id, fp`, one row for each id."""
+        return self.rows.groupBy("id").agg(F.min("fp").alias("fp"))
 
 
 def near_duplicates(df: DataFrame, key: str = "chunk_id", text: str = "chunk_text", width: int = 5, num: int = 4, den: int = 5, min_words: int = 0) -> NearDuplicates:
     """Join all texts of `df` at Jaccard similarity num/den on runs of `width` words."""
     rows, sketch = profile(df, key, text, width, min_words)
-    members = rows.groupBy("id").agg(F.min("fp").alias("fp"))
-    reps = members.groupBy("fp").agg(F.min("id").alias("rep"))
-    # one row of text for each class
-    src = df.select(F.col(key).alias("rep"), F.col(text).alias("text")).where("text is not null")
-    texts = src.join(reps, "rep").dropDuplicates(["rep"]).select("fp", "text")
-    cand = cut(candidates(texts, sketch, width, num, den))
-    docs = cand.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(reps, "fp")
-    wanted = cut(bounded_join(src, docs, "rep").dropDuplicates(["fp"]).select("fp", "text"))
-    full = cand.join(wanted.select(F.col("fp").alias("a"), F.col("text").alias("ta")), "a").join(wanted.select(F.col("fp").alias("b"), F.col("text").alias("tb")), "b")
-    return NearDuplicates(members, cut(_verified(full.select("a", "b", "ta", "tb"), width, num, den)))
+    rows = rows.select("id", "fp")
+    cand = cut(candidates(df, key, text, sketch, width, min_words, num, den))
+    sides = cand.select("a", "b", F.posexplode(F.array("a", "b")).alias("side", "tag"))
+    tags = sides.select("tag").distinct()
+    tagged = rows.withColumn("tag", F.expr("shiftrightunsigned(fp, 24)"))
+    docs = bounded_join(tagged, tags, "tag").groupBy("fp", "tag").agg(F.min("id").alias("id"))
+    src = df.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null")
+    texts = bounded_join(src, docs, "id").dropDuplicates(["fp"])
+    near = sides.join(texts.select("tag", "fp", "text"), "tag")
+    # both texts of a pair side by side; equal tags of different classes give several
+    left, right = near.where("side = 0").select("a", "b", F.col("fp").alias("fa"), F.col("text").alias("ta")), near.where("side = 1").select("a", "b", F.col("fp").alias("fb"), F.col("text").alias("tb"))
+    both = left.join(right, ["a", "b"]).where("fa <> fb and (a <> b or fa < fb)")
+    full = both.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b"), "ta", "tb")
+    return NearDuplicates(rows, cut(_verified(full, width, num, den)))
 
 
 def spelled_pairs(found: NearDuplicates, spelled: int = SPELLED) -> DataFrame:
@@ -185,14 +283,18 @@ def spelled_pairs(found: NearDuplicates, spelled: int = SPELLED) -> DataFrame:
     at most `spelled` members; of a larger class the representative stands for the others, which are
     linked to it, so that no text loses a link and rows stay linear in the input.
     """
-    sized = found.members.groupBy("fp").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("rep"))
-    m = found.members.join(sized.where("size > 1"), "fp")
-    small, large = m.where(f"size <= {spelled}"), m.where(f"size > {spelled}")
+    many = found.rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    paired = found.pairs.select(F.explode(F.array("a", "b")).alias("fp"))
+    # ids of classes that have several rows or a similar class; every other id is alone
+    m = cut(bounded_join(found.rows, many.unionByName(paired).distinct(), "fp").distinct())
+    sized = m.groupBy("fp").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("rep"))
+    m = m.join(sized, "fp")
+    small, large = m.where(f"size between 2 and {spelled}"), m.where(f"size > {spelled}")
     inner = small.alias("x").join(small.alias("y"), (F.col("x.fp") == F.col("y.fp")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
     star = large.where("id <> rep").select(F.col("rep").alias("id_a"), F.col("id").alias("id_b"))
     same = inner.unionByName(star).withColumn("similarity", F.lit(1.0))
     # members that speak for their class in pairs with other classes
-    voices = found.members.join(sized, "fp").where(f"size <= {spelled} or id = rep").select("fp", "id")
+    voices = m.where(f"size <= {spelled} or id = rep").select("fp", "id")
     across = found.pairs.join(voices.select(F.col("fp").alias("a"), F.col("id").alias("x")), "a").join(voices.select(F.col("fp").alias("b"), F.col("id").alias("y")), "b")
     across = across.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity")
     return same.unionByName(across)
@@ -222,10 +324,11 @@ def groups(found: NearDuplicates, rounds: int = 50) -> DataFrame:
             break
         before = now
     root = edges.select(F.col("u").alias("fp"), F.col("v").alias("root"))
-    sized = found.members.groupBy("fp").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first"))
+    members = cut(found.members())
+    sized = members.groupBy("fp").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first"))
     both = found.pairs.select("a", "b").unionByName(found.pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     out = both.join(sized.select(F.col("fp").alias("b"), "size"), "b").groupBy(F.col("a").alias("fp")).agg(F.sum("size").alias("others"))
     cls = sized.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")).join(out, "fp", "left")
     name = cls.groupBy("root").agg(F.min("first").alias("group_id"))
     cls = cls.join(name, "root").select("fp", "group_id", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
-    return found.members.join(cls, "fp").select("id", "group_id", "links")
+    return members.join(cls, "fp").select("id", "group_id", "links")
