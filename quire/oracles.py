@@ -33,3 +33,219 @@ r AS (
 )
 SELECT DISTINCT file_id, CAST(page_no AS INTEGER) AS page_no, CAST(block_no AS INTEGER) AS block_no, field, CAST(list_no AS INTEGER) AS list_no, CAST(item_no AS INTEGER) AS item_no FROM r
 """
+
+# ---- shared pieces -----------------------------------------------------------------------------
+
+_WS = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[{_WS}]+|[{_WS}]+$', '', 'g')"
+
+
+def _clean(x: str) -> str:
+    x = f"regexp_replace({x}, ' +', ' ', 'g')"
+    x = rf"regexp_replace({x}, '\n[{_WS}]*\p{{Nd}}+[{_WS}]*\n', chr(10), 'g')"
+    x = rf"regexp_replace({x}, '\n[{_WS}]*\n[{_WS}]*\n+', chr(10) || chr(10), 'g')"
+    x = f"regexp_replace({x}, '<[^>]+>', '', 'g')"
+    x = rf"regexp_replace({x}, '(?i)www\.[a-zA-Z0-9.-]+\.(com|cn|net|org)', '', 'g')"
+    x = rf"regexp_replace({x}, '(?i)Copyright[{_WS}]*©?[{_WS}]*\p{{Nd}}{{4}}.*', '', 'g')"
+    x = rf"regexp_replace({x}, '(?i)All[{_WS}]+rights[{_WS}]+reserved', '', 'g')"
+    return _strip(x)
+
+
+def _title(x: str) -> str:
+    return f"regexp_replace({_strip(x)}, '[{_WS}]+', ' ', 'g')"
+
+
+def _inline(x: str) -> str:
+    return f"coalesce(array_to_string(list_transform(list_filter({x}, lambda i: i.type IN ('text', 'equation_inline')), lambda i: coalesce(i.content, '')), ''), '')"
+
+
+def _list_text(x: str) -> str:
+    inner = _inline("j.item_content")
+    return f"coalesce(array_to_string(list_filter(list_transform(list_filter({x}, lambda j: j.item_type = 'text'), lambda j: {inner}), lambda t: t <> ''), chr(10)), '')"
+
+
+_SKIP = rf"(?:contents[{_WS}]*$|table of contents[{_WS}]*$|list of figures[{_WS}]*$|list of tables[{_WS}]*$|rev\.[{_WS}]*[\p{{L}}\p{{N}}_]+|revision[{_WS}]*history[{_WS}]*$|document[{_WS}]*history[{_WS}]*$|change[{_WS}]*history[{_WS}]*$)"
+
+
+def _skips(x: str) -> str:
+    return f"coalesce(regexp_matches(lower({_title(x)}), '^[{_WS}]*{_SKIP}'), false)"
+
+
+_B = """
+pg AS (SELECT file_id, doc_id, unnest(pages) AS page, generate_subscripts(pages, 1) AS page_no FROM content_list_v2),
+bl AS (SELECT file_id, doc_id, page_no, unnest(page) AS block, generate_subscripts(page, 1) - 1 AS block_idx FROM pg),
+b AS (SELECT file_id, doc_id, CAST(page_no AS INTEGER) AS page_no, CAST(block_idx AS INTEGER) AS block_idx,
+  row_number() OVER (PARTITION BY file_id ORDER BY page_no, block_idx) AS block_index, block.type AS type, block.content AS content FROM bl),
+bi AS (SELECT *, 'p' || page_no || '_b' || block_index AS block_id FROM b)
+"""
+
+_DEPTH = 12
+
+_S = f"""
+{_B},
+t0 AS (SELECT *, coalesce(type = 'title', false) AS is_title, greatest(coalesce(content.level, 1), 1) AS lvl, {_inline("content.title_content")} AS title FROM bi),
+t1 AS (SELECT *, sum(is_title::int) OVER (PARTITION BY file_id ORDER BY block_index) AS k FROM t0),
+t2 AS (SELECT *, k + least(0, coalesce(min(CASE WHEN is_title THEN lvl - k END) OVER (PARTITION BY file_id ORDER BY block_index), 0)) AS depth FROM t1),
+t3 AS (SELECT *, {", ".join(f"last_value(CASE WHEN is_title AND depth = {j} THEN title END IGNORE NULLS) OVER (PARTITION BY file_id ORDER BY block_index) AS s{j}" for j in range(1, _DEPTH + 1))},
+  coalesce(last_value(CASE WHEN is_title THEN {_skips("title")} END IGNORE NULLS) OVER (PARTITION BY file_id ORDER BY block_index), false) AS skip FROM t2),
+s AS (SELECT *, array_to_string(list_slice([{", ".join(f"coalesce(s{j}, '')" for j in range(1, _DEPTH + 1))}], 1, CAST(depth AS BIGINT)), ' > ') AS section_title,
+  CASE WHEN is_title THEN 'title'
+       WHEN type IN ('page_header', 'page_footer', 'page_number', 'header', 'footer', 'page_aside_text') THEN 'noise'
+       WHEN skip AND type IN ('paragraph', 'list', 'table') THEN 'low_value'
+       WHEN type IN ('paragraph', 'list') THEN 'text' WHEN type = 'table' THEN 'table' WHEN type = 'image' THEN 'image'
+       WHEN type = 'equation_interline' THEN 'formula' ELSE 'unsupported' END AS route FROM t3)
+"""
+
+# ---- nested records ----------------------------------------------------------------------------
+
+_KIDS = f"""{_BLOCKS},
+item AS (SELECT file_id, page_no, block_no, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM (SELECT *, {_list("json_extract(content, '$.list_items')")} AS l FROM c)),
+kid AS (SELECT file_id, page_no, block_no, i, e, {_list("json_extract(e, '$.item_content')")} AS l FROM item WHERE json_type(e) <> 'NULL')
+"""
+SQL["p1_children"] = f"""{_KIDS}
+SELECT file_id, CAST(page_no AS INTEGER) AS page_no, CAST(block_no AS INTEGER) AS block_no, CAST(i AS INTEGER) AS list_no,
+  CAST(CASE WHEN json_type(e) = 'OBJECT' THEN coalesce(len(list_filter(l, lambda x: json_type(x) <> 'NULL')), 0) ELSE 0 END AS BIGINT) AS contents FROM kid
+"""
+
+# ---- sources and identity ----------------------------------------------------------------------
+
+_UUID = "-[a-f0-9]{8}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{12}$"
+_DT = rf"regexp_replace(regexp_replace(dir_name, '{_UUID}', ''), '\.pdf$', '')"
+SQL["doc_identity"] = f"SELECT file_id, {_DT} || '_' || substring(md5(dir_name), 1, 8) AS made_id, {_DT} AS made_title FROM content_list_v2"
+SQL["load_errors"] = "SELECT file_id, 'parse_errors' AS category FROM content_list_raw WHERE NOT coalesce(json_valid(body), false) OR json_type(CASE WHEN json_valid(body) THEN body END) = 'NULL'"
+SQL["source_roles"] = """
+SELECT doc_id, k AS role, coalesce(input_files_all[k], '') AS path, coalesce(input_files_used[k] IS NOT NULL, false) AS used
+FROM (SELECT doc_id, unnest(map_keys(input_files_all)) AS k, input_files_all, input_files_used FROM kb_manifest)
+"""
+SQL["shared_titles"] = "SELECT doc_title, count(DISTINCT doc_id) AS docs FROM kb_manifest WHERE doc_title IS NOT NULL GROUP BY 1 HAVING count(DISTINCT doc_id) > 1"
+_REL = "CASE WHEN starts_with(replace(coalesce({0}, ''), '\\', '/'), 'raw/') THEN substring(replace({0}, '\\', '/'), 5) ELSE replace(coalesce({0}, ''), '\\', '/') END"
+SQL["relative_paths"] = f"SELECT doc_id, {_REL.format('source_pdf')} AS pdf, {_REL.format('source_dir')} AS dir FROM kb_manifest"
+
+# ---- blocks, sections, routes --------------------------------------------------------------------
+
+SQL["block_ids"] = f"WITH {_B} SELECT file_id, page_no, block_idx, block_index, block_id, type FROM bi"
+SQL["inline_texts"] = f"""WITH {_B} SELECT file_id, block_id, {_inline("content.title_content")} AS title, {_inline("content.paragraph_content")} AS paragraph,
+  {_list_text("content.list_items")} AS list, {_inline("content.image_caption")} AS caption FROM bi"""
+SQL["clean_texts"] = f"""WITH a AS (SELECT DISTINCT chunk_id AS id, chunk_text AS t FROM kb_chunks UNION ALL SELECT CAST(doc_id AS VARCHAR), text FROM documents)
+SELECT id, {_clean("t")} AS clean FROM a"""
+SQL["token_counts"] = "SELECT doc_id, length(text) // 4 AS tokens FROM documents"
+SQL["section_paths"] = f"WITH {_S} SELECT file_id, block_id, CAST(depth AS BIGINT) AS depth, section_title FROM s"
+SQL["clean_titles"] = f"SELECT DISTINCT chunk_id, {_title('section_title')} AS title, {_skips('section_title')} AS skips FROM kb_chunks"
+SQL["routes"] = f"WITH {_S} SELECT file_id, route, count(*) AS blocks FROM s GROUP BY 1, 2"
+SQL["segments"] = f"""WITH {_S} SELECT file_id, block_id, CAST(coalesce(sum((route IN ('table', 'image', 'formula', 'unsupported'))::int)
+  OVER (PARTITION BY file_id ORDER BY block_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS segment FROM s"""
+
+# ---- packing -----------------------------------------------------------------------------------------
+
+SQL["merge_bins"] = """
+WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents WHERE text IS NOT NULL),
+t AS (SELECT doc_id, pos, length(line) // 4 AS n FROM l),
+r AS (
+  SELECT doc_id, pos, 0 AS bin, CASE WHEN n >= 300 THEN 0 ELSE n END AS used, n < 300 AS filled FROM t WHERE pos = 0
+  UNION ALL
+  SELECT t.doc_id, t.pos, CASE WHEN t.n < 300 AND r.filled AND r.used + t.n <= 700 THEN r.bin ELSE r.bin + 1 END,
+    CASE WHEN t.n >= 300 THEN 0 WHEN r.filled AND r.used + t.n <= 700 THEN r.used + t.n ELSE t.n END, t.n < 300
+  FROM r JOIN t ON t.doc_id = r.doc_id AND t.pos = r.pos + 1
+)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(bin AS INTEGER) AS bin FROM r
+"""
+
+# ---- tables ------------------------------------------------------------------------------------------
+
+_TB = rf"""
+{_B},
+h AS (SELECT file_id, block_id, content, list_transform(regexp_extract_all(coalesce(content.html, ''), '(?s)<tr>(.*?)</tr>', 1),
+    lambda r: list_transform(regexp_extract_all(r, '(?s)<t[dh]>(.*?)</t[dh]>', 1), lambda c: {_strip("regexp_replace(c, '<[^>]+>', '', 'g')")})) AS a FROM bi WHERE type = 'table'),
+tb AS (SELECT file_id, block_id, coalesce(a[1], []) AS headers, a[2:] AS rows, {_inline("content.table_caption")} AS caption, {_inline("content.table_footnote")} AS footnote FROM h),
+tt AS (SELECT *, list_transform(rows, lambda r, i: CASE WHEN len(r) > 0 THEN 'Row ' || i || ': ' || array_to_string(r, ' | ') END) AS texts FROM tb),
+full_text AS (SELECT *, concat_ws(chr(10), CASE WHEN caption <> '' THEN 'Table: ' || caption END, CASE WHEN len(headers) > 0 THEN 'Columns: ' || array_to_string(headers, ' | ') END,
+   CASE WHEN len(list_filter(texts, lambda x: x IS NOT NULL)) > 0 THEN array_to_string(list_filter(texts, lambda x: x IS NOT NULL), chr(10)) END, CASE WHEN footnote <> '' THEN 'Note: ' || footnote END) AS text FROM tt)
+"""
+SQL["html_tables"] = f"WITH {_TB} SELECT file_id, block_id, array_to_string(headers, ' | ') AS header, coalesce(array_to_string(list_transform(rows, lambda r: array_to_string(r, ' | ')), chr(10)), '') AS body, caption, footnote FROM tb"
+SQL["table_texts"] = f"WITH {_TB} SELECT file_id, block_id, text FROM full_text"
+
+
+def _parts(cap: int, extra: str) -> str:
+    return rf"""
+WITH RECURSIVE {_TB},
+sized AS (SELECT *, (length(CASE WHEN caption <> '' THEN 'Table: ' || caption || ' (Part X/Y)' || chr(10) ELSE '' END || CASE WHEN len(headers) > 0 THEN 'Columns: ' || array_to_string(headers, ' | ') ELSE '' END)) // 4 AS head
+  FROM full_text WHERE length(text) // 4 > {cap} AND len(rows) > 0),
+r0 AS (SELECT file_id, block_id, head, len(rows) AS n_rows, footnote <> '' AS noted, unnest(list_transform(texts, lambda x: length(coalesce(x, '')) // 4)) AS n, generate_subscripts(texts, 1) AS pos FROM sized),
+r1 AS (SELECT *, {cap} - CASE WHEN noted AND pos = n_rows THEN 100 ELSE 50 END AS cap FROM r0),
+r AS (
+  SELECT file_id, block_id, pos, 1 AS part, head + n AS used FROM r1 WHERE pos = 1
+  UNION ALL
+  SELECT t.file_id, t.block_id, t.pos, CASE WHEN r.used + t.n > t.cap THEN r.part + 1 ELSE r.part END, CASE WHEN r.used + t.n > t.cap THEN t.head + t.n ELSE r.used + t.n END
+  FROM r JOIN r1 t ON t.file_id = r.file_id AND t.block_id = r.block_id AND t.pos = r.pos + 1
+),
+g AS (SELECT file_id, block_id, part, min(pos) AS lo, max(pos) AS hi, max(max(part)) OVER (PARTITION BY file_id, block_id) AS parts FROM r GROUP BY 1, 2, 3),
+x AS (SELECT z.*, g.part, g.parts, g.hi - g.lo + 1 AS n_mine, list_filter(texts[g.lo:g.hi], lambda x: x IS NOT NULL) AS mine,
+  CASE WHEN len(headers) > 0 THEN 'Columns: ' || array_to_string(headers, ' | ') END AS columns, CASE WHEN g.part = g.parts AND footnote <> '' THEN 'Note: ' || footnote END AS note
+  FROM sized z JOIN g ON z.file_id = g.file_id AND z.block_id = g.block_id),
+y AS (SELECT *, CASE WHEN len(mine) > 0 THEN array_to_string(mine, chr(10)) END AS body FROM x),
+o AS (
+  SELECT file_id, block_id, 0 AS part, 1 AS parts, false AS is_split, text AS chunk_text, CAST(NULL AS BIGINT) AS oversized FROM full_text WHERE length(text) // 4 <= {cap} AND length({_strip("text")}) > 20
+  UNION ALL
+  SELECT file_id, block_id, part, parts, true, CASE WHEN caption <> '' THEN regexp_replace(concat_ws(chr(10), 'Table: ' || caption || ' (Part ' || part || '/' || parts || ')', columns, body, note), '\(Part \p{{Nd}}+/\p{{Nd}}+\)', '(Part ' || part || '/' || parts || ')', 'g')
+     ELSE concat_ws(chr(10), columns, body, note) END,
+   nullif(greatest(length(concat_ws(chr(10), CASE WHEN caption <> '' THEN 'Table: ' || caption || ' (Part ' || part || '/' || greatest(2, (len(rows) + n_mine - 1) // n_mine) || ')' END, columns, body, note)) // 4, {cap}), {cap}) FROM y
+)
+SELECT file_id, block_id, CAST(part AS INTEGER) AS part, CAST(parts AS INTEGER) AS parts, is_split, chunk_text{extra} FROM o
+"""
+
+
+SQL["table_parts"] = _parts(900, "")
+SQL["table_parts_tight"] = _parts(120, ", oversized")
+
+# ---- figures -----------------------------------------------------------------------------------------
+
+SQL["image_check"] = rf"""WITH {_B},
+l AS (SELECT DISTINCT image_path FROM kb_chunks WHERE image_path <> ''),
+i AS (SELECT file_id, block_id, content.image_source.path AS path, coalesce(regexp_matches(content.image_source.path, '(?i)[^/]\.(jpg|jpeg|png|gif|bmp|webp)\z'), false) AS good FROM bi WHERE type IN ('image', 'table'))
+SELECT file_id, block_id, good, good AND l.image_path IS NOT NULL AS there, good AND l.image_path IS NULL AS missing FROM i LEFT JOIN l ON l.image_path = i.path
+"""
+SQL["nearby_texts"] = f"""WITH {_S},
+x AS (SELECT file_id, page_no, block_idx, type, section_title, block_id, CASE WHEN type IN ('paragraph', 'list') THEN {_clean("CASE WHEN type = 'paragraph' THEN " + _inline("content.paragraph_content") + " ELSE " + _list_text("content.list_items") + " END")} END AS t FROM s),
+e AS (SELECT file_id, page_no, block_idx, section_title AS sec, left(t, 500) AS t FROM x WHERE length(t) > 20),
+i AS (SELECT * FROM x WHERE type = 'image'),
+m AS (SELECT i.file_id, i.block_id, e.page_no - i.page_no AS delta, e.block_idx - i.block_idx AS off, e.block_idx AS idx, e.t FROM i JOIN e ON e.file_id = i.file_id AND abs(e.page_no - i.page_no) <= 2
+      AND (i.section_title = '' OR e.sec = '' OR e.sec = i.section_title))
+SELECT i.file_id, i.block_id,
+  arg_min(m.t, m.off) FILTER (WHERE delta = 0 AND off BETWEEN 1 AND 10) AS forward,
+  arg_min(m.t, -m.off) FILTER (WHERE delta = 0 AND off BETWEEN -10 AND -1) AS backward,
+  arg_min(m.t, abs(delta) * 2000000 + CASE WHEN delta > 0 THEN 1000000 + idx ELSE -idx END) FILTER (WHERE delta <> 0) AS neighbour
+FROM i LEFT JOIN m ON m.file_id = i.file_id AND m.block_id = i.block_id GROUP BY 1, 2
+"""
+_NUM = rf"(?i)(Figure|Fig\.?|图)[{_WS}]*\p{{Nd}}+"
+_LAB = rf"(?i)^(?:(?:MLC|TLC|SLC)[{_WS}]+Page|(?:Top|Bottom|Side|Front|Back|Enlarged|Partial)[{_WS}]+View|Left|Right|Detail[{_WS}]*[A-Z]|Zoom[{_WS}]*(?:In|Out)|Close[{_WS}-]*up|Note[{_WS}:]*|Legend)$"
+SQL["figure_labels"] = f"""WITH {_B}, c AS (SELECT file_id, block_id, {_inline("content.image_caption")} AS cap FROM bi WHERE type = 'image')
+SELECT file_id, block_id, regexp_matches(cap, '{_NUM}') AS numbered, length({_strip("cap")}) < 50 AND NOT regexp_matches(cap, '{_NUM}') AND regexp_matches({_strip("cap")}, '{_LAB}') AS part_label FROM c"""
+SQL["formulas"] = f"WITH {_B} SELECT file_id, block_id, coalesce(content.math_content, '') AS formula FROM bi WHERE type = 'equation_interline'"
+
+# ---- affixes, counters, reports ------------------------------------------------------------------------
+
+_AFFIX = f"""
+t AS (SELECT DISTINCT source, chunk_id, chunk_text FROM kb_chunks WHERE content_type = 'text' AND chunk_text IS NOT NULL),
+a AS (SELECT source, 'prefix' AS side, {_strip("left(chunk_text, 50)")} AS affix FROM t UNION ALL SELECT source, 'suffix', {_strip("right(chunk_text, 50)")} FROM t),
+f AS (SELECT source, side, affix, count(*) AS n FROM a WHERE length(affix) > 20 GROUP BY 1, 2, 3 HAVING count(*) > 3)
+"""
+SQL["affix_frequency"] = f"WITH {_AFFIX} SELECT source, side, affix, n FROM f"
+SQL["affix_strip"] = f"""WITH {_AFFIX},
+p AS (SELECT t.source, t.chunk_id, t.chunk_text, arg_max(f.affix, length(f.affix)) AS pre FROM t LEFT JOIN f ON f.source IS NOT DISTINCT FROM t.source AND f.side = 'prefix' AND starts_with(t.chunk_text, f.affix) GROUP BY 1, 2, 3),
+q AS (SELECT *, CASE WHEN pre IS NULL THEN chunk_text ELSE {_strip("substring(chunk_text, length(pre) + 1)")} END AS u FROM p),
+r AS (SELECT q.chunk_id, q.chunk_text, q.u, q.pre, arg_max(f.affix, length(f.affix)) AS suf FROM q LEFT JOIN f ON f.source IS NOT DISTINCT FROM q.source AND f.side = 'suffix' AND ends_with(q.u, f.affix) GROUP BY 1, 2, 3, 4)
+SELECT chunk_id, CASE WHEN suf IS NULL THEN u ELSE {_strip("left(u, length(u) - length(suf))")} END AS chunk_text, pre IS NOT NULL AS head_cut, suf IS NOT NULL AS tail_cut FROM r"""
+SQL["chunk_counters"] = """WITH k AS (SELECT DISTINCT doc_id, chunk_id, content_type FROM kb_chunks)
+SELECT doc_id, count(*) AS total_chunks, count(*) FILTER (WHERE content_type = 'text') AS text_chunks, count(*) FILTER (WHERE content_type = 'table') AS table_chunks,
+  count(*) FILTER (WHERE content_type = 'figure') AS figure_chunks, count(*) FILTER (WHERE content_type = 'formula') AS formula_chunks FROM k GROUP BY doc_id"""
+SQL["chunk_numbers"] = """WITH k AS (SELECT DISTINCT doc_id, chunk_id, page_no, content_type FROM kb_chunks)
+SELECT chunk_id, doc_id || ':p' || page_no || ':' || content_type || ':' || row_number() OVER (PARTITION BY doc_id ORDER BY CAST(regexp_extract(chunk_id, ':([0-9]+)$', 1) AS INTEGER), chunk_id) AS numbered FROM k"""
+SQL["error_summary"] = "WITH e AS (SELECT DISTINCT * FROM kb_errors) SELECT doc_id, " + ", ".join(f"count(*) FILTER (WHERE category = '{c}') AS {c}" for c in ("missing_images", "skipped_blocks", "unsupported_blocks", "parse_errors")) + " FROM e GROUP BY doc_id"
+_COUNTERS = "total_chunks text_chunks table_chunks figure_chunks formula_chunks missing_images unparseable_blocks skipped_noise skipped_empty skipped_low_value_sections skipped_weak_figures aside_noise oversized_table_chunks subfigure_fragments_merged".split()
+SQL["counter_totals"] = " UNION ALL ".join(f"SELECT '{c}' AS counter, CAST(sum({c}) AS BIGINT) AS total FROM kb_stats" for c in _COUNTERS)
+SQL["self_check"] = """SELECT doc_id, skipped_low_value_sections, skipped_weak_figures, subfigure_fragments_merged, oversized_table_chunks, aside_noise,
+  CASE WHEN figure_chunks + skipped_weak_figures > 0 THEN skipped_weak_figures / (figure_chunks + skipped_weak_figures) ELSE 0.0::DOUBLE END AS weak_share FROM kb_stats"""
+SQL["manifest_policy"] = "SELECT doc_id, chunking_policy.target_tokens AS target_tokens, chunking_policy.hard_cap AS hard_cap, chunking_policy.merge_short_blocks AS merge, CAST(coalesce(cardinality(input_files_used), 0) AS BIGINT) AS files_used FROM kb_manifest"

@@ -1,4 +1,4 @@
-"""Queries of the core operators."""
+"""Queries of the core operators; each takes (spark, folder of the tables) and runs over whole tables."""
 
 from __future__ import annotations
 
@@ -6,28 +6,302 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from quire.operators import nested
-from quire.runtime import ship, table
+from quire.functions import text as X
+from quire.operators import dedup, figures, nested, tables
+from quire.operators.packing import greedy_bins, split_pieces
+from quire.operators.sections import explode_blocks, with_sections
+from quire.options import COUNTERS, Options
+from quire.plans.pipeline import Packed, pack
+from quire.plans.pipeline import error_summary as summarised
+from quire.runtime import cut, ship, table
+from quire.sources.writers import shared_titles as titles_shared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "content_list_v2")
+
+
+def _blocks(spark: SparkSession, d: str) -> DataFrame:
+    return explode_blocks(_files(spark, d)).withColumnRenamed("key", "file_id")
+
+
+def _sections(spark: SparkSession, d: str) -> DataFrame:
+    return with_sections(explode_blocks(_files(spark, d)))
+
+
+def _listing(spark: SparkSession, d: str) -> DataFrame:
+    """Images there are: those that packaged chunks refer to."""
+    return table(spark, d, "kb_chunks").where("image_path <> ''").select("image_path").distinct()
+
+
+def _packed(spark: SparkSession, d: str, opts: Options = Options()) -> Packed:
+    return pack(_files(spark, d), opts=opts)
+
+
+# ---- nested records ----------------------------------------------------------------------------
+
+
 def _nodes(spark: SparkSession, d: str) -> DataFrame:
     wanted = set(nested.PATHS.values())
-    return nested.located(nested.page_nodes(table(spark, d, "content_list_v2"), table(spark, d, "content_list_raw"), wanted))
+    return nested.located(nested.page_nodes(_files(spark, d), table(spark, d, "content_list_raw"), wanted))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return _nodes(spark, d).select("file_id", "page_no", "block_no", "field", "list_no", "item_no").distinct()
 
 
-def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return p1_found(spark, d)
+def p1_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The four flat tables in one: every row with its own label, its parent's label and its scalars."""
+    return _nodes(spark, d).select("field", "file_id", "dewey", "parent", "value")
+
+
+def p1_children(spark: SparkSession, d: str) -> DataFrame:
+    """Item contents counted by the list item they hang on, through the parent link: the item's label is the label cut twice."""
+    n = _nodes(spark, d)
+    kids = n.where("field = 'item_content'").select("file_id", F.regexp_replace("parent", r"\.[0-9]+$", "").alias("dewey")).groupBy("file_id", "dewey").agg(F.count(F.lit(1)).alias("contents"))
+    items = n.where("field = 'list_items'").select("file_id", "page_no", "block_no", "list_no", "dewey")
+    return items.join(kids, ["file_id", "dewey"], "left").select("file_id", "page_no", "block_no", "list_no", F.coalesce("contents", F.lit(0)).alias("contents"))
+
+
+# ---- sources and identity ----------------------------------------------------------------------
+
+
+def doc_identity(spark: SparkSession, d: str) -> DataFrame:
+    return _files(spark, d).select("file_id", X.doc_id(F.col("dir_name")).alias("made_id"), X.doc_title(F.col("dir_name")).alias("made_title"))
+
+
+def load_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose JSON cannot be decoded; they become parse errors and an empty document."""
+    raw = table(spark, d, "content_list_raw")
+    ok = nested.json_nodes(raw, "file_id", "body", nested.PAGES, "pages", {"pages"}).select("file_id").distinct()
+    return raw.join(ok, "file_id", "left_anti").select("file_id", F.lit("parse_errors").alias("category"))
+
+
+def source_roles(spark: SparkSession, d: str) -> DataFrame:
+    """Roles of the files each document has, and whether they are used."""
+    m = table(spark, d, "kb_manifest").select("doc_id", F.explode("input_files_all").alias("role", "path"), "input_files_used")
+    used = F.coalesce(F.col("input_files_used")[F.col("role")].isNotNull(), F.lit(False))
+    return m.select("doc_id", "role", F.coalesce("path", F.lit("")).alias("path"), used.alias("used"))
+
+
+def shared_titles(spark: SparkSession, d: str) -> DataFrame:
+    return titles_shared(table(spark, d, "kb_manifest"))
+
+
+def relative_paths(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "kb_manifest")
+    return m.select("doc_id", X.relative_path(F.col("source_pdf"), "raw").alias("pdf"), X.relative_path(F.col("source_dir"), "raw").alias("dir"))
+
+
+# ---- blocks, sections, routes --------------------------------------------------------------------
+
+
+def block_ids(spark: SparkSession, d: str) -> DataFrame:
+    return _blocks(spark, d).select("file_id", "page_no", "block_idx", F.col("block_index").cast("bigint").alias("block_index"), "block_id", "type")
+
+
+def inline_texts(spark: SparkSession, d: str) -> DataFrame:
+    c = lambda f: F.col(f"content.{f}")
+    return _blocks(spark, d).select("file_id", "block_id", X.inline_text(c("title_content")).alias("title"), X.inline_text(c("paragraph_content")).alias("paragraph"), X.list_text(c("list_items")).alias("list"), X.inline_text(c("image_caption")).alias("caption"))
+
+
+def clean_texts(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaning chain over every chunk text and document."""
+    a = table(spark, d, "kb_chunks").select("chunk_id", "chunk_text").distinct().select(F.col("chunk_id").alias("id"), F.col("chunk_text").alias("t"))
+    b = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("t"))
+    return a.unionByName(b).select("id", X.clean_text(F.col("t")).alias("clean"))
+
+
+def token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", X.tokens(F.col("text")).alias("tokens"))
+
+
+def section_paths(spark: SparkSession, d: str) -> DataFrame:
+    return _sections(spark, d).select(F.col("key").alias("file_id"), "block_id", F.col("depth").cast("bigint").alias("depth"), "section_title")
+
+
+def clean_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "kb_chunks").select("chunk_id", X.clean_title(F.col("section_title")).alias("title"), X.skips_section(F.col("section_title")).alias("skips")).distinct()
+
+
+def routes(spark: SparkSession, d: str) -> DataFrame:
+    b = _sections(spark, d)
+    return b.groupBy(F.col("key").alias("file_id"), "route").agg(F.count(F.lit(1)).alias("blocks"))
+
+
+def segments(spark: SparkSession, d: str) -> DataFrame:
+    return _sections(spark, d).select(F.col("key").alias("file_id"), "block_id", F.col("segment").cast("bigint").alias("segment"))
+
+
+# ---- packing -----------------------------------------------------------------------------------------
+
+
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as sequences of lines: `doc_id, lines`."""
+    docs = table(spark, d, "documents").where("text is not null")
+    return docs.select("doc_id", F.split("text", "\n").alias("lines"))
+
+
+def merge_bins(spark: SparkSession, d: str) -> DataFrame:
+    """Bins of the lines of every document, with the packager's budgets."""
+    o = Options()
+    b = _lines(spark, d).select("doc_id", greedy_bins(F.transform("lines", X.tokens), o.merge_cap, o.short_block).alias("bins"))
+    return b.select("doc_id", F.posexplode("bins").alias("pos", "bin")).select("doc_id", "pos", "bin")
+
+
+def split_texts(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").where("text is not null")
+    return docs.select("doc_id", F.posexplode(split_pieces(F.col("text"), Options().hard_cap)).alias("piece", "part"))
+
+
+def text_chunks(spark: SparkSession, d: str) -> DataFrame:
+    p = _packed(spark, d)
+    return p.chunks.where("content_type = 'text'").select(F.col("key").alias("file_id"), "seq", "source_block_id", F.size("metadata.merge_from_block_ids").alias("members"), "chunk_text")
+
+
+# ---- tables ------------------------------------------------------------------------------------------
+
+
+def _tables(spark: SparkSession, d: str) -> DataFrame:
+    return tables.parsed_tables(_blocks(spark, d).where("type = 'table'"))
+
+
+def html_tables(spark: SparkSession, d: str) -> DataFrame:
+    cells = lambda r: F.array_join(r, " | ")
+    return _tables(spark, d).select("file_id", "block_id", cells(F.col("headers")).alias("header"), F.array_join(F.transform("rows", cells), "\n").alias("body"), "caption", "footnote")
+
+
+def table_texts(spark: SparkSession, d: str) -> DataFrame:
+    return _tables(spark, d).select("file_id", "block_id", tables.table_text().alias("text"))
+
+
+def table_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Every table split at the packager's cap."""
+    return tables.split_tables(_tables(spark, d)).select("file_id", "block_id", "part", "parts", "is_split", "chunk_text")
+
+
+def table_parts_tight(spark: SparkSession, d: str) -> DataFrame:
+    """Every table split at a cap of 120 tokens, where most of them need several parts."""
+    t = tables.split_tables(_tables(spark, d), Options(hard_cap=120))
+    return t.select("file_id", "block_id", "part", "parts", "is_split", "chunk_text", "oversized")
+
+
+# ---- figures -----------------------------------------------------------------------------------------
+
+
+def image_check(spark: SparkSession, d: str) -> DataFrame:
+    """Paths of images and tables: good, there, missing."""
+    there = _listing(spark, d).select(F.col("image_path").alias("path"), F.lit(True).alias("hit"))
+    b = _blocks(spark, d).where("type in ('image', 'table')").select("file_id", "block_id", F.col("content.image_source.path").alias("path"))
+    b = b.withColumn("good", X.is_image_path(F.col("path"))).join(there, "path", "left")
+    return b.select("file_id", "block_id", "good", (F.col("good") & F.coalesce("hit", F.lit(False))).alias("there"), (F.col("good") & ~F.coalesce("hit", F.lit(False))).alias("missing"))
+
+
+def nearby_texts(spark: SparkSession, d: str) -> DataFrame:
+    """For every image: the next and the previous eligible text of its page and the nearest of the pages around."""
+    b = cut(_sections(spark, d))
+    i = figures.positional_text(b.where("type = 'image'"), figures.page_texts(b))
+    return i.select(F.col("key").alias("file_id"), "block_id", "forward", "backward", "neighbour")
+
+
+def figure_labels(spark: SparkSession, d: str) -> DataFrame:
+    cap = X.inline_text(F.col("content.image_caption"))
+    b = _blocks(spark, d).where("type = 'image'").select("file_id", "block_id", cap.alias("caption"))
+    return b.select("file_id", "block_id", X.has_figure_number(F.col("caption")).alias("numbered"), X.is_subfigure_label(F.col("caption")).alias("part_label"))
+
+
+def figure_chunks(spark: SparkSession, d: str) -> DataFrame:
+    p = _packed(spark, d)
+    return p.chunks.where("content_type = 'figure'").select(F.col("key").alias("file_id"), "source_block_id", "section_title", "chunk_text", F.coalesce(F.size("metadata.subfigures"), F.lit(0)).alias("parts"))
+
+
+def formulas(spark: SparkSession, d: str) -> DataFrame:
+    b = _blocks(spark, d).where("type = 'equation_interline'")
+    return b.select("file_id", "block_id", F.coalesce("content.math_content", F.lit("")).alias("formula"))
+
+
+# ---- affixes, counters, reports ------------------------------------------------------------------------
+
+
+def _chunk_texts(spark: SparkSession, d: str) -> DataFrame:
+    k = table(spark, d, "kb_chunks").where("content_type = 'text' and chunk_text is not null")
+    return k.select(F.col("source").alias("key"), "chunk_id", "chunk_text").distinct()
+
+
+def affix_frequency(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.affix_counts(_chunk_texts(spark, d)).select(F.col("key").alias("source"), "side", "affix", "n")
+
+
+def affix_strip(spark: SparkSession, d: str) -> DataFrame:
+    """Repeated heads and tails cut; the texts of a source stand for the texts of a document."""
+    t = _chunk_texts(spark, d)
+    out = dedup.strip_affixes(t, dedup.affix_counts(t))
+    return out.select("chunk_id", "chunk_text", F.array_contains("removed", "removed_header").alias("head_cut"), F.array_contains("removed", "removed_footer").alias("tail_cut"))
+
+
+def chunk_counters(spark: SparkSession, d: str) -> DataFrame:
+    k = table(spark, d, "kb_chunks").select("doc_id", "chunk_id", "content_type").distinct()
+    n = lambda t: F.count_if(F.col("content_type") == t).alias(f"{t}_chunks")
+    return k.groupBy("doc_id").agg(F.count(F.lit(1)).alias("total_chunks"), n("text"), n("table"), n("figure"), n("formula"))
+
+
+def chunk_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Ids of packaged chunks made again from document, page, type and number."""
+    k = table(spark, d, "kb_chunks").select("doc_id", "chunk_id", "page_no", "content_type").distinct()
+    number = F.regexp_extract("chunk_id", r":([0-9]+)$", 1).cast("int")
+    seq = F.row_number().over(Window.partitionBy("doc_id").orderBy(number, "chunk_id"))
+    return k.select("chunk_id", F.format_string("%s:p%d:%s:%d", "doc_id", "page_no", "content_type", seq).alias("numbered"))
+
+
+def error_summary(spark: SparkSession, d: str) -> DataFrame:
+    return summarised(table(spark, d, "kb_errors").distinct())
+
+
+def counter_totals(spark: SparkSession, d: str) -> DataFrame:
+    """The 14 counters added up, as long rows."""
+    t = table(spark, d, "kb_stats").agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    return t.unpivot([], list(COUNTERS), "counter", "total")
+
+
+def self_check(spark: SparkSession, d: str) -> DataFrame:
+    """The report's five health figures for each document."""
+    s = table(spark, d, "kb_stats")
+    return s.select("doc_id", "skipped_low_value_sections", "skipped_weak_figures", "subfigure_fragments_merged", "oversized_table_chunks", "aside_noise", F.when(F.col("figure_chunks") + F.col("skipped_weak_figures") > 0, F.col("skipped_weak_figures") / (F.col("figure_chunks") + F.col("skipped_weak_figures"))).otherwise(F.lit(0.0)).alias("weak_share"))
+
+
+def manifest_policy(spark: SparkSession, d: str) -> DataFrame:
+    m = table(spark, d, "kb_manifest")
+    p = lambda f: F.col(f"chunking_policy.{f}")
+    return m.select("doc_id", p("target_tokens").alias("target_tokens"), p("hard_cap").alias("hard_cap"), p("merge_short_blocks").alias("merge"), F.size(F.coalesce("input_files_used", F.create_map().cast("map<string,string>"))).cast("bigint").alias("files_used"))
+
+
+def packed_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """The whole packager over content_list_v2: the six delivered columns, with the file they come from."""
+    p = _packed(spark, d)
+    return p.chunks.select(F.col("key").alias("file_id"), "chunk_id", "page_no", "content_type", X.clean_title(F.col("section_title")).alias("section_title"), "chunk_text", "image_path")
+
+
+def packed_stats(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d).stats.withColumnRenamed("key", "file_id")
+
+
+def packed_events(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d).events.withColumnRenamed("key", "file_id")
+
+
+flagship = packed_chunks
 
 
 def queries() -> dict[str, Query]:
-    names = [p1_found]
+    names = [
+        p1_found, p1_tables, p1_children, doc_identity, load_errors, source_roles, shared_titles, relative_paths, block_ids, inline_texts, clean_texts, token_counts, section_paths, clean_titles,
+        routes, segments, merge_bins, split_texts, text_chunks, html_tables, table_texts, table_parts, table_parts_tight, image_check, nearby_texts, figure_labels, figure_chunks, formulas,
+        affix_frequency, affix_strip, chunk_counters, chunk_numbers, error_summary, counter_totals, self_check, manifest_policy, packed_chunks, packed_stats, packed_events,
+    ]
 
     def ready(f: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ def session(app: str = "quire", cpus: str = "*", **conf: str) -> SparkSession:
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.driver.host": "127.0.0.1",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for k, v in (base | conf).items():
         b = b.config(k, v)
