@@ -4,7 +4,8 @@
                                 [prefix_]model.json, [prefix_]origin.pdf, full.md, images/<name>
 
 Only the chosen content list is opened.  Of several files for one role the smallest path is taken, prefixed
-names before plain ones.
+names before plain ones.  Folders are listed by a distributed scan that reads no contents; files of no bytes
+are not listed, so an empty image counts as missing.
 """
 
 from __future__ import annotations
