@@ -392,6 +392,8 @@ def clean(text: str, apart: set[str] = frozenset()) -> str:
             out.append(_html.unescape(s))
         elif t.part == "heading":
             out.append("#" * s.count("#"))
+        elif t.part == "rule":
+            cur = min(len(text), cur + 1)  # with its line feed
         elif t.part == "link":
             out.append(s[s.index("[") + 1 : s.rindex("](")])
         elif t.part == "strong":

@@ -5,7 +5,7 @@ SQL: dict[str, str] = {}
 _LINE = r"trim(regexp_replace(regexp_replace(line, '[ \t]+', ' ', 'g'), '\p{Nd}+', '0', 'g'))"
 
 _LINES = rf"""
-WITH k AS (SELECT DISTINCT chunk_id, doc_id, source, chunk_text FROM kb_chunks WHERE source IS NOT NULL AND doc_id IS NOT NULL),
+WITH k AS (SELECT DISTINCT chunk_id, doc_id, source, chunk_text FROM kb_chunks WHERE source IS NOT NULL),
 e AS (SELECT chunk_id, doc_id, source, unnest(string_split(chunk_text, chr(10))) AS line, generate_subscripts(string_split(chunk_text, chr(10)), 1) AS line_no FROM k WHERE chunk_text IS NOT NULL),
 s AS (SELECT chunk_id, doc_id, source, line_no, line, lower({_LINE}) AS same FROM e WHERE length(regexp_replace(line, '[^\p{{L}}]', '', 'g')) >= 20),
 d AS (SELECT source, count(DISTINCT doc_id) AS source_docs FROM k GROUP BY source),

@@ -50,7 +50,7 @@ _NUMBER = rf"(?:\d{{1,4}}|{_ROMAN})"
 PAGE_NUMBER = re.compile(
     rf"^[^\w`#|=$]*(?:(?:pa[g9][ec]|pg|p|seite|s|folio)\b[ .:]*{_NUMBER}(?:\s*(?:of|/|von|de|sur)\s*{_NUMBER})?|{_NUMBER}(?:\s*(?:of|/)\s*{_NUMBER})?|[a-z]-\d{{1,3}}|\d{{1,3}}-\d{{1,3}})[^\w.]*$", re.I
 )
-_FOLD = str.maketrans("01|59cf", "ollsget")
+_FOLD = str.maketrans("01|i59cf", "olllsget")
 _PAIRS = (("rn", "m"), ("ii", "u"), ("cl", "d"), ("ri", "n"), ("vv", "w"))
 
 
