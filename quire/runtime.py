@@ -60,6 +60,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="quire-ckpt-"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over at least as many partitions as there are cores.
+
+    Only an input of fewer splits than cores, that is a small one, is shuffled; a large one stays as it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared checkpoint folder, so that a lost executor loses nothing."""
     ensure_checkpoint_dir(df.sparkSession)
