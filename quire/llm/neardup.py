@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.shingle import mix64, overlaps, shingles
-from quire.runtime import bounded_join, cut
+from quire.runtime import bounded_join, cut, spread
 
 #: Slots of the counting sketch (a power of two): 16-bit counters, 8 MB in all.
 SLOTS = 1 << 22
@@ -87,7 +87,7 @@ def profile(df: DataFrame, key: str, text: str, width: int, min_words: int) -> t
 
     kt = df.schema[key].dataType.simpleString()
     src = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where("_k is not null and _t is not null")
-    both = cut(src.mapInPandas(run, f"id {kt}, fp bigint, n int, piece int, counts binary"))
+    both = cut(spread(src).mapInPandas(run, f"id {kt}, fp bigint, n int, piece int, counts binary"))
 
     def add(batches):
         acc: dict[int, np.ndarray] = {}
@@ -230,7 +230,7 @@ def candidates(rows: DataFrame, key: str, text: str, sketch: np.ndarray, width:
         yield from out(True)
 
     src = rows.select(F.col(text).alias("_t")).where(F.col(key).isNotNull() & F.col(text).isNotNull())
-    posts = src.mapInPandas(post, "key bigint, tag bigint, at bigint")
+    posts = spread(src).mapInPandas(post, "key bigint, tag bigint, at bigint")
     met = posts.repartition("key").sortWithinPartitions("key").mapInPandas(meet, "a bigint, b bigint, need int")
     return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.min("need").alias("need")).where("met >= need").select("a", "b")
 

@@ -14,7 +14,7 @@ from quire.llm import neardup as nd
 from quire.llm import repeat as rp
 from quire.llm import scan as sc
 from quire.llm import sitelines as sl
-from quire.runtime import cut, ship, table
+from quire.runtime import cut, ship, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,17 +29,21 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return nd.groups(nd.near_duplicates(table(spark, d, "kb_chunks"))).withColumnRenamed("id", "chunk_id")
 
 
+def _site_lines(spark: SparkSession, d: str) -> sl.SiteLines:
+    return sl.site_lines(spread(table(spark, d, "kb_chunks").select("chunk_id", "doc_id", "source", "chunk_text", "created_at")))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return sl.site_lines(table(spark, d, "kb_chunks")).places()
+    return _site_lines(spark, d).places()
 
 
 def p3_lines(spark: SparkSession, d: str) -> DataFrame:
     """Documents, clusters and dates of each boilerplate line (by hash)."""
-    return sl.site_lines(table(spark, d, "kb_chunks")).found.select("source", F.col("h").alias("line_hash"), "docs", "clusters", "dates", "source_docs")
+    return _site_lines(spark, d).found.select("source", F.col("h").alias("line_hash"), "docs", "clusters", "dates", "source_docs")
 
 
 def p3_clean(spark: SparkSession, d: str) -> DataFrame:
-    out = sl.site_lines(table(spark, d, "kb_chunks")).cleaned()
+    out = _site_lines(spark, d).cleaned()
     return out.select("chunk_id", "clean_text", F.col("removed").cast("bigint").alias("removed")).distinct()
 
 
@@ -79,6 +83,7 @@ def _marked_up(spark: SparkSession, d: str) -> mk.Markup:
     for field in ("html", "math_content"):
         part = blocks.select(F.lit(field).alias("place"), _block_key().alias("record_key"), F.col("source").alias("host"), F.col(f"content.{field}").alias("text"))
         records = records.unionByName(part.where("text is not null"))
+    records = spread(records)
     return mk.Markup(records, mk.wrappers(records))
 
 
@@ -96,19 +101,19 @@ def p5_wrappers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
-    return enc.encode(table(spark, d, "documents"), "doc_id", "text")
+    return enc.encode(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def p6_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Tokens, and whether decoding gives the text back, for every document."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     coded = docs.select("doc_id", "text", enc.ids_column(F.col("text")).alias("ids"))
     same = enc.text_column(F.col("ids")) == F.coalesce("text", F.lit(""))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("tokens"), same.alias("same"))
 
 
 def _mixture(spark: SparkSession, d: str) -> mx.Mixture:
-    return mx.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+    return mx.mix(spread(table(spark, d, "documents").select("doc_id", "source", "text")), table(spark, d, "mix_targets"))
 
 
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -119,24 +124,28 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).shares()
 
 
+def _repetition(spark: SparkSession, d: str) -> DataFrame:
+    return rp.repetition(spread(table(spark, d, "documents").select("doc_id", "lang", "source", "text")))
+
+
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    return rp.repetition(table(spark, d, "documents"))
+    return _repetition(spark, d)
 
 
 def p8_cutoffs(spark: SparkSession, d: str) -> DataFrame:
     """The cutoff of each language and source: the 0.95 quantile of its own, its language's or all shares."""
-    return rp.cutoffs(cut(rp.repetition(table(spark, d, "documents"))), "run_share", 0.95, 0.0, 1.0)
+    return rp.cutoffs(cut(_repetition(spark, d)), "run_share", 0.95, 0.0, 1.0)
 
 
 def p8_heavy(spark: SparkSession, d: str) -> DataFrame:
     """Documents that repeat more than is usual for their language and source (never below a share of 0.1)."""
-    shares = cut(rp.repetition(table(spark, d, "documents")))
+    shares = cut(_repetition(spark, d))
     return rp.heavy(shares, rp.cutoffs(shares, "run_share", 0.95, 0.1, 1.0)).select("doc_id", "lang", "source", "run_share", "cutoff")
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Adaptive cutoffs held to at most 0.3 give the candidates; the stated 0.3 is then checked in integers."""
-    shares = cut(rp.repetition(table(spark, d, "documents")))
+    shares = cut(_repetition(spark, d))
     near = rp.heavy(shares, rp.cutoffs(shares, "run_share", 0.95, 0.1, 0.3))
     return near.where("repeated_runs * 10 >= runs * 3").select("doc_id").distinct()
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.editor import ROWS, SLOTS, Counts, Editor, join_features, train, word_slots
-from quire.runtime import cut
+from quire.runtime import cut, spread
 
 #: Words and compounds the editor is trained on, at most.
 TRAIN_WORDS, TRAIN_COMPOUNDS = 2000, 400
@@ -335,6 +335,7 @@ class Scanned:
 
     def __init__(self, records: DataFrame):
         self.records = records.select("place", "record_key", "doc_id", "title", "text").where("record_key is not null")
+        self.records = spread(self.records)
         seen = cut(self.records.where("text is not null").mapInPandas(_count_scan, "kind int, a bigint, b bigint, c bigint, s string, v binary"))
         table = np.zeros((ROWS, SLOTS), np.uint32)
         step = SLOTS // 8
