@@ -47,8 +47,10 @@ MOST = 8
 RATE, VERIFY = 0.12, 200.0
 #: Texts of one run that meet in one cell; hotter runs are spread over a grid of cells.
 CELL = 4096
-#: Classes up to this size are written out as all their pairs, larger ones as links to their representative.
+#: Byte-identical texts of up to this many ids are written out as all their pairs where stars are asked for.
 SPELLED = 64
+#: Members of a class that are paired in one cell; larger classes are spread over a grid of cells.
+PART = 1024
 
 
 def _slot(h: np.ndarray) -> np.ndarray:
@@ -66,9 +68,9 @@ def _fingerprints(h: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def profile(df: DataFrame, key: str, text: str, width: int, min_words: int) -> tuple[DataFrame, np.ndarray]:
-    """One pass over the texts: `id, fp, n` of each row (materialised) and the counting sketch of all runs.
+    """One pass over the texts: `id, fp, n, same` of each row (materialised) and the counting sketch of all runs.
 
-    `fp` identifies the set of runs (64 bits of sum and product mixing over the set, joined with n).
+    `fp` identifies the set of runs (64 bits of sum and product mixing over the set, joined with n), `same` the text.
     """
     step = SLOTS // PIECES
 
@@ -80,14 +82,14 @@ def profile(df: DataFrame, key: str, text: str, width: int, min_words: int) -> t
             ids = pdf["_k"].to_numpy()
             has = n > 0
             fp = _fingerprints(h, n)
-            yield pd.DataFrame({"id": ids[has], "fp": fp[has].view(np.int64), "n": n[has].astype(np.int32), "piece": np.full(has.sum(), -1, np.int32), "counts": np.full(has.sum(), None, dtype=object)})
+            yield pd.DataFrame({"id": ids[has], "fp": fp[has].view(np.int64), "n": n[has].astype(np.int32), "same": pdf["_h"].to_numpy()[has], "piece": np.full(has.sum(), -1, np.int32), "counts": np.full(has.sum(), None, dtype=object)})
         full = np.minimum(sketch, 65535).astype(np.uint16)
         rows = [(i, zlib.compress(full[i * step : (i + 1) * step].tobytes(), 1)) for i in range(PIECES) if full[i * step : (i + 1) * step].any()]
-        yield pd.DataFrame({"id": np.full(len(rows), None, dtype=object), "fp": np.zeros(len(rows), np.int64), "n": np.zeros(len(rows), np.int32), "piece": np.array([r[0] for r in rows], np.int32), "counts": pd.Series([r[1] for r in rows], dtype=object)})
+        yield pd.DataFrame({"id": np.full(len(rows), None, dtype=object), "fp": np.zeros(len(rows), np.int64), "n": np.zeros(len(rows), np.int32), "same": np.zeros(len(rows), np.int64), "piece": np.array([r[0] for r in rows], np.int32), "counts": pd.Series([r[1] for r in rows], dtype=object)})
 
     kt = df.schema[key].dataType.simpleString()
-    src = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).where("_k is not null and _t is not null")
-    both = cut(spread(src).mapInPandas(run, f"id {kt}, fp bigint, n int, piece int, counts binary"))
+    src = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"), F.xxhash64(text).alias("_h")).where("_k is not null and _t is not null")
+    both = cut(spread(src).mapInPandas(run, f"id {kt}, fp bigint, n int, same bigint, piece int, counts binary"))
 
     def add(batches):
         acc: dict[int, np.ndarray] = {}
@@ -102,7 +104,7 @@ def profile(df: DataFrame, key: str, text: str, width: int, min_words: int) -> t
     parts = both.where("piece >= 0").select("piece", "counts").repartition(PIECES, "piece").mapInPandas(add, "piece int, counts binary")
     for r in parts.collect():
         sketch[r["piece"] * step : (r["piece"] + 1) * step] = np.frombuffer(r["counts"], dtype=np.uint16)
-    return both.where("piece < 0").select("id", "fp", "n"), sketch
+    return both.where("piece < 0").select("id", "fp", "n", "same"), sketch
 
 
 def _prefixes(doc, h, n, sketch, num, den):
@@ -247,7 +249,7 @@ def _verified(pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 
 class NearDuplicates:
-    """`rows` (id, fp): the class of each id, possibly repeated; `pairs` (a, b, similarity): similar classes."""
+    """`rows` (id, fp, same): class and text of each id, possibly repeated; `pairs` (a, b, similarity): similar classes."""
 
     def __init__(self, rows: DataFrame, pairs: DataFrame):
         self.rows, self.pairs = rows, pairs
@@ -260,7 +262,7 @@ class NearDuplicates:
 def near_duplicates(df: DataFrame, key: str = "chunk_id", text: str = "chunk_text", width: int = 5, num: int = 4, den: int = 5, min_words: int = 0) -> NearDuplicates:
     """Join all texts of `df` at Jaccard similarity num/den on runs of `width` words."""
     rows, sketch = profile(df, key, text, width, min_words)
-    rows = rows.select("id", "fp")
+    rows = rows.select("id", "fp", "same")
     cand = cut(candidates(df, key, text, sketch, width, min_words, num, den))
     sides = cand.select("a", "b", F.posexplode(F.array("a", "b")).alias("side", "tag"))
     tags = sides.select("tag").distinct()
@@ -276,28 +278,43 @@ def near_duplicates(df: DataFrame, key: str = "chunk_id", text: str = "chunk_tex
     return NearDuplicates(rows, cut(_verified(full, width, num, den)))
 
 
-def spelled_pairs(found: NearDuplicates, spelled: int = SPELLED) -> DataFrame:
+def spelled_pairs(found: NearDuplicates, spelled: int | None = SPELLED) -> DataFrame:
     """Pairs of ids `id_a < id_b, similarity`: every pair of texts that are similar.
 
-    Within a class, and between two similar classes, members are written out in full while a class has
-    at most `spelled` members; of a larger class the representative stands for the others, which are
-    linked to it, so that no text loses a link and rows stay linear in the input.
+    With `spelled` None all pairs of ids are written.  Else byte-identical texts of more than `spelled` ids
+    are a star: their smallest id stands for the others, which are linked to it.  Different texts of a
+    class (equal sets, other case, punctuation or line breaks) are written in all pairs either way.
+    Classes of more than PART members are paired in a grid of cells.
     """
     many = found.rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
     paired = found.pairs.select(F.explode(F.array("a", "b")).alias("fp"))
     # ids of classes that have several rows or a similar class; every other id is alone
     m = cut(bounded_join(found.rows, many.unionByName(paired).distinct(), "fp").distinct())
-    sized = m.groupBy("fp").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("rep"))
-    m = m.join(sized, "fp")
-    small, large = m.where(f"size between 2 and {spelled}"), m.where(f"size > {spelled}")
-    inner = small.alias("x").join(small.alias("y"), (F.col("x.fp") == F.col("y.fp")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
-    star = large.where("id <> rep").select(F.col("rep").alias("id_a"), F.col("id").alias("id_b"))
-    same = inner.unionByName(star).withColumn("similarity", F.lit(1.0))
-    # members that speak for their class in pairs with other classes
-    voices = m.where(f"size <= {spelled} or id = rep").select("fp", "id")
-    across = found.pairs.join(voices.select(F.col("fp").alias("a"), F.col("id").alias("x")), "a").join(voices.select(F.col("fp").alias("b"), F.col("id").alias("y")), "b")
-    across = across.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity")
-    return same.unionByName(across)
+    star = None
+    if spelled is not None:
+        copies = m.groupBy("fp", "same").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("rep"))
+        m = m.join(copies, ["fp", "same"])
+        star = m.where(f"size > {spelled} and id <> rep").select(F.col("rep").alias("id_a"), F.col("id").alias("id_b"), F.lit(1.0).alias("similarity"))
+        m = m.where(f"size <= {spelled} or id = rep")
+    sized = m.groupBy("fp").agg(F.count(F.lit(1)).alias("size"))
+    parts = sized.select("fp", "size", F.ceil(F.col("size") / PART).cast("int").alias("parts"))
+    m = m.join(parts, "fp").select("fp", "id", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+    # cells of every two similar classes, and of each class with itself (lower part first)
+    pairs = found.pairs.unionByName(parts.where("size > 1").select(F.col("fp").alias("a"), F.col("fp").alias("b"), F.lit(1.0).alias("similarity")))
+    pairs = pairs.join(parts.select(F.col("fp").alias("a"), F.col("parts").alias("na")), "a").join(parts.select(F.col("fp").alias("b"), F.col("parts").alias("nb")), "b")
+    cells = pairs.withColumn("pa", F.explode(F.expr("sequence(0, na - 1)"))).withColumn("pb", F.explode(F.expr("sequence(0, nb - 1)"))).where("a <> b or pa <= pb")
+    left, right = m.select(F.col("fp").alias("a"), F.col("part").alias("pa"), F.col("id").alias("x")), m.select(F.col("fp").alias("b"), F.col("part").alias("pb"), F.col("id").alias("y"))
+    met = cells.join(left, ["a", "pa"]).join(right, ["b", "pb"]).where("a <> b or pa < pb or x < y")
+    out = met.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity")
+    return out if star is None else out.unionByName(star)
+
+
+def memberships(found: NearDuplicates) -> DataFrame:
+    """`id, class_id, text_id`: the smallest id of an equal set of runs and of the same text, for each id of the join."""
+    ids = cut(found.rows.select("id", "fp", "same").distinct())
+    texts = ids.groupBy("fp", "same").agg(F.min("id").alias("text_id"))
+    classes = texts.groupBy("fp").agg(F.min("text_id").alias("class_id"))
+    return ids.join(texts.join(classes, "fp"), ["fp", "same"]).select("id", "class_id", "text_id")
 
 
 def groups(found: NearDuplicates, rounds: int = 50) -> DataFrame:

@@ -19,9 +19,17 @@ from quire.runtime import cut, ship, spread, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _similar(spark: SparkSession, d: str) -> nd.NearDuplicates:
+    return nd.near_duplicates(table(spark, d, "kb_chunks"), width=3, num=3, den=5, min_words=20)
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    f = nd.near_duplicates(table(spark, d, "kb_chunks"), width=3, num=3, den=5, min_words=20)
-    return nd.spelled_pairs(f).select(F.col("id_a").alias("chunk_id_a"), F.col("id_b").alias("chunk_id_b"))
+    return nd.spelled_pairs(_similar(spark, d), spelled=None).select(F.col("id_a").alias("chunk_id_a"), F.col("id_b").alias("chunk_id_b"))
+
+
+def p2_members(spark: SparkSession, d: str) -> DataFrame:
+    """The join of p2_found: smallest chunk_id of the same set of runs and of the same text for every chunk in it."""
+    return nd.memberships(_similar(spark, d)).withColumnRenamed("id", "chunk_id")
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
@@ -151,7 +159,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p2_found, p2_groups, p3_found, p3_lines, p3_clean, p4_found, p4_clean, p5_found, p5_clean, p5_wrappers, p6_ids, p6_round_trip, p7_mix, p7_shares, p8_found, p8_shares, p8_cutoffs, p8_heavy]
+    names = [p2_found, p2_members, p2_groups, p3_found, p3_lines, p3_clean, p4_found, p4_clean, p5_found, p5_clean, p5_wrappers, p6_ids, p6_round_trip, p7_mix, p7_shares, p8_found, p8_shares, p8_cutoffs, p8_heavy]
 
     def ready(f: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

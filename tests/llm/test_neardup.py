@@ -64,6 +64,28 @@ def test_large_classes_become_stars_and_lose_no_link(spark):
     assert {v[0] for v in g.values()} == {"c000"} and g["n1"][1] == 81 and g["c000"][1] == 81
 
 
+def test_large_classes_of_different_texts_keep_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(N, "PART", 16)
+    words = [f"word{i}" for i in range(30)]
+    texts = {f"v{i:03}": " ".join(words[:i % 29 + 1]) + [" - ", "\n", ". "][i % 3] + " ".join(words[i % 29 + 1 :]) for i in range(87)}
+    assert len(set(texts.values())) == 87
+    texts |= {f"x{i}": " ".join(words[:-1] + ["other"]) for i in range(3)}
+    found = N.near_duplicates(spark.createDataFrame(list(texts.items()), "id string, text string"), "id", "text", 3, 3, 5, 20)
+    for spelled in (None, N.SPELLED):
+        got = [(r.id_a, r.id_b) for r in N.spelled_pairs(found, spelled).collect()]
+        assert len(got) == len(set(got)) and set(got) == brute(texts, 3, 3, 5, 20)
+
+
+def test_all_pairs_of_copies_and_memberships(spark):
+    base = " ".join(f"word{i}" for i in range(30))
+    texts = {f"c{i:03}": base for i in range(80)} | {"d1": base.upper(), "n1": base.replace("word29", "other")}
+    found = N.near_duplicates(spark.createDataFrame(list(texts.items()), "id string, text string"), "id", "text", 3, 3, 5, 20)
+    got = [(r.id_a, r.id_b) for r in N.spelled_pairs(found, None).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(texts, 3, 3, 5, 20)
+    of = {r.id: (r.class_id, r.text_id) for r in N.memberships(found).collect()}
+    assert of == {i: ("c000", "c000") for i in texts if i[0] == "c"} | {"d1": ("c000", "d1"), "n1": ("n1", "n1")}
+
+
 def test_groups_are_components(spark):
     texts = corpus(60, 7)
     df = spark.createDataFrame(list(texts.items()), "id int, text string")
