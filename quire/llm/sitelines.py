@@ -11,7 +11,8 @@ added up; so a line is counted once for an article that was republished a thousa
 number of documents is still exact.
 
 A line is boilerplate of its source if its documents reach `min_docs` and `min_share` of all documents
-of the source (null texts included), its clusters `min_clusters` and its dates `min_dates`.
+of the source (null texts included), its clusters `min_clusters` and its dates `min_dates`; the dates are
+those known, and a `min_dates` of 1 asks for none, so a source delivered without dates is treated alike.
 
 Scale: texts are never shuffled; line hashes are made distinct per document at the scan, and counted
 with partial aggregation, so neither a hot source nor a hot line gathers in one task.  The lines found
@@ -98,5 +99,7 @@ def site_lines(
     lines = by_day.groupBy("source", "h").agg(F.sum("d").alias("docs"), F.sum("c").alias("clusters"), F.count("day").alias("dates"))
     # one row for each source
     lines = lines.where(F.col("docs") >= min_docs).join(totals, "source")
-    rule = (F.col("docs") * min_share[1] >= F.col("source_docs") * min_share[0]) & (F.col("clusters") >= min_clusters) & (F.col("dates") >= min_dates)
+    rule = (F.col("docs") * min_share[1] >= F.col("source_docs") * min_share[0]) & (F.col("clusters") >= min_clusters)
+    if min_dates > 1:
+        rule &= F.col("dates") >= min_dates
     return SiteLines(chunks, lines, cut(lines.where(rule)), min_letters)

@@ -37,6 +37,16 @@ def test_places_and_cleaning(spark):
     assert {r.source for r in strict.found.collect()} == {"a"}
 
 
+def test_source_without_dates(spark):
+    rows = [(f"c{i}", f"d{i}", "a", f"own line of {i}\n{LEGAL}") for i in range(6)]
+    undated = chunks(spark, rows).selectExpr("chunk_id", "doc_id", "source", "chunk_text", "cast(null as timestamp) as created_at")
+    s = S.site_lines(undated)
+    assert {(r.chunk_id, r.line_no) for r in s.places().collect()} == brute(rows) != set()
+    assert {(r.docs, r.dates) for r in s.found.collect()} == {(6, 0)}
+    assert {r.clean_text for r in s.cleaned().collect()} == {f"own line of {i}" for i in range(6)}
+    assert S.site_lines(undated, min_dates=2).found.count() == 0
+
+
 def test_empty(spark):
     s = S.site_lines(chunks(spark, [("c", "d", "s", "t")]).limit(0))
     assert s.places().count() == 0 and s.cleaned().count() == 0
