@@ -55,7 +55,7 @@ KIND = {
 }
 
 #: What a text must contain to have any token at all; cheap enough for a whole corpus (Java regex).
-HINT = r"(?m)<[!/A-Za-z]|&[#A-Za-z]|^[ \t]{0,3}#|\*\*|`|\]\(|^[ \t]*==|''|\[\[|\{\{|\{\||\\[A-Za-z(\[]|\$|[_^]\{|\|[ \t]*:?-+:?[ \t]*\||-:?[ \t]*\|[ \t]*:?-"
+HINT = r"(?m)<[!/A-Za-z]|&[#A-Za-z]|^[ \t]{0,3}#|\*\*|`|\]\(|^[ \t]*==|''|\[\[|\{\{|\{\||^[ \t]*\|\}|\\[A-Za-z(\[]|\$|[_^]\{|\|[ \t]*:?-+:?[ \t]*\||-:?[ \t]*\|[ \t]*:?-"
 
 _LITERAL = re.compile(r"(?<![\w'])'[^\s'][^'\n]*'(?![\w'])")
 _DRIVE = re.compile(r"(?:^|[^\w\\])(?:[A-Za-z]:|\\\\\w[\w.\-]*)(?:\\[^\s\\]*)*$")

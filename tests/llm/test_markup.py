@@ -34,6 +34,20 @@ def test_operator_finds_what_the_lexer_finds(spark):
     assert len(clean) == len(CASES) and clean[len(CASES) - 3] is None and clean[len(CASES) - 2] == ""
 
 
+def test_hint_lets_every_text_with_tokens_through(spark):
+    # a text of each part of the lexer alone
+    alone = [
+        "```\nx\n```", "<!-- x -->", "<!doctype html>", r"\begin{minted}x\end{minted}", r"\begin{cases}x\end{cases}", "$$x$$", r"\[x\]", r"\(x\)", "$x$", r"\begin{x}", r"\end{x}", r"\ab", r"\v{x}", "_{x}", "^{x}",
+        "<p>", "</p>", "&amp;", "&#9;", "   # x", "a|b\n-|-", "a|b\n| :--: |", "[a](b)", "![](b)", "**x**", "`x`", "``x``", "\t== x ==", "''x''", "[[x]]", "{{x}}", " {| x", "| a || b\n|}", "x\n \t|} ",
+    ]
+    texts = alone + [t for t, _ in CASES if t]
+    rec = records(spark, [("h", t) for t in texts])
+    through = {r.text for r in M.hinted(rec).collect()}
+    assert all(tokens(t) for t in alone) and {t for t in texts if tokens(t)} <= through
+    got = {r.record_key: r.markup for r in M.Markup(rec, M.wrappers(rec)).found().where("markup = 'wiki'").collect()}
+    assert got[str(texts.index("| a || b\n|}"))] == "wiki"
+
+
 def test_wrappers_generalise():
     def wrapper(*texts):
         w = None
