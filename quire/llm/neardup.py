@@ -259,16 +259,30 @@ class NearDuplicates:
         return self.rows.groupBy("id").agg(F.min("fp").alias("fp"))
 
 
+def one_text(df: DataFrame, key: str, text: str) -> DataFrame:
+    """`id, text` of `df` with one text for each id, the smallest; rows may still repeat.
+
+    Only ids and hashes are shuffled; texts are compared only for ids that have several.
+    """
+    src = df.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
+    h = F.xxhash64("text")
+    several = cut(src.groupBy("id").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo <> hi").select("id"))
+    if several.isEmpty():
+        return src
+    least = cut(bounded_join(src, several, "id").groupBy("id").agg(F.min("text").alias("text")))
+    return bounded_join(src, several, "id", "left_anti").unionByName(least)
+
+
 def near_duplicates(df: DataFrame, key: str = "chunk_id", text: str = "chunk_text", width: int = 5, num: int = 4, den: int = 5, min_words: int = 0) -> NearDuplicates:
     """Join all texts of `df` at Jaccard similarity num/den on runs of `width` words."""
-    rows, sketch = profile(df, key, text, width, min_words)
+    src = one_text(df, key, text)
+    rows, sketch = profile(src, "id", "text", width, min_words)
     rows = rows.select("id", "fp", "same")
-    cand = cut(candidates(df, key, text, sketch, width, min_words, num, den))
+    cand = cut(candidates(src, "id", "text", sketch, width, min_words, num, den))
     sides = cand.select("a", "b", F.posexplode(F.array("a", "b")).alias("side", "tag"))
     tags = sides.select("tag").distinct()
     tagged = rows.withColumn("tag", F.expr("shiftrightunsigned(fp, 24)"))
     docs = bounded_join(tagged, tags, "tag").groupBy("fp", "tag").agg(F.min("id").alias("id"))
-    src = df.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null")
     texts = bounded_join(src, docs, "id").dropDuplicates(["fp"])
     near = sides.join(texts.select("tag", "fp", "text"), "tag")
     # both texts of a pair side by side; equal tags of different classes give several

@@ -86,6 +86,18 @@ def test_all_pairs_of_copies_and_memberships(spark):
     assert of == {i: ("c000", "c000") for i in texts if i[0] == "c"} | {"d1": ("c000", "d1"), "n1": ("n1", "n1")}
 
 
+def test_smallest_text_of_an_id_counts(spark):
+    words = [f"word{i}" for i in range(30)]
+    base, far = " ".join(words), " ".join(["zz"] + words[::-1])
+    # a0 has two texts; its smaller one is near b1 and in the class of b2, its other one is that of c1
+    rows = [("a0", far), ("a0", base), ("a0", None), ("b1", " ".join(words[:-1] + ["other"])), ("b2", base.upper()), ("c1", far)]
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, "id string, text string").coalesce(1)
+        found = N.near_duplicates(df, "id", "text", 3, 3, 5, 20)
+        assert sorted((r.id_a, r.id_b) for r in N.spelled_pairs(found, None).collect()) == [("a0", "b1"), ("a0", "b2"), ("b1", "b2")]
+        assert {r.id: r.group_id for r in N.groups(found).collect()} == {"a0": "a0", "b1": "a0", "b2": "a0", "c1": "c1"}
+
+
 def test_groups_are_components(spark):
     texts = corpus(60, 7)
     df = spark.createDataFrame(list(texts.items()), "id int, text string")
