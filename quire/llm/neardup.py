@@ -249,10 +249,11 @@ def _verified(pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 
 class NearDuplicates:
-    """`rows` (id, fp, same): class and text of each id, possibly repeated; `pairs` (a, b, similarity): similar classes."""
+    """`rows` (id, fp, same): class and text of each id, possibly repeated; `pairs` (a, b, similarity): similar classes;
+    `texts` (id, text): what was joined, rows possibly repeated."""
 
-    def __init__(self, rows: DataFrame, pairs: DataFrame):
-        self.rows, self.pairs = rows, pairs
+    def __init__(self, rows: DataFrame, pairs: DataFrame, texts: DataFrame):
+        self.rows, self.pairs, self.texts = rows, pairs, texts
 
     def members(self) -> DataFrame:
         """`id, fp`, one row for each id."""
@@ -289,7 +290,7 @@ def near_duplicates(df: DataFrame, key: str = "chunk_id", text: str = "chunk_tex
     left, right = near.where("side = 0").select("a", "b", F.col("fp").alias("fa"), F.col("text").alias("ta")), near.where("side = 1").select("a", "b", F.col("fp").alias("fb"), F.col("text").alias("tb"))
     both = left.join(right, ["a", "b"]).where("fa <> fb and (a <> b or fa < fb)")
     full = both.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b"), "ta", "tb")
-    return NearDuplicates(rows, cut(_verified(full, width, num, den)))
+    return NearDuplicates(rows, cut(_verified(full, width, num, den)), src)
 
 
 def spelled_pairs(found: NearDuplicates, spelled: int | None = SPELLED) -> DataFrame:
@@ -363,3 +364,19 @@ def groups(found: NearDuplicates, rounds: int = 50) -> DataFrame:
     name = cls.groupBy("root").agg(F.min("first").alias("group_id"))
     cls = cls.join(name, "root").select("fp", "group_id", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
     return members.join(cls, "fp").select("id", "group_id", "links")
+
+
+def all_groups(found: NearDuplicates, df: DataFrame, key: str = "chunk_id") -> DataFrame:
+    """`id, group_id, links` of every id of `df`: `groups`, and the ids that take no part in the join.
+
+    Texts without a run (too few words) are grouped where they are equal; null, empty and blank texts are
+    groups of one.
+    """
+    named = groups(found)
+    ids = df.select(F.col(key).alias("id")).where("id is not null").distinct()
+    # blank texts have no hash
+    hashes = found.texts.where(F.col("text").rlike(r"(?U)\S")).select("id", F.xxhash64("text").alias("h"), F.length("text").alias("len")).distinct()
+    rest = cut(ids.join(found.rows.select("id").distinct(), "id", "left_anti").join(hashes, "id", "left"))
+    copies = rest.where("h is not null").groupBy("h", "len").agg(F.min("id").alias("group_id"), (F.count(F.lit(1)) - 1).alias("links")).where("links > 0")
+    rest = rest.join(copies, ["h", "len"], "left").select("id", F.coalesce("group_id", "id").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    return named.unionByName(rest)

@@ -33,8 +33,9 @@ def p2_members(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Five words and 0.8: group and number of links of every chunk that has a run of five words."""
-    return nd.groups(nd.near_duplicates(table(spark, d, "kb_chunks"))).withColumnRenamed("id", "chunk_id")
+    """Five words and 0.8: group and number of links of every chunk; shorter texts are grouped where they are equal."""
+    chunks = table(spark, d, "kb_chunks")
+    return nd.all_groups(nd.near_duplicates(chunks), chunks).withColumnRenamed("id", "chunk_id")
 
 
 def _site_lines(spark: SparkSession, d: str) -> sl.SiteLines:

@@ -117,6 +117,16 @@ def test_groups_are_components(spark):
     assert got == {i: (min(j for j in texts if top(j) == top(i)), sum(i in p for p in pairs)) for i in texts}
 
 
+def test_every_id_has_a_group(spark, tmp_path):
+    from quire.llm.queries import p2_groups
+
+    long = "one two three four five six seven"
+    rows = [("a1", long), ("a2", long.upper()), ("s1", "too short"), ("s2", "too short"), ("s2", "too short"), ("s3", "Too short"), ("w1", "-"), ("n1", None), ("n2", None), ("e1", ""), ("e2", ""), ("b1", " \n"), ("b2", " \n"), (None, "too short")]
+    spark.createDataFrame(rows, "chunk_id string, chunk_text string").write.parquet(f"{tmp_path}/kb_chunks.parquet")
+    got = sorted((r.chunk_id, r.group_id, r.links) for r in p2_groups(spark, str(tmp_path)).collect())
+    assert got == [("a1", "a1", 1), ("a2", "a1", 1)] + [(i, i, 0) for i in ("b1", "b2", "e1", "e2", "n1", "n2")] + [("s1", "s1", 1), ("s2", "s1", 1), ("s3", "s3", 0), ("w1", "w1", 0)]
+
+
 def test_cells_let_every_pair_meet_once(monkeypatch):
     monkeypatch.setattr(N, "CELL", 3)
     n = 40
