@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.options import FIGURE_NUMBER, IMAGE_EXTENSIONS, SKIP_TITLES, SUBFIGURE_LABELS, WATERMARKS
+from quire.options import FIGURE_NUMBER, FOLDER_UUID, IMAGE_EXTENSIONS, SKIP_TITLES, SUBFIGURE_LABELS, WATERMARKS
 
 WS = r"[\s\x1c-\x1f]"
 
@@ -37,6 +37,11 @@ def pattern(p: str, flags: str = "") -> str:
     return f"(?Ud{flags})" + _ws(p)
 
 
+def bound(value: Column, body) -> Column:
+    """`body` of a value that is computed once: lambda variables are bound, while projected columns are inlined again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """White space of any kind cut from both ends."""
     return F.regexp_replace(c, pattern(r"^\s+|\s+\z"), "")
@@ -84,7 +89,7 @@ def html_rows(html: Column) -> Column:
 
 def skips_section(title: Column) -> Column:
     """Whether a title opens a section of low value."""
-    return F.coalesce(F.lower(clean_title(title)).rlike(pattern(r"^\s*(" + "|".join(SKIP_TITLES) + ")")), F.lit(False))
+    return F.coalesce(F.lower(clean_title(title)).rlike(pattern("|".join(SKIP_TITLES))), F.lit(False))
 
 
 def has_figure_number(c: Column) -> Column:
@@ -93,7 +98,7 @@ def has_figure_number(c: Column) -> Column:
 
 def is_subfigure_label(caption: Column) -> Column:
     s = strip(caption)
-    label = s.rlike(pattern(r"^\s*(" + "|".join(SUBFIGURE_LABELS) + r")\s*\n?\z", "i"))
+    label = s.rlike(pattern("|".join(SUBFIGURE_LABELS), "i"))
     return F.coalesce((F.length(s) < 50) & ~has_figure_number(s) & label, F.lit(False))
 
 
@@ -102,12 +107,9 @@ def is_image_path(path: Column) -> Column:
     return F.coalesce(path.rlike(r"(?i)[^/]\.(" + "|".join(IMAGE_EXTENSIONS) + r")\z"), F.lit(False))
 
 
-_UUID = r"-[a-f0-9]{8}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{12}$"
-
-
 def doc_title(dirname: Column) -> Column:
     """A folder's name without its uuid and without .pdf."""
-    return F.regexp_replace(F.regexp_replace(dirname, _UUID, ""), r"\.pdf$", "")
+    return F.regexp_replace(F.regexp_replace(dirname, FOLDER_UUID, ""), r"\.pdf$", "")
 
 
 def doc_id(dirname: Column) -> Column:

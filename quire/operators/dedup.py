@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
@@ -18,19 +18,20 @@ def affix_counts(texts: DataFrame, key: str = "key", text: str = "chunk_text", o
     return counted.where(F.col("n") > opts.affix_count)
 
 
-def strip_affixes(texts: DataFrame, affixes: DataFrame, text: str = "chunk_text") -> DataFrame:
+def strip_affixes(texts: DataFrame, affixes: DataFrame, text: str = "chunk_text", only: Column | None = None) -> DataFrame:
     """Texts (with `key`) after at most one prefix and one suffix is cut; adds `removed` (array of flags).
 
     Where several affixes fit the longest is taken.  A document has few common affixes (at most its texts
-    over `affix_count`); they come as one array for each document.
+    over `affix_count`); they come as one array for each document.  With `only`, other rows stay as they are.
     """
+    may = F.lit(True) if only is None else only
     side = lambda s: F.collect_list(F.when(F.col("side") == s, F.col("affix")))
     per = affixes.groupBy("key").agg(side("prefix").alias("_pre"), side("suffix").alias("_suf"))
     j = texts.join(per, "key", "left")
     longest = lambda c: F.get(F.array_sort(c, lambda a, b: F.length(b) - F.length(a)), F.lit(0))
-    j = j.withColumn("_p", longest(F.filter("_pre", lambda p: F.startswith(F.col(text), p))))
+    j = j.withColumn("_p", longest(F.filter("_pre", lambda p: may & F.startswith(F.col(text), p))))
     cut = F.when(F.col("_p").isNotNull(), X.strip(F.substr(F.col(text), F.length("_p") + 1))).otherwise(F.col(text))
-    j = j.withColumn("_t", cut).withColumn("_s", longest(F.filter("_suf", lambda s: F.endswith(F.col("_t"), s))))
+    j = j.withColumn("_t", cut).withColumn("_s", longest(F.filter("_suf", lambda s: may & F.endswith(F.col("_t"), s))))
     done = F.when(F.col("_s").isNotNull(), X.strip(F.left(F.col("_t"), F.length("_t") - F.length("_s")))).otherwise(F.col("_t"))
     flags = F.filter(F.array(F.when(F.col("_p").isNotNull(), F.lit("removed_header")), F.when(F.col("_s").isNotNull(), F.lit("removed_footer"))), lambda x: x.isNotNull())
     return j.withColumn(text, done).withColumn("removed", flags).drop("_pre", "_suf", "_p", "_t", "_s")

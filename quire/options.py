@@ -21,37 +21,38 @@ TYPE_MAPPING = {
     "page_aside_text": "noise",
 }
 IMAGE_EXTENSIONS = ("jpg", "jpeg", "png", "gif", "bmp", "webp")
-#: Titles whose sections are skipped; each is matched from the start of the cleaned, lower-cased title.
+#: Titles whose sections are skipped; matched against the cleaned, lower-cased title.
 SKIP_TITLES = (
-    r"contents\s*$",
-    r"table of contents\s*$",
-    r"list of figures\s*$",
-    r"list of tables\s*$",
-    r"rev\.\s*\w+",
-    r"revision\s*history\s*$",
-    r"document\s*history\s*$",
-    r"change\s*history\s*$",
+    r"^\s*contents\s*$",
+    r"^\s*table of contents\s*$",
+    r"^\s*list of figures\s*$",
+    r"^\s*list of tables\s*$",
+    r"^\s*rev\.\s*\w+",
+    r"^\s*revision\s*history\s*$",
+    r"^\s*document\s*history\s*$",
+    r"^\s*change\s*history\s*$",
 )
-#: Captions that are labels of parts of a figure; each is matched whole, without case.
+#: Captions that are labels of parts of a figure; matched without case.
 SUBFIGURE_LABELS = (
-    r"(MLC|TLC|SLC)\s+Page",
-    r"Top\s+View",
-    r"Bottom\s+View",
-    r"Side\s+View",
-    r"Front\s+View",
-    r"Back\s+View",
-    r"Left",
-    r"Right",
-    r"Detail\s*[A-Z]",
-    r"Zoom\s*(In|Out)",
-    r"Close[\s-]*up",
-    r"Enlarged\s+View",
-    r"Partial\s+View",
-    r"Note[\s:]*",
-    r"Legend",
+    r"^\s*(MLC|TLC|SLC)\s+Page\s*$",
+    r"^\s*Top\s+View\s*$",
+    r"^\s*Bottom\s+View\s*$",
+    r"^\s*Side\s+View\s*$",
+    r"^\s*Front\s+View\s*$",
+    r"^\s*Back\s+View\s*$",
+    r"^\s*Left\s*$",
+    r"^\s*Right\s*$",
+    r"^\s*Detail\s*[A-Z]\s*$",
+    r"^\s*Zoom\s*(In|Out)\s*$",
+    r"^\s*Close[\s-]*up\s*$",
+    r"^\s*Enlarged\s+View\s*$",
+    r"^\s*Partial\s+View\s*$",
+    r"^\s*Note[\s:]*$",
+    r"^\s*Legend\s*$",
 )
 FIGURE_NUMBER = r"(Figure|Fig\.?|图)\s*\d+[\w\-\.]*"
 WATERMARKS = (r"www\.[a-zA-Z0-9.-]+\.(com|cn|net|org)", r"Copyright\s*©?\s*\d{4}.*", r"All\s+rights\s+reserved")
+FOLDER_UUID = r"-[a-f0-9]{8}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{12}$"
 COUNTERS = (
     "total_chunks",
     "text_chunks",
@@ -91,7 +92,6 @@ class Options:
     affix_length: int = 50
     affix_min: int = 20
     affix_count: int = 3
-    max_depth: int = 12
     project_root: str = ""
     parser: str = "layout-postprocessed"
     strict: bool = False

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from quire.functions import text as X
 from quire.operators import dedup, figures, nested, tables
 from quire.operators.packing import greedy_bins, split_pieces
-from quire.operators.sections import explode_blocks, with_sections
+from quire.operators.sections import explode_blocks, sectioned
 from quire.options import COUNTERS, Options
 from quire.plans.pipeline import Packed, pack
 from quire.plans.pipeline import error_summary as summarised
@@ -30,7 +30,7 @@ def _blocks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sections(spark: SparkSession, d: str) -> DataFrame:
-    return with_sections(explode_blocks(_files(spark, d)))
+    return sectioned(_files(spark, d))
 
 
 def _listing(spark: SparkSession, d: str) -> DataFrame:

@@ -31,6 +31,7 @@ def session(app: str = "quire", cpus: str = "*", **conf: str) -> SparkSession:
 
 
 _SHIPPED: set[str] = set()
+_OWN: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -51,13 +52,28 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(target)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder of spark.checkpoint.dir; a private one is made only where none is set (tests)."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor sees: that of spark.checkpoint.dir.
+
+    Only a local session, as in tests, may go without the setting and gets a folder of its own; on a cluster a
+    machine-local folder would lose what other machines wrote, so the setting is required there.
+    """
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
     given = sc.getConf().get("spark.checkpoint.dir", "")
-    sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="quire-ckpt-"))
+    if given:
+        return given
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.applicationId not in _OWN:
+        _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="quire-ckpt-")
+    return _OWN[sc.applicationId]
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Checkpoint into the shared folder, unless the session has a checkpoint folder already."""
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(shared_folder(spark))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -75,14 +91,33 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 200_000) -> DataFrame:
-    """Join with a broadcast only when `small` has at most `max_rows` rows.
+#: Tables are broadcast up to this many bytes, as estimated from their rows' own lengths.
+BROADCAST_BYTES = 64 << 20
+
+
+def small_enough(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether all rows of a materialised table together stay within `max_bytes`.
+
+    Strings and arrays are measured as text, other columns at 16 bytes, and every row at 32 bytes more.
+    """
+    wide = [c for c, t in df.dtypes if t == "string" or t == "binary"]
+    nested = [c for c, t in df.dtypes if t.startswith(("array", "map", "struct"))]
+    size = F.lit(32 + 16 * len(df.columns))
+    for c in wide:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    for c in nested:
+        size = size + F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0))
+    return df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0] <= max_bytes
+
+
+def bounded_join(big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join with a broadcast only when `small` has at most `max_bytes` bytes.
 
-    `small` is written to the checkpoint folder and counted first, so the size is known rather than
+    `small` is written to the checkpoint folder and measured first, so the size is known rather than
     guessed; beyond the bound the join is an ordinary shuffle join, whose hot keys AQE splits.
     """
     small = cut(small)
-    if small.limit(max_rows + 1).count() <= max_rows:
+    if small_enough(small, max_bytes):
         small = F.broadcast(small)
     return big.join(small, on, how)
 

@@ -64,19 +64,23 @@ def test_affixes_are_cut_and_emptied_texts_stay(spark):
 
 
 def test_section_depths_match_a_stack(spark):
-    from quire.operators.sections import explode_blocks, with_sections
+    from quire.operators.sections import explode_blocks, sectioned
 
     rng = random.Random(4)
     docs, want = [], []
-    for _ in range(12):
-        titles = [(rng.randint(1, 5), f"t{k}") for k in range(rng.randint(1, 25))]
+    for d in range(13):
+        # the last document nests forty titles
+        titles = [(rng.randint(1, 5), f"t{k}") for k in range(rng.randint(1, 25))] if d < 12 else [(k + 1, f"t{k}") for k in range(40)]
         docs.append([[{"type": "title", "content": {"level": lv, "title_content": golden.t(s)}} for lv, s in titles]])
         want.append(golden.stack_paths(titles))
-    rows = with_sections(explode_blocks(files(spark, *docs))).orderBy("key", "block_index").collect()
+    f = files(spark, *docs)
+    rows = sectioned(f).orderBy("key", "block_index").collect()
+    plain = explode_blocks(f).select("key", "page_no", "block_idx", "block_index", "block_id")
+    assert sorted(map(tuple, plain.collect())) == sorted((r.key, r.page_no, r.block_idx, r.block_index, r.block_id) for r in rows)
     got = {}
     for r in rows:
         got.setdefault(r.key, []).append(list(r.section_path))
-    assert [got[i] for i in range(1, 13)] == want
+    assert [got[i] for i in range(1, 14)] == want
 
 
 @pytest.mark.parametrize("caption,nearby,section,kind", [
