@@ -82,21 +82,21 @@ b AS (SELECT file_id, doc_id, CAST(page_no AS INTEGER) AS page_no, CAST(block_id
 bi AS (SELECT *, 'p' || page_no || '_b' || block_index AS block_id FROM b)
 """
 
-_DEPTH = 12
-
 _S = f"""
 {_B},
 t0 AS (SELECT *, coalesce(type = 'title', false) AS is_title, greatest(coalesce(content.level, 1), 1) AS lvl, {_inline("content.title_content")} AS title FROM bi),
-t1 AS (SELECT *, sum(is_title::int) OVER (PARTITION BY file_id ORDER BY block_index) AS k FROM t0),
-t2 AS (SELECT *, k + least(0, coalesce(min(CASE WHEN is_title THEN lvl - k END) OVER (PARTITION BY file_id ORDER BY block_index), 0)) AS depth FROM t1),
-t3 AS (SELECT *, {", ".join(f"last_value(CASE WHEN is_title AND depth = {j} THEN title END IGNORE NULLS) OVER (PARTITION BY file_id ORDER BY block_index) AS s{j}" for j in range(1, _DEPTH + 1))},
-  coalesce(last_value(CASE WHEN is_title THEN {_skips("title")} END IGNORE NULLS) OVER (PARTITION BY file_id ORDER BY block_index), false) AS skip FROM t2),
-s AS (SELECT *, array_to_string(list_slice([{", ".join(f"coalesce(s{j}, '')" for j in range(1, _DEPTH + 1))}], 1, CAST(depth AS BIGINT)), ' > ') AS section_title,
+t1 AS (SELECT *, coalesce(sum(is_title::int) OVER (PARTITION BY file_id ORDER BY block_index), 0) AS k FROM t0),
+stack AS (
+  SELECT file_id, CAST(0 AS HUGEINT) AS k, CAST([] AS VARCHAR[]) AS path, false AS skip FROM (SELECT DISTINCT file_id FROM bi)
+  UNION ALL
+  SELECT t.file_id, t.k, list_concat(stack.path[1:t.lvl - 1], [t.title]), {_skips("t.title")} FROM stack JOIN (SELECT * FROM t1 WHERE is_title) t ON t.file_id = stack.file_id AND t.k = stack.k + 1
+),
+s AS (SELECT t1.*, len(stack.path) AS depth, array_to_string(stack.path, ' > ') AS section_title, stack.skip,
   CASE WHEN is_title THEN 'title'
        WHEN type IN ('page_header', 'page_footer', 'page_number', 'header', 'footer', 'page_aside_text') THEN 'noise'
-       WHEN skip AND type IN ('paragraph', 'list', 'table') THEN 'low_value'
+       WHEN stack.skip AND type IN ('paragraph', 'list', 'table') THEN 'low_value'
        WHEN type IN ('paragraph', 'list') THEN 'text' WHEN type = 'table' THEN 'table' WHEN type = 'image' THEN 'image'
-       WHEN type = 'equation_interline' THEN 'formula' ELSE 'unsupported' END AS route FROM t3)
+       WHEN type = 'equation_interline' THEN 'formula' ELSE 'unsupported' END AS route FROM t1 JOIN stack ON stack.file_id = t1.file_id AND stack.k = t1.k)
 """
 
 # ---- nested records ----------------------------------------------------------------------------
@@ -132,10 +132,10 @@ SQL["inline_texts"] = f"""WITH {_B} SELECT file_id, block_id, {_inline("content.
 SQL["clean_texts"] = f"""WITH a AS (SELECT DISTINCT chunk_id AS id, chunk_text AS t FROM kb_chunks UNION ALL SELECT CAST(doc_id AS VARCHAR), text FROM documents)
 SELECT id, {_clean("t")} AS clean FROM a"""
 SQL["token_counts"] = "SELECT doc_id, length(text) // 4 AS tokens FROM documents"
-SQL["section_paths"] = f"WITH {_S} SELECT file_id, block_id, CAST(depth AS BIGINT) AS depth, section_title FROM s"
+SQL["section_paths"] = f"WITH RECURSIVE {_S} SELECT file_id, block_id, CAST(depth AS BIGINT) AS depth, section_title FROM s"
 SQL["clean_titles"] = f"SELECT DISTINCT chunk_id, {_title('section_title')} AS title, {_skips('section_title')} AS skips FROM kb_chunks"
-SQL["routes"] = f"WITH {_S} SELECT file_id, route, count(*) AS blocks FROM s GROUP BY 1, 2"
-SQL["segments"] = f"""WITH {_S} SELECT file_id, block_id, CAST(coalesce(sum((route IN ('table', 'image', 'formula', 'unsupported'))::int)
+SQL["routes"] = f"WITH RECURSIVE {_S} SELECT file_id, route, count(*) AS blocks FROM s GROUP BY 1, 2"
+SQL["segments"] = f"""WITH RECURSIVE {_S} SELECT file_id, block_id, CAST(coalesce(sum((route IN ('table', 'image', 'formula', 'unsupported'))::int)
   OVER (PARTITION BY file_id ORDER BY block_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS segment FROM s"""
 
 # ---- packing -----------------------------------------------------------------------------------------
@@ -153,24 +153,56 @@ r AS (
 SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(bin AS INTEGER) AS bin FROM r
 """
 
+def _pieces(src: str, keys: str, name: str) -> str:
+    """CTEs that cut the texts `t` of `src` at 900 tokens: `name` has the keys, `piece` and `part`."""
+    k = [x.strip() for x in keys.split(",")]
+    same = lambda a, b: " AND ".join(f"{a}.{x} = {b}.{x}" for x in k)
+    pick = lambda a: ", ".join(f"{a}.{x}" for x in k)
+    return rf"""
+{name}_p AS (SELECT {keys}, unnest(string_split(t, chr(10) || chr(10))) AS p, generate_subscripts(string_split(t, chr(10) || chr(10)), 1) AS i FROM {src} WHERE length(t) // 4 > 900),
+{name}_l AS (SELECT *, length(p) // 4 > 900 AS far, coalesce(lag(length(p) // 4 > 900) OVER (PARTITION BY {keys} ORDER BY i), true) AS was FROM {name}_p),
+{name}_r AS (SELECT *, sum((far OR was)::int) OVER (PARTITION BY {keys} ORDER BY i) AS run FROM {name}_l),
+{name}_u AS (SELECT {keys}, i, run, far, 0 AS j, p AS u FROM {name}_r WHERE NOT far
+  UNION ALL SELECT {keys}, i, run, far, generate_subscripts(l, 1), unnest(l) FROM (SELECT *, string_split(regexp_replace(p, '([.!?。！？])[{_WS}]+', '\1' || chr(1), 'g'), chr(1)) AS l FROM {name}_r WHERE far)),
+{name}_n AS (SELECT *, length(u) // 4 AS n, row_number() OVER (PARTITION BY {keys} ORDER BY i, j) AS pos FROM {name}_u),
+{name}_b AS (
+  SELECT {keys}, pos, run, 0 AS piece, n AS used FROM {name}_n WHERE pos = 1
+  UNION ALL
+  SELECT {pick("x")}, x.pos, x.run, CASE WHEN x.run <> y.run OR y.used + x.n > 900 THEN y.piece + 1 ELSE y.piece END, CASE WHEN x.run <> y.run OR y.used + x.n > 900 THEN x.n ELSE y.used + x.n END
+  FROM {name}_b y JOIN {name}_n x ON {same("x", "y")} AND x.pos = y.pos + 1
+),
+{name} AS (SELECT {keys}, 0 AS piece, t AS part FROM {src} WHERE length(t) // 4 <= 900
+  UNION ALL SELECT {pick("x")}, y.piece, CASE WHEN bool_or(x.far) THEN string_agg(x.u, ' ' ORDER BY x.pos) ELSE string_agg(x.u, chr(10) || chr(10) ORDER BY x.pos) END
+  FROM {name}_n x JOIN {name}_b y ON {same("x", "y")} AND x.pos = y.pos GROUP BY {pick("x")}, y.piece)
+"""
+
+
+SQL["split_texts"] = f"WITH RECURSIVE src AS (SELECT doc_id, text AS t FROM documents WHERE text IS NOT NULL), {_pieces('src', 'doc_id', 'pc')} SELECT doc_id, CAST(piece AS INTEGER) AS piece, part FROM pc"
+
 # ---- tables ------------------------------------------------------------------------------------------
 
-_TB = rf"""
-{_B},
+
+
+def _tb(src: str) -> str:
+    """CTEs from table blocks of `src` to `full_text`: cells, row texts and the whole table as text."""
+    return rf"""
 h AS (SELECT file_id, block_id, content, list_transform(regexp_extract_all(coalesce(content.html, ''), '(?s)<tr>(.*?)</tr>', 1),
-    lambda r: list_transform(regexp_extract_all(r, '(?s)<t[dh]>(.*?)</t[dh]>', 1), lambda c: {_strip("regexp_replace(c, '<[^>]+>', '', 'g')")})) AS a FROM bi WHERE type = 'table'),
+    lambda r: list_transform(regexp_extract_all(r, '(?s)<t[dh]>(.*?)</t[dh]>', 1), lambda c: {_strip("regexp_replace(c, '<[^>]+>', '', 'g')")})) AS a FROM {src} WHERE type = 'table'),
 tb AS (SELECT file_id, block_id, coalesce(a[1], []) AS headers, a[2:] AS rows, {_inline("content.table_caption")} AS caption, {_inline("content.table_footnote")} AS footnote FROM h),
 tt AS (SELECT *, list_transform(rows, lambda r, i: CASE WHEN len(r) > 0 THEN 'Row ' || i || ': ' || array_to_string(r, ' | ') END) AS texts FROM tb),
 full_text AS (SELECT *, concat_ws(chr(10), CASE WHEN caption <> '' THEN 'Table: ' || caption END, CASE WHEN len(headers) > 0 THEN 'Columns: ' || array_to_string(headers, ' | ') END,
    CASE WHEN len(list_filter(texts, lambda x: x IS NOT NULL)) > 0 THEN array_to_string(list_filter(texts, lambda x: x IS NOT NULL), chr(10)) END, CASE WHEN footnote <> '' THEN 'Note: ' || footnote END) AS text FROM tt)
 """
+
+
+_TB = f"{_B}, {_tb('bi')}"
 SQL["html_tables"] = f"WITH {_TB} SELECT file_id, block_id, array_to_string(headers, ' | ') AS header, coalesce(array_to_string(list_transform(rows, lambda r: array_to_string(r, ' | ')), chr(10)), '') AS body, caption, footnote FROM tb"
 SQL["table_texts"] = f"WITH {_TB} SELECT file_id, block_id, text FROM full_text"
 
 
-def _parts(cap: int, extra: str) -> str:
+def _parts(cap: int) -> str:
+    """CTEs from `full_text` to `o`, the table chunks at a cap."""
     return rf"""
-WITH RECURSIVE {_TB},
 sized AS (SELECT *, (length(CASE WHEN caption <> '' THEN 'Table: ' || caption || ' (Part X/Y)' || chr(10) ELSE '' END || CASE WHEN len(headers) > 0 THEN 'Columns: ' || array_to_string(headers, ' | ') ELSE '' END)) // 4 AS head
   FROM full_text WHERE length(text) // 4 > {cap} AND len(rows) > 0),
 r0 AS (SELECT file_id, block_id, head, len(rows) AS n_rows, footnote <> '' AS noted, unnest(list_transform(texts, lambda x: length(coalesce(x, '')) // 4)) AS n, generate_subscripts(texts, 1) AS pos FROM sized),
@@ -193,12 +225,12 @@ o AS (
      ELSE concat_ws(chr(10), columns, body, note) END,
    nullif(greatest(length(concat_ws(chr(10), CASE WHEN caption <> '' THEN 'Table: ' || caption || ' (Part ' || part || '/' || greatest(2, (len(rows) + n_mine - 1) // n_mine) || ')' END, columns, body, note)) // 4, {cap}), {cap}) FROM y
 )
-SELECT file_id, block_id, CAST(part AS INTEGER) AS part, CAST(parts AS INTEGER) AS parts, is_split, chunk_text{extra} FROM o
 """
 
 
-SQL["table_parts"] = _parts(900, "")
-SQL["table_parts_tight"] = _parts(120, ", oversized")
+_PART = "CAST(part AS INTEGER) AS part, CAST(parts AS INTEGER) AS parts, is_split, chunk_text"
+SQL["table_parts"] = f"WITH RECURSIVE {_TB}, {_parts(900)} SELECT file_id, block_id, {_PART} FROM o"
+SQL["table_parts_tight"] = f"WITH RECURSIVE {_TB}, {_parts(120)} SELECT file_id, block_id, {_PART}, oversized FROM o"
 
 # ---- figures -----------------------------------------------------------------------------------------
 
@@ -207,7 +239,7 @@ l AS (SELECT DISTINCT image_path FROM kb_chunks WHERE image_path <> ''),
 i AS (SELECT file_id, block_id, content.image_source.path AS path, coalesce(regexp_matches(content.image_source.path, '(?i)[^/]\.(jpg|jpeg|png|gif|bmp|webp)\z'), false) AS good FROM bi WHERE type IN ('image', 'table'))
 SELECT file_id, block_id, good, good AND l.image_path IS NOT NULL AS there, good AND l.image_path IS NULL AS missing FROM i LEFT JOIN l ON l.image_path = i.path
 """
-SQL["nearby_texts"] = f"""WITH {_S},
+SQL["nearby_texts"] = f"""WITH RECURSIVE {_S},
 x AS (SELECT file_id, page_no, block_idx, type, section_title, block_id, CASE WHEN type IN ('paragraph', 'list') THEN {_clean("CASE WHEN type = 'paragraph' THEN " + _inline("content.paragraph_content") + " ELSE " + _list_text("content.list_items") + " END")} END AS t FROM s),
 e AS (SELECT file_id, page_no, block_idx, section_title AS sec, left(t, 500) AS t FROM x WHERE length(t) > 20),
 i AS (SELECT * FROM x WHERE type = 'image'),
@@ -249,3 +281,117 @@ SQL["counter_totals"] = " UNION ALL ".join(f"SELECT '{c}' AS counter, CAST(sum({
 SQL["self_check"] = """SELECT doc_id, skipped_low_value_sections, skipped_weak_figures, subfigure_fragments_merged, oversized_table_chunks, aside_noise,
   CASE WHEN figure_chunks + skipped_weak_figures > 0 THEN skipped_weak_figures / (figure_chunks + skipped_weak_figures) ELSE 0.0::DOUBLE END AS weak_share FROM kb_stats"""
 SQL["manifest_policy"] = "SELECT doc_id, chunking_policy.target_tokens AS target_tokens, chunking_policy.hard_cap AS hard_cap, chunking_policy.merge_short_blocks AS merge, CAST(coalesce(cardinality(input_files_used), 0) AS BIGINT) AS files_used FROM kb_manifest"
+
+# ---- the whole packager --------------------------------------------------------------------------------
+
+_RAWTEXT = "CASE WHEN type = 'paragraph' THEN " + _inline("content.paragraph_content") + " WHEN type = 'list' THEN " + _list_text("content.list_items") + " END"
+_BT = f"""
+bt AS MATERIALIZED (SELECT *, {_clean(_RAWTEXT)} AS t, CAST(coalesce(sum((route IN ('table', 'image', 'formula', 'unsupported'))::int)
+  OVER (PARTITION BY file_id ORDER BY block_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS segment FROM s),
+ti AS (SELECT file_id, segment, page_no, section_title, block_id, t, length(t) // 4 AS n, row_number() OVER (PARTITION BY file_id, segment ORDER BY block_index) AS pos FROM bt WHERE route = 'text' AND length(t) >= 10),
+mb AS (
+  SELECT file_id, segment, pos, 0 AS bin, CASE WHEN n >= 300 THEN 0 ELSE n END AS used, n < 300 AS filled FROM ti WHERE pos = 1
+  UNION ALL
+  SELECT x.file_id, x.segment, x.pos, CASE WHEN x.n < 300 AND m.filled AND m.used + x.n <= 700 THEN m.bin ELSE m.bin + 1 END,
+    CASE WHEN x.n >= 300 THEN 0 WHEN m.filled AND m.used + x.n <= 700 THEN m.used + x.n ELSE x.n END, x.n < 300
+  FROM mb m JOIN ti x ON x.file_id = m.file_id AND x.segment = m.segment AND x.pos = m.pos + 1
+),
+mg AS (SELECT ti.file_id, ti.segment, mb.bin, string_agg(t, chr(10) || chr(10) ORDER BY ti.pos) AS t, arg_min(page_no, ti.pos) AS page_no, arg_min(section_title, ti.pos) AS section_title,
+  CASE WHEN count(*) > 1 THEN 'merged_' ELSE '' END || arg_min(block_id, ti.pos) AS source_block_id, CASE WHEN count(*) > 1 THEN string_agg(block_id, ',' ORDER BY ti.pos) ELSE '' END AS members
+  FROM ti JOIN mb ON ti.file_id = mb.file_id AND ti.segment = mb.segment AND ti.pos = mb.pos GROUP BY 1, 2, 3),
+{_pieces("mg", "file_id, segment, bin", "pc")},
+tx AS MATERIALIZED (SELECT mg.file_id, mg.segment, CAST(mg.bin AS INTEGER) AS bin, CAST(pc.piece AS INTEGER) AS piece, mg.page_no, mg.section_title, mg.source_block_id, mg.members, pc.part AS chunk_text
+  FROM mg JOIN pc ON pc.file_id = mg.file_id AND pc.segment = mg.segment AND pc.bin = mg.bin)
+"""
+SQL["text_chunks"] = f"WITH RECURSIVE {_S}, {_BT} SELECT * FROM tx"
+
+_GOOD = r"coalesce(regexp_matches(content.image_source.path, '(?i)[^/]\.(jpg|jpeg|png|gif|bmp|webp)\z'), false)"
+_IM = f"""
+li AS (SELECT DISTINCT v.file_id, k.image_path AS path FROM content_list_v2 v JOIN kb_chunks k ON k.doc_id = v.doc_id WHERE k.image_path <> ''),
+wi AS MATERIALIZED (SELECT bt.*, content.image_source.path AS raw, {_GOOD} AS good, {_GOOD} AND li.path IS NOT NULL AS there,
+  CASE WHEN {_GOOD} AND li.path IS NOT NULL THEN replace(content.image_source.path, '\\', '/') ELSE '' END AS image_path
+  FROM bt LEFT JOIN li ON li.file_id = bt.file_id AND li.path = content.image_source.path WHERE route IN ('table', 'image')),
+el AS (SELECT file_id, page_no, block_idx, section_title AS sec, left(t, 500) AS t FROM bt WHERE type IN ('paragraph', 'list') AND length(t) > 20),
+nb AS (SELECT i.file_id, i.block_id,
+  arg_min(m.t, m.block_idx) FILTER (WHERE m.page_no = i.page_no AND m.block_idx BETWEEN i.block_idx + 1 AND i.block_idx + 10) AS forward,
+  arg_max(m.t, m.block_idx) FILTER (WHERE m.page_no = i.page_no AND m.block_idx BETWEEN i.block_idx - 10 AND i.block_idx - 1) AS backward,
+  arg_min(m.t, abs(m.page_no - i.page_no) * 2000000 + CASE WHEN m.page_no > i.page_no THEN 1000000 + m.block_idx ELSE -m.block_idx END) FILTER (WHERE m.page_no <> i.page_no) AS neighbour
+  FROM wi i LEFT JOIN el m ON m.file_id = i.file_id AND abs(m.page_no - i.page_no) <= 2 AND (i.section_title = '' OR m.sec = '' OR m.sec = i.section_title) WHERE i.route = 'image' GROUP BY 1, 2),
+rc AS (SELECT file_id, block_id, CASE WHEN abs(p - page_no) <= 2 THEN left(chunk_text, 500) END AS recent FROM (
+  SELECT i.file_id, i.block_id, i.page_no, x.page_no AS p, x.chunk_text, row_number() OVER (PARTITION BY i.file_id, i.block_id ORDER BY x.segment DESC, x.bin DESC, x.piece DESC) AS rn
+  FROM wi i JOIN tx x ON x.file_id = i.file_id AND x.segment <= i.segment AND (i.section_title = '' OR x.section_title = i.section_title) WHERE i.route = 'image') WHERE rn = 1),
+i1 AS (SELECT wi.*, rc.recent, {_inline("content.image_caption")} AS caption,
+  coalesce(nullif(nb.forward, ''), nullif(nb.backward, ''), nullif(rc.recent, ''), nullif(nb.neighbour, ''), section_title) AS nearby
+  FROM wi LEFT JOIN nb ON nb.file_id = wi.file_id AND nb.block_id = wi.block_id LEFT JOIN rc ON rc.file_id = wi.file_id AND rc.block_id = wi.block_id WHERE route = 'image'),
+i2 AS (SELECT *, {_strip("caption")} AS cap, {_strip("nearby")} AS near,
+  coalesce(nullif(concat_ws(chr(10), CASE WHEN caption <> '' THEN 'Figure: ' || caption END, CASE WHEN nearby <> '' THEN 'Context: ' || nearby END), ''), 'Figure (see image)') AS text FROM i1),
+i3 AS (SELECT *, CASE WHEN length(cap) < 50 AND NOT regexp_matches(cap, '{_NUM}') AND regexp_matches(cap, '{_LAB}') THEN 'subfigure'
+    WHEN starts_with(text, 'Context:') AND length(cap) <= 5 THEN 'weak' WHEN regexp_matches(cap, '{_NUM}') THEN 'formal'
+    WHEN length(cap) > 5 AND near <> section_title AND length(cap) + length(near) >= 50 THEN 'formal'
+    WHEN length(cap) <= 5 AND near = section_title THEN 'weak' WHEN length(cap) + length(near) < 30 THEN 'weak' ELSE 'formal' END AS class FROM i2),
+i4 AS (SELECT *, last_value(CASE WHEN class = 'formal' THEN block_index END IGNORE NULLS) OVER w AS lb, last_value(CASE WHEN class = 'formal' THEN page_no END IGNORE NULLS) OVER w AS lp
+  FROM i3 WINDOW w AS (PARTITION BY file_id, k ORDER BY block_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+im AS MATERIALIZED (SELECT *, CASE WHEN class = 'subfigure' AND abs(lp - page_no) <= 1 THEN lb END AS parent FROM i4),
+sub AS (SELECT file_id, parent, count(*) AS parts, string_agg(chr(10) || '[Subfigure: ' || caption || ']' || CASE WHEN image_path <> '' THEN ' (Image: ' || image_path || ')' ELSE '' END, '' ORDER BY block_index) AS tail
+  FROM im WHERE parent IS NOT NULL GROUP BY 1, 2),
+fg AS (SELECT im.file_id, im.doc_id, im.segment, im.block_index, im.page_no, im.section_title, im.block_id, im.image_path, im.text || coalesce(sub.tail, '') AS chunk_text, coalesce(sub.parts, 0) AS parts
+  FROM im LEFT JOIN sub ON sub.file_id = im.file_id AND sub.parent = im.block_index WHERE class = 'formal')
+"""
+SQL["figure_context"] = f"WITH RECURSIVE {_S}, {_BT}, {_IM} SELECT file_id, block_id, recent, nearby, class, CAST(parent AS INTEGER) AS parent, good AND NOT there AS missing FROM im"
+SQL["figure_chunks"] = f"WITH RECURSIVE {_S}, {_BT}, {_IM} SELECT file_id, block_id, section_title, chunk_text, image_path, CAST(parts AS INTEGER) AS parts FROM fg"
+
+_TABLES = f"""
+t0x AS (SELECT file_id, block_id, content, 'table' AS type, image_path FROM wi WHERE route = 'table'),
+{_tb("t0x").replace("full_text AS (SELECT *", "tf AS (SELECT *")},
+tw AS (SELECT w.*, tf.headers, tf.rows, len(tf.headers) > 0 OR len(tf.rows) > 0 OR w.image_path <> '' AS filled FROM wi w JOIN tf ON tf.file_id = w.file_id AND tf.block_id = w.block_id),
+full_text AS (SELECT tf.* FROM tf JOIN tw ON tf.file_id = tw.file_id AND tf.block_id = tw.block_id WHERE tw.filled),
+{_parts(900)}
+"""
+_ALL = f"""
+al AS MATERIALIZED (
+  SELECT file_id, segment, 0 AS nt, bin AS a, piece AS b, page_no, 'text' AS content_type, section_title, chunk_text, '' AS image_path FROM tx
+  UNION ALL SELECT tw.file_id, tw.segment, 1, tw.block_index, o.part, tw.page_no, 'table', tw.section_title, o.chunk_text, tw.image_path FROM o JOIN tw ON tw.file_id = o.file_id AND tw.block_id = o.block_id
+  UNION ALL SELECT file_id, segment, 1, block_index, 0, page_no, 'figure', section_title, chunk_text, image_path FROM fg
+  UNION ALL SELECT file_id, segment, 1, block_index, 0, page_no, 'formula', section_title, content.math_content, '' FROM bt WHERE route = 'formula' AND content.math_content <> ''
+)
+"""
+_CHUNKS = f"""
+nm AS (SELECT al.*, v.doc_id, row_number() OVER (PARTITION BY al.file_id ORDER BY segment, nt, a, b) AS seq FROM al JOIN content_list_v2 v ON v.file_id = al.file_id),
+ax AS (SELECT file_id, 'prefix' AS side, {_strip("left(chunk_text, 50)")} AS affix FROM tx UNION ALL SELECT file_id, 'suffix', {_strip("right(chunk_text, 50)")} FROM tx),
+af AS (SELECT file_id, side, affix FROM ax WHERE length(affix) > 20 GROUP BY 1, 2, 3 HAVING count(*) > 3),
+p1 AS (SELECT nm.file_id, nm.seq, arg_max(af.affix, length(af.affix)) AS pre FROM nm JOIN af ON af.file_id = nm.file_id AND side = 'prefix' AND starts_with(nm.chunk_text, af.affix) WHERE content_type = 'text' GROUP BY 1, 2),
+p2 AS (SELECT nm.*, CASE WHEN p1.pre IS NULL THEN chunk_text ELSE {_strip("substring(chunk_text, length(p1.pre) + 1)")} END AS u FROM nm LEFT JOIN p1 ON p1.file_id = nm.file_id AND p1.seq = nm.seq),
+p3 AS (SELECT p2.file_id, p2.seq, arg_max(af.affix, length(af.affix)) AS suf FROM p2 JOIN af ON af.file_id = p2.file_id AND side = 'suffix' AND ends_with(p2.u, af.affix) WHERE content_type = 'text' GROUP BY 1, 2),
+ch AS (SELECT p2.*, CASE WHEN p3.suf IS NULL THEN u ELSE {_strip("left(u, length(u) - length(p3.suf))")} END AS final FROM p2 LEFT JOIN p3 ON p3.file_id = p2.file_id AND p3.seq = p2.seq)
+"""
+_PACK = f"WITH RECURSIVE {_S}, {_BT}, {_IM}, {_TABLES}, {_ALL}"
+SQL["packed_chunks"] = f"""{_PACK}, {_CHUNKS}
+SELECT file_id, doc_id || ':p' || page_no || ':' || content_type || ':' || seq AS chunk_id, page_no, content_type, {_title("section_title")} AS section_title, final AS chunk_text, image_path FROM ch"""
+
+_EVENTS = f"""
+ev AS (
+  SELECT file_id, 'skipped_blocks' AS category, block_id, 'title' AS type, CASE WHEN {_skips("title")} THEN 'low-value section' ELSE 'title used for section tracking only' END AS reason, page_no,
+    CASE WHEN {_skips("title")} THEN title END AS section_title, NULL AS caption, NULL AS nearby_text_preview, NULL AS expected_path, NULL AS error, NULL::BIGINT AS tokens, NULL::BIGINT AS limit_tokens FROM bt WHERE route = 'title'
+  UNION ALL SELECT file_id, 'parse_errors', block_id, 'title', NULL, NULL, NULL, NULL, NULL, NULL, 'title level below 1 read as 1', NULL, NULL FROM bt WHERE route = 'title' AND content.level < 1
+  UNION ALL SELECT file_id, 'skipped_blocks', block_id, type, 'page noise', page_no, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM bt WHERE route = 'noise'
+  UNION ALL SELECT file_id, 'skipped_blocks', block_id, type, 'content of a low-value section', page_no, section_title, NULL, NULL, NULL, NULL, NULL, NULL FROM bt WHERE route = 'low_value'
+  UNION ALL SELECT file_id, 'unsupported_blocks', block_id, type, NULL, page_no, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM bt WHERE route = 'unsupported'
+  UNION ALL SELECT file_id, 'missing_images', block_id, CASE route WHEN 'image' THEN 'figure' ELSE 'table' END, NULL, NULL, NULL, NULL, NULL, raw, NULL, NULL, NULL FROM wi WHERE good AND NOT there
+  UNION ALL SELECT file_id, 'skipped_blocks', block_id, 'table', 'empty table content and no image', page_no, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM tw WHERE NOT filled
+  UNION ALL SELECT o.file_id, 'oversized_table_chunks', o.block_id, NULL, NULL, tw.page_no, NULL, NULL, NULL, NULL, NULL, oversized, 900 FROM o JOIN tw ON tw.file_id = o.file_id AND tw.block_id = o.block_id WHERE oversized IS NOT NULL
+  UNION ALL SELECT file_id, 'skipped_blocks', block_id, 'image', 'weak figure', page_no, NULL, left(caption, 100), left(nearby, 100), NULL, NULL, NULL, NULL FROM im WHERE class = 'weak'
+  UNION ALL SELECT file_id, 'skipped_blocks', block_id, 'image', 'subfigure without a parent figure', page_no, NULL, left(caption, 100), NULL, NULL, NULL, NULL, NULL FROM im WHERE class = 'subfigure' AND parent IS NULL
+  UNION ALL SELECT file_id, 'parse_errors', block_id, 'equation_interline', NULL, NULL, NULL, NULL, NULL, NULL, 'empty formula', NULL, NULL FROM bt WHERE route = 'formula' AND coalesce(content.math_content, '') = ''
+)
+"""
+SQL["packed_events"] = f"{_PACK}, {_EVENTS} SELECT ev.*, v.doc_id FROM ev JOIN content_list_v2 v ON v.file_id = ev.file_id"
+SQL["packed_stats"] = f"""{_PACK}, {_EVENTS},
+c AS (SELECT file_id, count(*) AS total_chunks, {", ".join(f"count(*) FILTER (WHERE content_type = '{t}') AS {t}_chunks" for t in ("text", "table", "figure", "formula"))} FROM al GROUP BY 1),
+e AS (SELECT file_id, count(*) FILTER (WHERE category = 'missing_images') AS missing_images, count(*) FILTER (WHERE reason IN ('page noise', 'title used for section tracking only') AND type <> 'page_aside_text') AS skipped_noise,
+  count(*) FILTER (WHERE reason = 'empty table content and no image') AS skipped_empty, count(*) FILTER (WHERE reason = 'low-value section') AS skipped_low_value_sections,
+  count(*) FILTER (WHERE reason IN ('weak figure', 'subfigure without a parent figure')) AS skipped_weak_figures, count(*) FILTER (WHERE reason = 'page noise' AND type = 'page_aside_text') AS aside_noise,
+  count(*) FILTER (WHERE category = 'oversized_table_chunks') AS oversized_table_chunks FROM ev GROUP BY 1),
+f AS (SELECT file_id, count(*) AS subfigure_fragments_merged FROM im WHERE parent IS NOT NULL GROUP BY 1)
+SELECT v.file_id, v.doc_id, 0::BIGINT AS unparseable_blocks, {", ".join(f"coalesce({x}, 0) AS {x}" for x in _COUNTERS if x != "unparseable_blocks")}
+FROM (SELECT DISTINCT file_id, doc_id FROM content_list_v2) v LEFT JOIN c ON c.file_id = v.file_id LEFT JOIN e ON e.file_id = v.file_id LEFT JOIN f ON f.file_id = v.file_id
+"""

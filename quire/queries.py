@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quire.functions import text as X
-from quire.operators import dedup, figures, nested, tables
+from quire.operators import dedup, figures, nested, tables, textchunks
 from quire.operators.packing import greedy_bins, split_pieces
 from quire.operators.sections import explode_blocks, sectioned
 from quire.options import COUNTERS, Options
@@ -39,7 +39,11 @@ def _listing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, d: str, opts: Options = Options()) -> Packed:
-    return pack(_files(spark, d), opts=opts)
+    """The packager over every parsed file, with the images that packaged chunks of the same document refer to."""
+    images = table(spark, d, "kb_chunks").where("image_path <> ''").select("doc_id", F.col("image_path").alias("path")).distinct()
+    files = _files(spark, d)
+    listing = files.select(F.col("file_id").alias("key"), "doc_id").join(images, "doc_id").select("key", "path")
+    return pack(files, listing, opts)
 
 
 # ---- nested records ----------------------------------------------------------------------------
@@ -159,8 +163,9 @@ def split_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_chunks(spark: SparkSession, d: str) -> DataFrame:
-    p = _packed(spark, d)
-    return p.chunks.where("content_type = 'text'").select(F.col("key").alias("file_id"), "seq", "source_block_id", F.size("metadata.merge_from_block_ids").alias("members"), "chunk_text")
+    """Text chunks before affixes are cut: merged, split, with the blocks they come from."""
+    t = textchunks.text_chunks(textchunks.merged_texts(_sections(spark, d)))
+    return t.select(F.col("key").alias("file_id"), "segment", "bin", "piece", "page_no", "section_title", "source_block_id", F.array_join("merge_from_block_ids", ",").alias("members"), "chunk_text")
 
 
 # ---- tables ------------------------------------------------------------------------------------------
@@ -215,8 +220,15 @@ def figure_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def figure_chunks(spark: SparkSession, d: str) -> DataFrame:
-    p = _packed(spark, d)
-    return p.chunks.where("content_type = 'figure'").select(F.col("key").alias("file_id"), "source_block_id", "section_title", "chunk_text", F.coalesce(F.size("metadata.subfigures"), F.lit(0)).alias("parts"))
+    """Formal figures with text near them and their parts folded in."""
+    f = _packed(spark, d).figures
+    return f.select(F.col("key").alias("file_id"), "block_id", "section_title", "chunk_text", "image_path", F.coalesce(F.size("subfigures"), F.lit(0)).alias("parts"))
+
+
+def figure_context(spark: SparkSession, d: str) -> DataFrame:
+    """Every image with the text near it, the latest text chunk before it, its class and its parent figure."""
+    i = _packed(spark, d).images
+    return i.select(F.col("key").alias("file_id"), "block_id", "recent", "nearby", F.col("class").alias("class"), F.col("parent").alias("parent"), "missing")
 
 
 def formulas(spark: SparkSession, d: str) -> DataFrame:
@@ -290,7 +302,8 @@ def packed_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def packed_events(spark: SparkSession, d: str) -> DataFrame:
-    return _packed(spark, d).events.withColumnRenamed("key", "file_id")
+    """Every event; the preview of unsupported contents, which engines spell differently, is left out."""
+    return _packed(spark, d).events.withColumnRenamed("key", "file_id").drop("content_preview")
 
 
 flagship = packed_chunks
@@ -299,7 +312,7 @@ flagship = packed_chunks
 def queries() -> dict[str, Query]:
     names = [
         p1_found, p1_tables, p1_children, doc_identity, load_errors, source_roles, shared_titles, relative_paths, block_ids, inline_texts, clean_texts, token_counts, section_paths, clean_titles,
-        routes, segments, merge_bins, split_texts, text_chunks, html_tables, table_texts, table_parts, table_parts_tight, image_check, nearby_texts, figure_labels, figure_chunks, formulas,
+        routes, segments, merge_bins, split_texts, text_chunks, html_tables, table_texts, table_parts, table_parts_tight, image_check, nearby_texts, figure_labels, figure_context, figure_chunks, formulas,
         affix_frequency, affix_strip, chunk_counters, chunk_numbers, error_summary, counter_totals, self_check, manifest_policy, packed_chunks, packed_stats, packed_events,
     ]
 
