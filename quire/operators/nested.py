@@ -2,8 +2,8 @@
 
 Every node of a record gets the list of ordinals on the way to it (`dewey`): the 1-based position of
 an array element, the 1-based place of a field in its struct.  The label of the parent is the label
-without its last ordinal, so links need neither a join nor a generated key.  Nodes are grouped by
-their schema path (`pages[][].content.list_items[]`), one table for each path.
+without its last ordinal, that of a row above the label cut shorter, so links need neither a join nor a
+generated key.  Nodes are grouped by their schema path (`pages[][].content.list_items[]`), one table for each path.
 
 Two inputs give the same node rows:
 
@@ -47,7 +47,7 @@ CONTENT = T.StructType(
 BLOCK = T.StructType([T.StructField("type", T.StringType()), T.StructField("bbox", T.ArrayType(T.DoubleType())), T.StructField("content", CONTENT)])
 PAGES = T.ArrayType(T.ArrayType(BLOCK))
 
-_NODE = "struct<schema_path:string,dewey:array<int>,value:string>"
+_NODE = "struct<schema_path:string,dewey:array<int>,shape:string,value:string>"
 
 
 def _complex(t: T.DataType) -> bool:
@@ -68,11 +68,15 @@ def _value(col: Column, t: T.DataType) -> Column:
     return col.cast("string")
 
 
+def _shape(t: T.DataType) -> str:
+    return "object" if isinstance(t, T.StructType) else "array" if isinstance(t, T.ArrayType) else "scalar"
+
+
 def _walk(col: Column, t: T.DataType, path: str, dewey: Column, wanted: set[str] | None) -> Column | None:
     """Array of the nodes at and below `col`; None when nothing below is wanted."""
     parts: list[Column] = []
     if wanted is None or path in wanted:
-        node = F.struct(F.lit(path).alias("schema_path"), dewey.alias("dewey"), _value(col, t).alias("value"))
+        node = F.struct(F.lit(path).alias("schema_path"), dewey.alias("dewey"), F.lit(_shape(t)).alias("shape"), _value(col, t).alias("value"))
         parts.append(F.when(col.isNotNull(), F.array(node)))
     if isinstance(t, T.ArrayType) and _leads(path + "[]", wanted):
 
@@ -96,7 +100,7 @@ def _walk(col: Column, t: T.DataType, path: str, dewey: Column, wanted: set[str]
 
 
 def typed_nodes(df: DataFrame, key: str, column: str, wanted: set[str] | None = None) -> DataFrame:
-    """Node rows `key, schema_path, dewey, parent, value` of a typed nested column.
+    """Node rows `key, schema_path, dewey, parent, shape, value` of a typed nested column.
 
     `wanted` names schema paths; branches that lead to none of them are never visited, which lets the
     scan prune nested columns.  Without it every struct and array node comes out, and struct scalars
@@ -106,7 +110,7 @@ def typed_nodes(df: DataFrame, key: str, column: str, wanted: set[str] | None =
     picked = df.select(F.col(key).alias("_k"), F.col(column).alias("_v"))
     if nodes is None:
         nodes = F.array().cast(f"array<{_NODE}>")
-    return picked.select(F.col("_k").alias(key), F.inline(nodes)).select(key, "schema_path", "dewey", parent_of(F.col("dewey")).alias("parent"), "value")
+    return picked.select(F.col("_k").alias(key), F.inline(nodes)).select(key, "schema_path", "dewey", parent_of(F.col("dewey")).alias("parent"), "shape", "value")
 
 
 def parent_of(dewey: Column) -> Column:
@@ -125,10 +129,12 @@ def _walk_json(v, t: T.DataType, path: str, dewey: list[int], wanted: set[str] |
     if v is None:
         return
     if isinstance(t, T.ArrayType):
+        if not isinstance(v, (list, dict, str)):
+            return
         if wanted is None or path in wanted:
-            out.append((path, dewey, None))
+            out.append((path, dewey, "array", None))
         if not isinstance(v, list):
-            v = [v] if isinstance(v, (dict, str)) else []
+            v = [v]
         p = path + "[]"
         if _leads(p, wanted):
             for i, x in enumerate(v, 1):
@@ -139,18 +145,18 @@ def _walk_json(v, t: T.DataType, path: str, dewey: list[int], wanted: set[str] |
         if not isinstance(v, dict):
             # an element of any type is a node; a field that should be an object and is not, is none
             if here and path.endswith("[]"):
-                out.append((path, dewey, _text(v)))
+                out.append((path, dewey, "array" if isinstance(v, list) else "scalar", _text(v)))
             return
         if here:
             flat = {f.name: v[f.name] for f in t.fields if not _complex(f.dataType) and v.get(f.name) is not None}
-            out.append((path, dewey, _text(json.dumps(flat, ensure_ascii=False))))
+            out.append((path, dewey, "object", _text(json.dumps(flat, ensure_ascii=False))))
         for k, f in enumerate(t.fields, 1):
             p = f"{path}.{f.name}"
             if f.name in v and _leads(p, wanted) and not (wanted is None and not _complex(f.dataType)):
                 _walk_json(v[f.name], f.dataType, p, [*dewey, k], wanted, out)
         return
     if wanted is None or path in wanted:
-        out.append((path, dewey, _text(v)))
+        out.append((path, dewey, "scalar", _text(v)))
 
 
 def json_nodes(df: DataFrame, key: str, body: str, shape: T.DataType, root: str, wanted: set[str] | None = None) -> DataFrame:
@@ -159,7 +165,7 @@ def json_nodes(df: DataFrame, key: str, body: str, shape: T.DataType, root: str,
 
     def run(batches):
         for pdf in batches:
-            keys, paths, labels, values = [], [], [], []
+            keys, paths, labels, shapes, values = [], [], [], [], []
             for k, b in zip(pdf["_k"], pdf["_b"]):
                 if b is None:
                     continue
@@ -168,22 +174,51 @@ def json_nodes(df: DataFrame, key: str, body: str, shape: T.DataType, root: str,
                     _walk_json(json.loads(b), shape, root, [], want, out)
                 except (ValueError, RecursionError):
                     continue
-                for p, d, v in out:
+                for p, d, s, v in out:
                     keys.append(k)
                     paths.append(p)
                     labels.append(d)
+                    shapes.append(s)
                     values.append(v)
-            yield pd.DataFrame({key: pd.Series(keys, dtype=pdf["_k"].dtype), "schema_path": pd.Series(paths, dtype=object), "dewey": pd.Series(labels, dtype=object), "value": pd.Series(values, dtype=object)})
+            yield pd.DataFrame({key: pd.Series(keys, dtype=pdf["_k"].dtype), "schema_path": pd.Series(paths, dtype=object), "dewey": pd.Series(labels, dtype=object), "shape": pd.Series(shapes, dtype=object), "value": pd.Series(values, dtype=object)})
 
     kt = df.schema[key].dataType.simpleString()
     picked = df.select(F.col(key).alias("_k"), F.col(body).alias("_b")).where("_b is not null")
-    nodes = picked.mapInPandas(run, f"`{key}` {kt}, schema_path string, dewey array<int>, value string")
-    return nodes.select(key, "schema_path", "dewey", parent_of(F.col("dewey")).alias("parent"), "value")
+    nodes = picked.mapInPandas(run, f"`{key}` {kt}, schema_path string, dewey array<int>, shape string, value string")
+    return nodes.select(key, "schema_path", "dewey", parent_of(F.col("dewey")).alias("parent"), "shape", "value")
+
+
+def _ordinals(path: str) -> int:
+    """Length of the labels of a schema path."""
+    return path.count("[]") + path.count(".")
+
 
+def related(nodes: DataFrame, key: str, tables: dict[str, str]) -> DataFrame:
+    """Rows of the named schema paths as related tables: `key, table_name, label, parent_table, parent, position, shape, value`.
 
-def tables_by_path(nodes: DataFrame, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """One table for each named schema path; every row keeps its own and its parent's label."""
-    return {name: nodes.where(F.col("schema_path") == path).drop("schema_path") for name, path in paths.items()}
+    The parent of a row is the row of the nearest named path above it, found by cutting the label to that
+    path's length; a row exists only below rows that exist, so every parent is a row of `parent_table` with the
+    same key.  Rows of a topmost path have no parent.  `position` is the last ordinal, null at the root.
+    """
+    above = {n: max((m for m, q in tables.items() if p.startswith((q + ".", q + "["))), key=lambda m: len(tables[m]), default=None) for n, p in tables.items()}
+    at = lambda value: F.coalesce(*[F.when(F.col("schema_path") == p, value(n)) for n, p in tables.items()])
+    keep = at(lambda n: F.lit(_ordinals(tables[above[n]]) if above[n] else None).cast("int"))
+    d = F.col("dewey")
+    return nodes.where(F.col("schema_path").isin(*tables.values())).select(
+        key,
+        at(F.lit).alias("table_name"),
+        F.array_join(d, ".").alias("label"),
+        at(lambda n: F.lit(above[n]).cast("string")).alias("parent_table"),
+        F.array_join(F.slice(d, F.lit(1), keep), ".").alias("parent"),
+        F.try_element_at(d, F.lit(-1)).alias("position"),
+        "shape",
+        "value",
+    )
+
+
+def tables_of(rows: DataFrame, tables: dict[str, str]) -> dict[str, DataFrame]:
+    """One table for each name out of the rows of `related`."""
+    return {n: rows.where(F.col("table_name") == n).drop("table_name") for n in tables}
 
 
 # ---- the page/block records of layout parsers -------------------------------------------------
@@ -195,6 +230,8 @@ PATHS = {
     "item_content": f"{_C}.list_items[].item_content[]",
     "image_source": f"{_C}.image_source",
 }
+#: The related tables of a parsed file, from the file down.
+TABLES = {"files": "pages", "pages": "pages[]", "blocks": "pages[][]", "paragraph_items": PATHS["paragraph_content"], "list_items": PATHS["list_items"], "item_contents": PATHS["item_content"], "images": PATHS["image_source"]}
 
 
 def page_nodes(v2: DataFrame, raw: DataFrame | None, wanted: set[str] | None = None) -> DataFrame:
@@ -222,7 +259,4 @@ def located(nodes: DataFrame) -> DataFrame:
         field.alias("field"),
         F.when(listed, at(4)).otherwise(F.lit(0)).alias("list_no"),
         F.when(inner, at(6)).when(F.col("schema_path") == PATHS["paragraph_content"], at(4)).otherwise(F.lit(0)).alias("item_no"),
-        F.array_join(F.col("dewey"), ".").alias("dewey"),
-        F.array_join(F.col("parent"), ".").alias("parent"),
-        "value",
     )

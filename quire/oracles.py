@@ -110,17 +110,61 @@ SELECT file_id, CAST(page_no AS INTEGER) AS page_no, CAST(block_no AS INTEGER) A
   CAST(CASE WHEN json_type(e) = 'OBJECT' THEN coalesce(len(list_filter(l, lambda x: json_type(x) <> 'NULL')), 0) ELSE 0 END AS BIGINT) AS contents FROM kid
 """
 
+_DEEP = f"""
+WITH p AS (
+  SELECT file_id, to_json(pages) AS j FROM content_list_v2 WHERE pages IS NOT NULL
+  UNION ALL SELECT file_id, CAST(body AS JSON) AS j FROM content_list_raw WHERE json_valid(body)
+),
+f AS (SELECT file_id, {_list("j")} AS l FROM p),
+a AS (SELECT file_id, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM f),
+al AS (SELECT *, {_list("e")} AS l FROM a),
+b AS (SELECT file_id, i AS p, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM al),
+c AS (SELECT *, json_extract(CASE WHEN json_type(e) = 'OBJECT' THEN e END, '$.content') AS c FROM b),
+para AS (SELECT file_id, p, b, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM (SELECT file_id, p, i AS b, {_list("json_extract(c, '$.paragraph_content')")} AS l FROM c)),
+item AS (SELECT file_id, p, b, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM (SELECT file_id, p, i AS b, {_list("json_extract(c, '$.list_items')")} AS l FROM c)),
+inn AS (SELECT file_id, p, b, k, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM (SELECT file_id, p, b, i AS k, {_list("json_extract(CASE WHEN json_type(e) = 'OBJECT' THEN e END, '$.item_content')")} AS l FROM item))
+"""
+
+
+def _scalars(kind: str, text: str) -> str:
+    """Kind and text of an element `e`: fields of an object, or the element itself."""
+    return f"CASE WHEN json_type(e) = 'OBJECT' THEN {kind} END, CASE WHEN json_type(e) = 'OBJECT' THEN {text} ELSE json_extract_string(e, '$') END"
+
+
+_TC = _scalars("json_extract_string(e, '$.type')", "json_extract_string(e, '$.content')")
+SQL["p1_tables"] = f"""{_DEEP},
+r(table_name, file_id, label, parent_table, parent, position, kind, text) AS (
+  SELECT 'files', file_id, '', NULL, NULL, NULL, NULL, NULL FROM f WHERE l IS NOT NULL
+  UNION ALL SELECT 'pages', file_id, i::VARCHAR, 'files', '', i, NULL, NULL FROM al WHERE l IS NOT NULL
+  UNION ALL SELECT 'blocks', file_id, concat_ws('.', p, i), 'pages', p::VARCHAR, i, {_scalars("json_extract_string(e, '$.type')", "NULL")} FROM b WHERE json_type(e) <> 'NULL'
+  UNION ALL SELECT 'paragraph_items', file_id, concat_ws('.', p, b, 3, 3, i), 'blocks', concat_ws('.', p, b), i, {_TC} FROM para WHERE json_type(e) <> 'NULL'
+  UNION ALL SELECT 'list_items', file_id, concat_ws('.', p, b, 3, 4, i), 'blocks', concat_ws('.', p, b), i, {_scalars("json_extract_string(e, '$.item_type')", "NULL")} FROM item WHERE json_type(e) <> 'NULL'
+  UNION ALL SELECT 'item_contents', file_id, concat_ws('.', p, b, 3, 4, k, 2, i), 'list_items', concat_ws('.', p, b, 3, 4, k), i, {_TC} FROM inn WHERE json_type(e) <> 'NULL'
+  UNION ALL SELECT 'images', file_id, concat_ws('.', p, i, 3, 8), 'blocks', concat_ws('.', p, i), 8, NULL, json_extract_string(c, '$.image_source.path') FROM c WHERE json_type(json_extract(c, '$.image_source')) = 'OBJECT'
+)
+SELECT table_name, file_id, label, parent_table, parent, CAST(position AS INTEGER) AS position, kind, text FROM r"""
+
 # ---- sources and identity ----------------------------------------------------------------------
 
 _UUID = "-[a-f0-9]{8}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{4}-[a-f0-9]{12}$"
 _DT = rf"regexp_replace(regexp_replace(dir_name, '{_UUID}', ''), '\.pdf$', '')"
 SQL["doc_identity"] = f"SELECT file_id, {_DT} || '_' || substring(md5(dir_name), 1, 8) AS made_id, {_DT} AS made_title FROM content_list_v2"
-SQL["load_errors"] = "SELECT file_id, 'parse_errors' AS category FROM content_list_raw WHERE NOT coalesce(json_valid(body), false) OR json_type(CASE WHEN json_valid(body) THEN body END) = 'NULL'"
-SQL["source_roles"] = """
-SELECT doc_id, k AS role, coalesce(input_files_all[k], '') AS path, coalesce(input_files_used[k] IS NOT NULL, false) AS used
-FROM (SELECT doc_id, unnest(map_keys(input_files_all)) AS k, input_files_all, input_files_used FROM kb_manifest)
+_LISTED = """
+m AS (SELECT DISTINCT unnest(map_entries(input_files_all)) AS e FROM kb_manifest),
+n AS (SELECT e.key AS role, e.value AS path, regexp_extract(e.value, '([^/]+)/[^/]+$', 1) AS dirname FROM m WHERE e.value IS NOT NULL),
+r AS (SELECT dirname, role, CASE role WHEN 'layout' THEN replace(path, 'layout.json', 'x_layout.json') ELSE path END AS path FROM n)
 """
-SQL["shared_titles"] = "SELECT doc_title, count(DISTINCT doc_id) AS docs FROM kb_manifest WHERE doc_title IS NOT NULL GROUP BY 1 HAVING count(DISTINCT doc_id) > 1"
+SQL["discovered_files"] = f"""WITH {_LISTED},
+v AS (SELECT DISTINCT dirname FROM r WHERE role = 'content_list_v2')
+SELECT r.dirname, role, path, role <> 'content_list' OR v.dirname IS NULL AS used FROM r LEFT JOIN v ON v.dirname = r.dirname"""
+SQL["content_choice"] = f"""WITH {_LISTED}
+SELECT dirname, p AS path, CASE WHEN p IS NULL THEN 'no content list' END AS error
+FROM (SELECT dirname, coalesce(max(path) FILTER (WHERE role = 'content_list_v2'), max(path) FILTER (WHERE role = 'content_list')) AS p FROM r GROUP BY 1)"""
+_RAWJ = "(SELECT file_id, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j FROM content_list_raw)"
+SQL["loaded_pages"] = f"""SELECT file_id, CASE WHEN json_type(j) = 'ARRAY' THEN CAST(json_array_length(j) AS INTEGER) END AS pages,
+  CASE WHEN json_type(j) = 'ARRAY' THEN CAST(coalesce(list_sum(list_transform(CAST(j AS JSON[]), lambda x: CASE WHEN json_type(x) = 'ARRAY' THEN json_array_length(x) ELSE 0 END)), 0) AS INTEGER) END AS blocks FROM {_RAWJ}"""
+SQL["load_errors"] = f"SELECT file_id, 'parse_errors' AS category, 'content list is not decodable' AS error FROM {_RAWJ} WHERE coalesce(json_type(j), '') <> 'ARRAY'"
+SQL["shared_titles"] = f"SELECT {_DT} AS doc_title, count(DISTINCT file_id) AS docs FROM content_list_v2 WHERE dir_name IS NOT NULL GROUP BY 1 HAVING count(DISTINCT file_id) > 1"
 _REL = "CASE WHEN starts_with(replace(coalesce({0}, ''), '\\', '/'), 'raw/') THEN substring(replace({0}, '\\', '/'), 5) ELSE replace(coalesce({0}, ''), '\\', '/') END"
 SQL["relative_paths"] = f"SELECT doc_id, {_REL.format('source_pdf')} AS pdf, {_REL.format('source_dir')} AS dir FROM kb_manifest"
 
@@ -270,17 +314,8 @@ p AS (SELECT t.source, t.chunk_id, t.chunk_text, arg_max(f.affix, length(f.affix
 q AS (SELECT *, CASE WHEN pre IS NULL THEN chunk_text ELSE {_strip("substring(chunk_text, length(pre) + 1)")} END AS u FROM p),
 r AS (SELECT q.chunk_id, q.chunk_text, q.u, q.pre, arg_max(f.affix, length(f.affix)) AS suf FROM q LEFT JOIN f ON f.source IS NOT DISTINCT FROM q.source AND f.side = 'suffix' AND ends_with(q.u, f.affix) GROUP BY 1, 2, 3, 4)
 SELECT chunk_id, CASE WHEN suf IS NULL THEN u ELSE {_strip("left(u, length(u) - length(suf))")} END AS chunk_text, pre IS NOT NULL AS head_cut, suf IS NOT NULL AS tail_cut FROM r"""
-SQL["chunk_counters"] = """WITH k AS (SELECT DISTINCT doc_id, chunk_id, content_type FROM kb_chunks)
-SELECT doc_id, count(*) AS total_chunks, count(*) FILTER (WHERE content_type = 'text') AS text_chunks, count(*) FILTER (WHERE content_type = 'table') AS table_chunks,
-  count(*) FILTER (WHERE content_type = 'figure') AS figure_chunks, count(*) FILTER (WHERE content_type = 'formula') AS formula_chunks FROM k GROUP BY doc_id"""
-SQL["chunk_numbers"] = """WITH k AS (SELECT DISTINCT doc_id, chunk_id, page_no, content_type FROM kb_chunks)
-SELECT chunk_id, doc_id || ':p' || page_no || ':' || content_type || ':' || row_number() OVER (PARTITION BY doc_id ORDER BY CAST(regexp_extract(chunk_id, ':([0-9]+)$', 1) AS INTEGER), chunk_id) AS numbered FROM k"""
 SQL["error_summary"] = "WITH e AS (SELECT DISTINCT * FROM kb_errors) SELECT doc_id, " + ", ".join(f"count(*) FILTER (WHERE category = '{c}') AS {c}" for c in ("missing_images", "skipped_blocks", "unsupported_blocks", "parse_errors")) + " FROM e GROUP BY doc_id"
 _COUNTERS = "total_chunks text_chunks table_chunks figure_chunks formula_chunks missing_images unparseable_blocks skipped_noise skipped_empty skipped_low_value_sections skipped_weak_figures aside_noise oversized_table_chunks subfigure_fragments_merged".split()
-SQL["counter_totals"] = " UNION ALL ".join(f"SELECT '{c}' AS counter, CAST(sum({c}) AS BIGINT) AS total FROM kb_stats" for c in _COUNTERS)
-SQL["self_check"] = """SELECT doc_id, skipped_low_value_sections, skipped_weak_figures, subfigure_fragments_merged, oversized_table_chunks, aside_noise,
-  CASE WHEN figure_chunks + skipped_weak_figures > 0 THEN skipped_weak_figures / (figure_chunks + skipped_weak_figures) ELSE 0.0::DOUBLE END AS weak_share FROM kb_stats"""
-SQL["manifest_policy"] = "SELECT doc_id, chunking_policy.target_tokens AS target_tokens, chunking_policy.hard_cap AS hard_cap, chunking_policy.merge_short_blocks AS merge, CAST(coalesce(cardinality(input_files_used), 0) AS BIGINT) AS files_used FROM kb_manifest"
 
 # ---- the whole packager --------------------------------------------------------------------------------
 
@@ -395,3 +430,28 @@ f AS (SELECT file_id, count(*) AS subfigure_fragments_merged FROM im WHERE paren
 SELECT v.file_id, v.doc_id, 0::BIGINT AS unparseable_blocks, {", ".join(f"coalesce({x}, 0) AS {x}" for x in _COUNTERS if x != "unparseable_blocks")}
 FROM (SELECT DISTINCT file_id, doc_id FROM content_list_v2) v LEFT JOIN c ON c.file_id = v.file_id LEFT JOIN e ON e.file_id = v.file_id LEFT JOIN f ON f.file_id = v.file_id
 """
+
+# ---- deliveries ----------------------------------------------------------------------------------------
+
+SQL["counter_totals"] = " UNION ALL ".join(f"SELECT '{c}' AS counter, CAST(sum({c}) AS BIGINT) AS total FROM st" for c in _COUNTERS)
+SQL["counter_totals"] = f"WITH st AS ({SQL['packed_stats']}) {SQL['counter_totals']}"
+SQL["self_check"] = f"SELECT file_id, skipped_low_value_sections, skipped_weak_figures, subfigure_fragments_merged, oversized_table_chunks, aside_noise FROM ({SQL['packed_stats']})"
+
+
+def _below(x: str) -> str:
+    return f"CASE WHEN starts_with({x}, 'inbox/') THEN substring({x}, 7) ELSE coalesce({x}, '') END"
+
+
+SQL["manifests"] = f"""SELECT m.doc_id, doc_title AS title, {_below("source_dir")} AS dir, {_below("input_files_used['origin_pdf']")} AS pdf, '300-700' AS target_tokens, '900' AS hard_cap, 'figure' AS image_type,
+  {_below("source_dir || '/output/kb_chunks.jsonl'")} AS chunks_file, {_below("source_dir || '/output/error_report.json'")} AS report_file,
+  CASE WHEN input_files_all['layout'] IS NOT NULL THEN {_below("input_files_all['layout']")} END AS layout, CASE WHEN input_files_used['content_list_v2'] IS NOT NULL THEN {_below("input_files_used['content_list_v2']")} END AS list_used,
+  CAST(coalesce(total_chunks, 0) AS VARCHAR) AS total_chunks, CAST(coalesce(aside_noise, 0) AS VARCHAR) AS aside_noise FROM kb_manifest m LEFT JOIN kb_stats s ON s.doc_id = m.doc_id"""
+_CATS = ("missing_images", "skipped_blocks", "unsupported_blocks", "parse_errors")
+SQL["error_reports"] = f"""WITH e AS (SELECT DISTINCT * FROM kb_errors)
+SELECT m.doc_id, {", ".join(f"count(*) FILTER (WHERE category = '{c}') AS total_{c}" for c in _CATS)}, {", ".join(f"count(*) FILTER (WHERE category = '{c}') AS {c}" for c in (*_CATS, "oversized_table_chunks"))}
+FROM kb_manifest m LEFT JOIN e ON e.doc_id = m.doc_id GROUP BY 1"""
+SQL["readmes"] = """SELECT m.doc_id, '# ' || coalesce(doc_title, '') AS head, concat_ws(',', coalesce(total_chunks, 0), coalesce(text_chunks, 0), coalesce(table_chunks, 0), coalesce(figure_chunks, 0), coalesce(formula_chunks, 0),
+  coalesce(missing_images, 0), coalesce(skipped_noise, 0), coalesce(skipped_empty, 0)) AS counts FROM kb_manifest m LEFT JOIN kb_stats s ON s.doc_id = m.doc_id"""
+_SENT = f"SELECT DISTINCT k.doc_id, chunk_id, page_no, content_type, section_title, chunk_text, image_path FROM kb_chunks k JOIN kb_manifest m ON m.doc_id = k.doc_id"
+SQL["written_chunks"] = f"SELECT chunk_id, page_no, content_type, {_title('section_title')} AS section_title, chunk_text, image_path FROM ({_SENT})"
+SQL["shared_chunks"] = f"SELECT replace(doc_title, '/', '_') AS title, count(*) AS lines, count(DISTINCT chunk_id) AS chunks FROM ({_SENT}) k JOIN kb_manifest m ON m.doc_id = k.doc_id WHERE doc_title IS NOT NULL GROUP BY 1"

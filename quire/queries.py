@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quire.functions import text as X
 from quire.operators import dedup, figures, nested, tables, textchunks
@@ -15,8 +15,8 @@ from quire.operators.sections import explode_blocks, sectioned
 from quire.options import COUNTERS, Options
 from quire.plans.pipeline import Packed, pack
 from quire.plans.pipeline import error_summary as summarised
-from quire.runtime import cut, ship, table
-from quire.sources.writers import shared_titles as titles_shared
+from quire.runtime import cut, shared_folder, ship, table
+from quire.sources import parser_dirs, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,26 +49,32 @@ def _packed(spark: SparkSession, d: str, opts: Options = Options()) -> Packed:
 # ---- nested records ----------------------------------------------------------------------------
 
 
-def _nodes(spark: SparkSession, d: str) -> DataFrame:
-    wanted = set(nested.PATHS.values())
-    return nested.located(nested.page_nodes(_files(spark, d), table(spark, d, "content_list_raw"), wanted))
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    nodes = nested.page_nodes(_files(spark, d), table(spark, d, "content_list_raw"), set(nested.PATHS.values()))
+    return nested.located(nodes).select("file_id", "page_no", "block_no", "field", "list_no", "item_no").distinct()
 
 
-def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return _nodes(spark, d).select("file_id", "page_no", "block_no", "field", "list_no", "item_no").distinct()
+def _related(spark: SparkSession, d: str) -> DataFrame:
+    nodes = nested.page_nodes(_files(spark, d), table(spark, d, "content_list_raw"), set(nested.TABLES.values()))
+    return nested.related(nodes, "file_id", nested.TABLES)
 
 
 def p1_tables(spark: SparkSession, d: str) -> DataFrame:
-    """The four flat tables in one: every row with its own label, its parent's label and its scalars."""
-    return _nodes(spark, d).select("field", "file_id", "dewey", "parent", "value")
+    """The seven related tables as one: every row with its label, the table and label of its parent row, and its scalars."""
+    r = _related(spark, d)
+    scalar = lambda *names: F.coalesce(*[F.get_json_object("value", f"$.{n}") for n in names])
+    struct = F.col("shape") == "object"
+    text = F.when(struct, scalar("content", "path")).otherwise(F.col("value"))
+    return r.select("table_name", "file_id", "label", "parent_table", "parent", "position", F.when(struct, scalar("type", "item_type")).alias("kind"), text.alias("text"))
 
 
 def p1_children(spark: SparkSession, d: str) -> DataFrame:
-    """Item contents counted by the list item they hang on, through the parent link: the item's label is the label cut twice."""
-    n = _nodes(spark, d)
-    kids = n.where("field = 'item_content'").select("file_id", F.regexp_replace("parent", r"\.[0-9]+$", "").alias("dewey")).groupBy("file_id", "dewey").agg(F.count(F.lit(1)).alias("contents"))
-    items = n.where("field = 'list_items'").select("file_id", "page_no", "block_no", "list_no", "dewey")
-    return items.join(kids, ["file_id", "dewey"], "left").select("file_id", "page_no", "block_no", "list_no", F.coalesce("contents", F.lit(0)).alias("contents"))
+    """Item contents counted by the list item they hang on, by joining child rows to their parent rows."""
+    t = nested.tables_of(_related(spark, d), nested.TABLES)
+    kids = t["item_contents"].groupBy("file_id", F.col("parent").alias("label")).agg(F.count(F.lit(1)).alias("contents"))
+    blocks = t["blocks"].select("file_id", F.col("label").alias("parent"), F.col("parent").cast("int").alias("page_no"), F.col("position").alias("block_no"))
+    items = t["list_items"].join(blocks, ["file_id", "parent"])
+    return items.join(kids, ["file_id", "label"], "left").select("file_id", "page_no", "block_no", F.col("position").alias("list_no"), F.coalesce("contents", F.lit(0)).alias("contents"))
 
 
 # ---- sources and identity ----------------------------------------------------------------------
@@ -78,22 +84,54 @@ def doc_identity(spark: SparkSession, d: str) -> DataFrame:
     return _files(spark, d).select("file_id", X.doc_id(F.col("dir_name")).alias("made_id"), X.doc_title(F.col("dir_name")).alias("made_title"))
 
 
+def _listed(spark: SparkSession, d: str) -> DataFrame:
+    """Files of parser folders as a listing: those that manifests name, and a second, prefixed layout beside each layout."""
+    m = table(spark, d, "kb_manifest").select(F.explode("input_files_all").alias("role", "path")).where("path is not null")
+    path = F.when(F.col("role") == "images_dir", F.concat("path", F.lit("/p1.png"))).otherwise(F.col("path"))
+    again = m.where("role = 'layout'").select("role", F.regexp_replace("path", "layout.json$", "x_layout.json").alias("path"))
+    return m.select("role", path.alias("path")).unionByName(again).select(*parser_dirs.placed(F.col("path"))).distinct()
+
+
+def discovered_files(spark: SparkSession, d: str) -> DataFrame:
+    """Role of every file of every folder and whether it is used."""
+    f = parser_dirs.discovered(_listed(spark, d))
+    return f.select("dirname", F.explode("files_all").alias("role", "path"), "files_used").select("dirname", "role", "path", F.col("files_used")[F.col("role")].isNotNull().alias("used"))
+
+
+def content_choice(spark: SparkSession, d: str) -> DataFrame:
+    """The content list to read of every folder; folders without one become events."""
+    paths = parser_dirs.content_paths(parser_dirs.discovered(_listed(spark, d)))
+    events = parser_dirs.load_events(paths, paths.where("path is not null").withColumn("pages", F.lit(True)))
+    return paths.join(events.select(F.col("key").alias("dirname"), "error"), "dirname", "left")
+
+
+def _loaded(spark: SparkSession, d: str) -> DataFrame:
+    raw = table(spark, d, "content_list_raw").select("file_id", "doc_id", "body")
+    return parser_dirs.decoded(raw, "body")
+
+
+def loaded_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages and blocks of every file that exists as JSON text; null where it cannot be decoded."""
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    blocks = F.aggregate("pages", F.lit(0), lambda n, p: n + size(p))
+    return _loaded(spark, d).select("file_id", F.when(F.col("pages").isNotNull(), F.size("pages")).alias("pages"), blocks.alias("blocks"))
+
+
 def load_errors(spark: SparkSession, d: str) -> DataFrame:
     """Files whose JSON cannot be decoded; they become parse errors and an empty document."""
-    raw = table(spark, d, "content_list_raw")
-    ok = nested.json_nodes(raw, "file_id", "body", nested.PAGES, "pages", {"pages"}).select("file_id").distinct()
-    return raw.join(ok, "file_id", "left_anti").select("file_id", F.lit("parse_errors").alias("category"))
+    files = _loaded(spark, d).select(F.col("file_id").cast("string").alias("dirname"), F.lit(None).cast("string").alias("path"), "pages")
+    return parser_dirs.load_events(files.limit(0), files).select(F.col("key").cast("bigint").alias("file_id"), "category", "error")
 
 
-def source_roles(spark: SparkSession, d: str) -> DataFrame:
-    """Roles of the files each document has, and whether they are used."""
-    m = table(spark, d, "kb_manifest").select("doc_id", F.explode("input_files_all").alias("role", "path"), "input_files_used")
-    used = F.coalesce(F.col("input_files_used")[F.col("role")].isNotNull(), F.lit(False))
-    return m.select("doc_id", "role", F.coalesce("path", F.lit("")).alias("path"), used.alias("used"))
+def packed_raw(spark: SparkSession, d: str) -> DataFrame:
+    """The whole packager over the files that exist as JSON text."""
+    p = pack(_loaded(spark, d))
+    return p.chunks.select(F.col("key").alias("file_id"), "chunk_id", "page_no", "content_type", X.clean_title(F.col("section_title")).alias("section_title"), "chunk_text")
 
 
 def shared_titles(spark: SparkSession, d: str) -> DataFrame:
-    return titles_shared(table(spark, d, "kb_manifest"))
+    """Titles under which several files would share one file of chunks."""
+    return writers.shared_titles(_files(spark, d).select(X.doc_title(F.col("dir_name")).alias("doc_title"), F.col("file_id").alias("doc_id")))
 
 
 def relative_paths(spark: SparkSession, d: str) -> DataFrame:
@@ -255,40 +293,83 @@ def affix_strip(spark: SparkSession, d: str) -> DataFrame:
     return out.select("chunk_id", "chunk_text", F.array_contains("removed", "removed_header").alias("head_cut"), F.array_contains("removed", "removed_footer").alias("tail_cut"))
 
 
-def chunk_counters(spark: SparkSession, d: str) -> DataFrame:
-    k = table(spark, d, "kb_chunks").select("doc_id", "chunk_id", "content_type").distinct()
-    n = lambda t: F.count_if(F.col("content_type") == t).alias(f"{t}_chunks")
-    return k.groupBy("doc_id").agg(F.count(F.lit(1)).alias("total_chunks"), n("text"), n("table"), n("figure"), n("formula"))
-
-
-def chunk_numbers(spark: SparkSession, d: str) -> DataFrame:
-    """Ids of packaged chunks made again from document, page, type and number."""
-    k = table(spark, d, "kb_chunks").select("doc_id", "chunk_id", "page_no", "content_type").distinct()
-    number = F.regexp_extract("chunk_id", r":([0-9]+)$", 1).cast("int")
-    seq = F.row_number().over(Window.partitionBy("doc_id").orderBy(number, "chunk_id"))
-    return k.select("chunk_id", F.format_string("%s:p%d:%s:%d", "doc_id", "page_no", "content_type", seq).alias("numbered"))
-
-
 def error_summary(spark: SparkSession, d: str) -> DataFrame:
     return summarised(table(spark, d, "kb_errors").distinct())
 
 
 def counter_totals(spark: SparkSession, d: str) -> DataFrame:
-    """The 14 counters added up, as long rows."""
-    t = table(spark, d, "kb_stats").agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    """The 14 counters of the whole run, added up as the command line does, as long rows."""
+    t = _packed(spark, d).stats.agg(*[F.sum(c).alias(c) for c in COUNTERS])
     return t.unpivot([], list(COUNTERS), "counter", "total")
 
 
 def self_check(spark: SparkSession, d: str) -> DataFrame:
-    """The report's five health figures for each document."""
-    s = table(spark, d, "kb_stats")
-    return s.select("doc_id", "skipped_low_value_sections", "skipped_weak_figures", "subfigure_fragments_merged", "oversized_table_chunks", "aside_noise", F.when(F.col("figure_chunks") + F.col("skipped_weak_figures") > 0, F.col("skipped_weak_figures") / (F.col("figure_chunks") + F.col("skipped_weak_figures"))).otherwise(F.lit(0.0)).alias("weak_share"))
+    """The report's five health figures of each file packed."""
+    return writers.self_check(_packed(spark, d).stats).withColumnRenamed("key", "file_id")
 
 
-def manifest_policy(spark: SparkSession, d: str) -> DataFrame:
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents to deliver: `key, doc_id, doc_title, source_dir, input_files_all, input_files_used, folder`."""
     m = table(spark, d, "kb_manifest")
-    p = lambda f: F.col(f"chunking_policy.{f}")
-    return m.select("doc_id", p("target_tokens").alias("target_tokens"), p("hard_cap").alias("hard_cap"), p("merge_short_blocks").alias("merge"), F.size(F.coalesce("input_files_used", F.create_map().cast("map<string,string>"))).cast("bigint").alias("files_used"))
+    return m.select(F.col("doc_id").alias("key"), "doc_id", "doc_title", "source_dir", "input_files_all", "input_files_used", F.concat("source_dir", F.lit("/output")).alias("folder"))
+
+
+def _counters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "kb_stats").withColumn("key", F.col("doc_id"))
+
+
+def manifests(spark: SparkSession, d: str) -> DataFrame:
+    """Fields of the manifest made for every document, read back out of its JSON."""
+    j = writers.manifests(_documents(spark, d), _counters(spark, d), Options(project_root="inbox"))
+    at = lambda p: F.get_json_object("manifest", f"$.{p}")
+    names = {"title": "doc_title", "dir": "source_dir", "pdf": "source_pdf", "target_tokens": "chunking_policy.target_tokens", "hard_cap": "chunking_policy.hard_cap", "image_type": "chunking_policy.type_mapping.image", "chunks_file": "output_files.chunks_jsonl", "report_file": "output_files.error_report", "layout": "input_files_all.layout", "list_used": "input_files_used.content_list_v2", "total_chunks": "stats.total_chunks", "aside_noise": "stats.aside_noise"}
+    return j.select(F.col("key").alias("doc_id"), *[at(p).alias(n) for n, p in names.items()])
+
+
+def error_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Counts and lists of the error report made for every document, read back out of its JSON."""
+    e = table(spark, d, "kb_errors").distinct().withColumn("key", F.col("doc_id"))
+    j = writers.error_reports(e, _documents(spark, d))
+    length = lambda k: F.coalesce(F.json_array_length(F.get_json_object("report", f"$.{k}")), F.lit(0)).cast("bigint").alias(k)
+    total = lambda k: F.get_json_object("report", f"$.summary.total_{k}").cast("bigint").alias(f"total_{k}")
+    return j.select(F.col("key").alias("doc_id"), *[total(k) for k in writers.CATEGORIES], *[length(k) for k in (*writers.CATEGORIES, "oversized_table_chunks")])
+
+
+def readmes(spark: SparkSession, d: str) -> DataFrame:
+    """The table of counters in every document's readme."""
+    r = writers.readmes(_documents(spark, d), _counters(spark, d))
+    return r.select(F.col("key").alias("doc_id"), F.get(F.split("readme", "\n"), F.lit(0)).alias("head"), F.array_join(F.regexp_extract_all("readme", F.lit(r"\| (\d+) \|"), F.lit(1)), ",").alias("counts"))
+
+
+def _delivered(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks packaged before, in the order of their numbers; repeated ingestions once."""
+    k = table(spark, d, "kb_chunks").select(F.col("doc_id").alias("key"), "doc_id", *writers.SIX).distinct()
+    return k.withColumn("seq", F.regexp_extract("chunk_id", r":(\d+)$", 1).cast("int"))
+
+
+def _read_back(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Writes `files` by their paths and reads the lines again, with the names of their files."""
+    paths = [r["root"] for r in files.select(F.regexp_extract("file", "^(.*/quire-written/[^/]+)/", 1).alias("root")).distinct().collect()]
+    schema = "chunk_id string, page_no int, content_type string, section_title string, chunk_text string, image_path string"
+    if not paths:
+        return spark.createDataFrame([], schema).withColumn("_file", F.lit(""))
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").json(paths).withColumn("_file", F.col("_metadata.file_path"))
+
+
+def written_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks written as one file for each document into the shared folder, and read again."""
+    root = f"{shared_folder(spark)}/quire-written/chunks-{uuid.uuid4().hex}"
+    docs = _documents(spark, d).withColumn("folder", F.concat(F.lit(root + "/"), F.md5("doc_id")))
+    return _read_back(spark, writers.chunk_files(_delivered(spark, d), docs)).drop("_file")
+
+
+def shared_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks written as one file for each title into the shared folder, and counted by file."""
+    root = f"{shared_folder(spark)}/quire-written/shared-{uuid.uuid4().hex}"
+    docs = _documents(spark, d).where("doc_title is not null")
+    back = _read_back(spark, writers.shared_files(_delivered(spark, d), docs, root))
+    name = F.url_decode(F.replace(F.regexp_extract("_file", r"([^/]+)\.jsonl$", 1), F.lit("+"), F.lit("%2B")))
+    return back.groupBy(name.alias("title")).agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("chunk_id").alias("chunks"))
 
 
 def packed_chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -311,9 +392,9 @@ flagship = packed_chunks
 
 def queries() -> dict[str, Query]:
     names = [
-        p1_found, p1_tables, p1_children, doc_identity, load_errors, source_roles, shared_titles, relative_paths, block_ids, inline_texts, clean_texts, token_counts, section_paths, clean_titles,
+        p1_found, p1_tables, p1_children, doc_identity, discovered_files, content_choice, loaded_pages, load_errors, relative_paths, block_ids, inline_texts, clean_texts, token_counts, section_paths, clean_titles,
         routes, segments, merge_bins, split_texts, text_chunks, html_tables, table_texts, table_parts, table_parts_tight, image_check, nearby_texts, figure_labels, figure_context, figure_chunks, formulas,
-        affix_frequency, affix_strip, chunk_counters, chunk_numbers, error_summary, counter_totals, self_check, manifest_policy, packed_chunks, packed_stats, packed_events,
+        affix_frequency, affix_strip, error_summary, packed_chunks, packed_stats, packed_events, packed_raw, counter_totals, self_check, shared_titles, manifests, error_reports, readmes, written_chunks, shared_chunks,
     ]
 
     def ready(f: Query) -> Query:

@@ -10,7 +10,7 @@ are not listed, so an empty image counts as missing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
@@ -22,8 +22,13 @@ ROLES = ("origin_pdf", "content_list_v2", "content_list", "layout", "model", "fu
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """`path, dirname, name` of every file below the folders of `root`; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    tail = F.regexp_extract("path", r"([^/]+)/((?:images/)?[^/]+)$", 0)
-    return files.select("path", F.regexp_extract(tail, r"^([^/]+)/", 1).alias("dirname"), F.regexp_extract(tail, r"^[^/]+/(.+)$", 1).alias("name"))
+    return files.select(*placed(F.col("path")))
+
+
+def placed(path: Column) -> tuple[Column, Column, Column]:
+    """A path with the name of its document's folder and its own name within that folder."""
+    tail = F.regexp_extract(path, r"([^/]+)/((?:images/)?[^/]+)$", 0)
+    return path.alias("path"), F.regexp_extract(tail, r"^([^/]+)/", 1).alias("dirname"), F.regexp_extract(tail, r"^[^/]+/(.+)$", 1).alias("name")
 
 
 def with_roles(files: DataFrame) -> DataFrame:
@@ -57,22 +62,28 @@ def content_paths(dirs: DataFrame) -> DataFrame:
     return dirs.select("dirname", F.coalesce(F.col("files_used")["content_list_v2"], F.col("files_used")["content_list"]).alias("path"))
 
 
+def decoded(files: DataFrame, body: str = "value") -> DataFrame:
+    """`files` with `pages` out of JSON text; null where it cannot be decoded."""
+    return files.withColumn("pages", F.from_json(body, PAGES)).drop(body)
+
+
 def load_pages(spark: SparkSession, root: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """(`dirname, doc_id, doc_title, pages`, events): one row for each folder; undecodable files have null pages.
 
     A folder without any content list raises if `strict`, otherwise it becomes an event.
     """
-    dirs = discovered(listing(spark, root))
-    paths = content_paths(dirs)
-    none = paths.where("path is null")
-    if strict and none.limit(1).count():
+    paths = content_paths(discovered(listing(spark, root)))
+    if strict and not paths.where("path is null").isEmpty():
         raise ValueError("a folder has neither content_list_v2.json nor content_list.json")
     read = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*content_list*.json").select(F.col("_metadata.file_path").alias("path"), "value")
-    j = paths.where("path is not null").join(read, "path", "left")
-    out = j.select("dirname", X.doc_id(F.col("dirname")).alias("doc_id"), X.doc_title(F.col("dirname")).alias("doc_title"), "path", F.from_json("value", PAGES).alias("pages"))
-    bad = out.where("pages is null").select("doc_id", F.lit("parse_errors").alias("category"), F.col("path").alias("expected_path"), F.lit("content list is not decodable").alias("error"))
-    lost = none.select(X.doc_id(F.col("dirname")).alias("doc_id"), F.lit("parse_errors").alias("category"), F.lit(None).cast("string").alias("expected_path"), F.lit("no content list").alias("error"))
-    return out.drop("path"), bad.unionByName(lost)
+    out = decoded(paths.where("path is not null").join(read, "path", "left")).select("dirname", X.doc_id(F.col("dirname")).alias("doc_id"), X.doc_title(F.col("dirname")).alias("doc_title"), "path", "pages")
+    return out.drop("path"), load_events(paths, out)
+
+
+def load_events(paths: DataFrame, loaded: DataFrame) -> DataFrame:
+    """`key, doc_id, category, expected_path, error` of folders without a content list and of undecodable ones."""
+    row = lambda df, error: df.select(F.col("dirname").alias("key"), X.doc_id(F.col("dirname")).alias("doc_id"), F.lit("parse_errors").alias("category"), F.col("path").alias("expected_path"), F.lit(error).alias("error"))
+    return row(loaded.where("pages is null"), "content list is not decodable").unionByName(row(paths.where("path is null"), "no content list"))
 
 
 def image_listing(spark: SparkSession, root: str) -> DataFrame:

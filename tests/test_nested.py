@@ -51,3 +51,17 @@ def test_parents_are_cut_labels(spark):
 def test_surrogates_and_long_texts(spark):
     body = '[[{"content": {"paragraph_content": ["\\ud800", "' + "z" * 300_000 + '"]}}]]'
     assert len(found(spark, [], [body])) == 2
+
+
+def test_every_parent_is_a_row(spark):
+    pages = [None, [], [None, block(paragraph_content=[None, I]), block(list_items=[None, {"item_content": [I, None]}, "s"], image_source={"path": "p"})]]
+    v2 = spark.createDataFrame([(1, json.dumps(pages).replace(', "s"', "")), (2, None), (3, "[]")], "file_id bigint, j string").selectExpr("file_id", f"from_json(j, '{N.PAGES.simpleString()}') as pages")
+    raw = spark.createDataFrame([(101, json.dumps(pages)), (102, "7"), (103, "[[{bad"), (104, '{"a": 1}')], "file_id bigint, body string")
+    rows = N.related(N.page_nodes(v2, raw, set(N.TABLES.values())), "file_id", N.TABLES).collect()
+    keys = {(r.file_id, r.table_name, r.label) for r in rows}
+    assert len(keys) == len(rows) and all((r.file_id, r.parent_table, r.parent) in keys for r in rows if r.table_name != "files")
+    count = lambda f: {t: sum(r.table_name == t and r.file_id == f for r in rows) for t in N.TABLES}
+    assert count(101) == {"files": 1, "pages": 2, "blocks": 2, "paragraph_items": 1, "list_items": 2, "item_contents": 1, "images": 1}
+    assert count(1)["item_contents"] == 1 and count(3) == {t: int(t == "files") for t in N.TABLES} and not any(count(2).values()) and not any(count(102).values()) and not any(count(103).values())
+    assert count(104)["blocks"] == 1
+    assert {t: df.count() for t, df in N.tables_of(N.related(N.page_nodes(v2, raw), "file_id", N.TABLES), N.TABLES).items()} == {t: sum(r.table_name == t for r in rows) for t in N.TABLES}

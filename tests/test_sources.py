@@ -5,6 +5,7 @@ import pytest
 
 from quire import cli
 from quire.sources import parser_dirs as D
+from quire.sources import writers as W
 
 
 def folder(root, name, **files):
@@ -42,13 +43,29 @@ def test_cli_run(spark, tmp_path):
     folder(root, "Nothing", full__md="x")
     total = cli.run(spark, str(root), str(tmp_path / "out"), str(tmp_path / "shared"), lenient=True)
     assert {k: total[k] for k in golden.STATS} == golden.STATS
-    rows = spark.read.json(str(tmp_path / "out/chunks")).collect()
-    assert len(rows) == 4 and {r.chunk_id.split(":")[2] for r in rows} == {"text", "table", "figure", "formula"}
-    reports = [json.loads(r.report) for r in spark.read.json(str(tmp_path / "out/error_reports")).collect()]
-    assert sum(r["summary"]["parse_errors"] for r in reports) == 3
-    m = [json.loads(r.manifest) for r in spark.read.json(str(tmp_path / "out/manifests")).collect()]
-    assert len(m) == 2 and all("stats" in x and "chunking_policy" in x for x in m)
-    assert spark.read.json(str(tmp_path / "shared")).count() == 4
+    guide = next(p for p in (tmp_path / "out").iterdir() if p.name.startswith("Guide_"))
+    assert sorted(p.name for p in guide.iterdir()) == ["README_kb.md", "error_report.json", "kb_chunks.jsonl", "kb_manifest.json"]
+    rows = [json.loads(x) for x in (guide / "kb_chunks.jsonl").read_text().splitlines()]
+    assert [(r["content_type"], r["chunk_id"].rsplit(":", 1)[1]) for r in rows] == [(c[0], str(i)) for i, c in enumerate(golden.CHUNKS, 1)]
+    assert all(list(r) == list(W.SIX) for r in rows)
+    m = json.loads((guide / "kb_manifest.json").read_text())
+    assert m["output_files"]["chunks_jsonl"] == str(guide / "kb_chunks.jsonl") and m["stats"]["total_chunks"] == 4 and m["chunking_policy"]["type_mapping"]["image"] == "figure"
+    assert m["input_files_used"]["content_list_v2"].endswith("content_list_v2.json") and m["source_pdf"] == ""
+    r = json.loads((guide / "error_report.json").read_text())
+    assert r["summary"] == {"total_missing_images": 1, "total_skipped_blocks": 7, "total_unsupported_blocks": 1, "total_parse_errors": 1}
+    assert all(len(r[k]) == r["summary"][f"total_{k}"] for k in W.CATEGORIES) and "oversized_table_chunks" not in r
+    assert "| Chunks in all | 4 |" in (guide / "README_kb.md").read_text()
+    broken = next(p for p in (tmp_path / "out").iterdir() if p.name.startswith("Broken_"))
+    assert json.loads((broken / "error_report.json").read_text())["summary"]["total_parse_errors"] == 1 and (broken / "kb_chunks.jsonl").read_text() == ""
+    assert [p.name for p in (tmp_path / "shared").iterdir()] == ["Guide.jsonl"] and len((tmp_path / "shared/Guide.jsonl").read_text().splitlines()) == 4
+    assert "weak figures left out: 1" in cli.report(total)
+
+
+def test_default_folder(spark, tmp_path):
+    folder(tmp_path, A, content_list_v2__json=json.dumps(golden.PAGES))
+    cli.run(spark, str(tmp_path))
+    assert len((tmp_path / A / "output/kb_chunks.jsonl").read_text().splitlines()) == 4
+    assert {r.dirname for r in D.discovered(D.listing(spark, str(tmp_path))).collect()} == {A}
 
 
 def test_stream(spark, tmp_path):
