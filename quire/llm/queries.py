@@ -57,10 +57,10 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    """`file_id, doc_id, source, page_no, block_no, content` of every block of content_list_v2."""
+    """`file_id, doc_id, source, page_no, block_no, blocks, bbox, content` of every block of content_list_v2."""
     files = table(spark, d, "content_list_v2").select("file_id", "doc_id", "source", F.posexplode("pages").alias("p", "page"))
-    blocks = files.select("file_id", "doc_id", "source", "p", F.posexplode("page").alias("b", "block"))
-    return blocks.select("file_id", "doc_id", "source", (F.col("p") + 1).alias("page_no"), (F.col("b") + 1).alias("block_no"), F.col("block.content").alias("content"))
+    blocks = files.select("file_id", "doc_id", "source", "p", F.size("page").alias("blocks"), F.posexplode("page").alias("b", "block"))
+    return blocks.select("file_id", "doc_id", "source", (F.col("p") + 1).alias("page_no"), (F.col("b") + 1).alias("block_no"), "blocks", F.col("block.bbox").alias("bbox"), F.col("block.content").alias("content"))
 
 
 def _block_key():
@@ -68,12 +68,18 @@ def _block_key():
 
 
 def _scanned(spark: SparkSession, d: str) -> sc.Scanned:
+    """Texts of both tables with where they stand: page, height of the block on it, first or last block of it."""
+    height = lambda bbox, i: F.get(bbox, F.lit(i)).cast("double")
+    box = F.col("metadata.block_bbox")
     chunks = table(spark, d, "kb_chunks").select(
-        F.lit("kb_chunks").alias("place"), F.col("chunk_id").alias("record_key"), "doc_id", F.col("doc_title").alias("title"), F.col("chunk_text").alias("text")
+        F.lit("kb_chunks").alias("place"), F.col("chunk_id").alias("record_key"), "doc_id", F.col("doc_title").alias("title"), F.col("chunk_text").alias("text"), "page_no", height(box, 1).alias("top"), height(box, 3).alias("bottom"), F.lit(None).cast("int").alias("edge")
     )
     items = F.col("content.paragraph_content")
     text = F.array_join(F.transform(items, lambda i: i["content"]), "")
-    blocks = _pages(spark, d).where(items.isNotNull()).select(F.lit("content_list_v2").alias("place"), _block_key().alias("record_key"), "doc_id", F.lit(None).cast("string").alias("title"), text.alias("text"))
+    edge = (F.col("block_no") == 1).cast("int") + F.when(F.col("block_no") == F.col("blocks"), 2).otherwise(0)
+    blocks = _pages(spark, d).where(items.isNotNull()).select(
+        F.lit("content_list_v2").alias("place"), _block_key().alias("record_key"), "doc_id", F.lit(None).cast("string").alias("title"), text.alias("text"), "page_no", height(F.col("bbox"), 1).alias("top"), height(F.col("bbox"), 3).alias("bottom"), edge.alias("edge")
+    )
     return sc.Scanned(chunks.unionByName(blocks))
 
 

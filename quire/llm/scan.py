@@ -1,44 +1,53 @@
 """Noise in text from scanned pages: what noise each record has, and continuous readable paragraphs.
 
-One pass over all texts keeps word counts (a count-min sketch of fixed size), frequent words to train on,
-and the lines that may be page furniture.  An averaged-perceptron character editor (editor.py) is trained
-on those words.  A second pass reads every text:
-
-* page numbers: lines with nothing but a number in any style (digits, roman, `3-4`, `A-13`, `Page 2 of 9`);
-* running lines: lines that are little more than their document's title (read through misreadings), or
-  that stand in several records of one document and of no other, name it and are no sentence;
+One pass over all texts counts every word exactly (partial counts in each partition, summed by shuffle), and
+gathers the hyphens at line ends, the words spaced out letter by letter, the short lines that may be page
+furniture, and a bounded sample of lines to train on.  An averaged-perceptron character editor (editor.py) is
+trained on frequent words.  It then reads the vocabulary, not the texts: for every word it proposes words by
+its labels, and decides on each proposal from its scores and both words' counts; likewise on every
+distinct hyphen at a line end.  What it decided is one table of verdicts, with which a second pass reads every text:
+
+* page numbers: lines with nothing but a number in any style (digits, roman, `3-4`, `A-13`, `Page 2 of 9`),
+  unless they stand in a column of three or more such lines;
+* running lines: lines that are little more than their document's title (read through misreadings); and lines
+  that stand in several records of one document and of no other, where a perceptron over the place of the line on
+  its page and its typography takes them for furniture.  It is trained on title lines as furniture and on the
+  other lines of like shape as text, without seeing the titles;
 * broken words: a hyphen or like sign at a line end whose lines the editor joins, furniture between skipped;
-* misread words: words that an edit turns into a far more frequent word, and words spaced out letter by letter.
+* misread words: words that the editor changes (several misreadings in a word, too), and words spaced out.
 
-Scale: counts have a fixed size; furniture candidates are hashes, aggregated by document with partial
-aggregation; the furniture found is joined by document, broadcast only within a bound; texts are never shuffled.
+Scale: words are shuffled as partial counts, texts never.  Which words are frequent enough to be proposed is
+asked of a Bloom filter sized from their number; a filter too full only proposes more, as the counts are joined
+afterwards.  The verdicts are broadcast within a bound of bytes, beyond it joined to their records by shuffle.
+The driver gets the filter, bounded samples to train on, and the verdicts within their bound.
 
 Defined results: null, empty and blank texts have no noise and stay as they are; a null title is read off the
-document's id; rows without a record key have no result; repeated rows give one row of noise; texts are
-read whole; only the named columns are used.
+document's id; a null place on the page is a place of its own; rows without a record key have no result;
+repeated rows give one row of noise; texts are read whole; only the named columns are used.
 """
 
 from __future__ import annotations
 
+import random
 import re
-import zlib
 from collections import Counter
-from hashlib import blake2b
 
-import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.editor import ROWS, SLOTS, Counts, Editor, join_features, train, word_slots
-from quire.runtime import cut, spread
+from quire.llm.editor import Perceptron, edit_features, join_features, train_chars, train_moves, wanted_counts
+from quire.runtime import BROADCAST_BYTES, cut, small_enough, spread
 
-#: Words and compounds the editor is trained on, at most.
-TRAIN_WORDS, TRAIN_COMPOUNDS = 2000, 400
-#: A misread word's correction is this many times as frequent, and at least so frequent in all.
-RATIO, LEAST = 8, 4
-#: An edit is made if the editor's score for keeping exceeds its score by no more than this.
-MARGIN = 25.0
+#: Words and compounds the editor is trained on, and lines of either kind the line reader is, at most.
+TRAIN_WORDS, TRAIN_COMPOUNDS, TRAIN_LINES = 2000, 400, 3000
+#: A word that the corpus has less often is never proposed.
+LEAST = 4
+#: Bits of the filter for each frequent word, and in all at most.
+FILTER_BITS, FILTER_MOST = 32, 1 << 29
+#: Furniture is a short line; a longer one is text.
+SHORT = 120
 
 MARKS = "-‐¬­"
 WORD = re.compile(r"[^\W_]+(?:\|[^\W_]+)*|\|[^\W\d_]+(?:\|[^\W_]+)*")
@@ -54,11 +63,12 @@ _FOLD = str.maketrans("01|i59cf", "olllsget")
 _PAIRS = (("rn", "m"), ("ii", "u"), ("cl", "d"), ("ri", "n"), ("vv", "w"))
 
 
+_GAP = re.compile(r"[ \n]")
 _NOLETTER = re.compile(r"[^\w|]+|_+")
 
 
 def _hash(s: str) -> int:
-    return int.from_bytes(blake2b(s.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+    return xxhash.xxh64_intdigest(s.encode("utf-8", "replace")) - (1 << 63)
 
 
 def skeleton(s: str) -> str:
@@ -77,41 +87,83 @@ def title_of(title, doc_id) -> str:
 
 
 def _headed(line: str) -> bool:
-    """Whether a line has the shape of a running line: short, starting large or with a number, no sentence."""
+    """Whether a line has the shape of a running line: starting large or with a number, no sentence."""
     s = line.strip()
-    return 5 <= len(s) <= 90 and s[-1] not in ".,;:!?。" and (s[0].isupper() or s[0].isdigit()) and s[:4] != "Row "
-
-
-def _line_key(line: str) -> int:
-    return _hash(skeleton(re.sub(r"(?<![^\W_])\d+(?![^\W_])", "", line)))
+    return 5 <= len(s) <= SHORT and s[-1] not in ".,;:!?。" and (s[0].isupper() or s[0].isdigit())
 
 
-class _Doc:
-    """A document's title: its skeleton, and those of its words that are all capitals and digits, such as a model."""
+_LONE_NUMBER = re.compile(r"(?<![^\W_])\d+(?![^\W_])")
 
-    __slots__ = ("bare", "codes")
 
-    def __init__(self, title: str):
-        self.bare = skeleton(title)
-        self.codes = [skeleton(w) for w in title.split() if len(w) >= 4 and w.upper() == w]
-
-
-def furniture(lines: list[str], doc: _Doc, known: frozenset) -> list[str | None]:
-    """`running_line`, `page_number` or None for each line."""
-    out: list[str | None] = []
-    for line in lines:
-        s = line.strip()
-        kind = None
-        if s and len(s) <= 120:
-            if len(s) <= 24 and PAGE_NUMBER.match(s):
-                kind = "page_number"
+def _line_key(line: str) -> int:
+    return _hash(skeleton(_LONE_NUMBER.sub("", line)))
+
+
+def _titled(bare: str, title: str) -> bool:
+    """Whether a line's skeleton is little more than the title's."""
+    return len(title) >= 6 and title in bare and len(bare) <= len(title) + 14
+
+
+# ---- lines of a page ---------------------------------------------------------------------------------
+
+
+def _typography(s: str) -> list[str]:
+    letters = [w for w in s.split() if w.upper() != w.lower()]
+    large = sum(w != w.lower() for w in letters)
+    return [f"Tc{large * 4 // max(1, len(letters))}", "Tu" + str(s.upper() == s), "Ts" + str(any(c in "|•–—·" for c in s) or "   " in s), "Tn" + str(s[0].isdigit())]
+
+
+def line_features(lines: list[str], i: int, lo: int, hi: int, page: tuple) -> list[str]:
+    """What the line reader sees of line `i`: typography, its place among the lines `lo` to `hi` that are not
+    blank, what stands before and after it, and where its block stands on the page."""
+    s = lines[i].strip()
+    at = "first" if i == lo else "last" if i == hi else "second" if i == lo + 1 else "secondlast" if i == hi - 1 else "inside"
+    p = lines[i - 1].strip() if i else None
+    n = lines[i + 1].strip() if i + 1 < len(lines) else None
+    before = "none" if p is None else "blank" if not p else "closed" if p[-1] in ".!?:;。" else "open"
+    after = "none" if n is None else "blank" if not n else "lower" if n[0].islower() else "large" if n[0].isupper() else "other"
+    number, top, bottom, edge = page
+    place = ["Pa" + at, "Pb" + before, "Pn" + after, f"Pbn{before}/{after}", f"Pabn{at}/{before}/{after}"]
+    if at == "first" and top is not None:
+        place.append(f"Py{int(top) // 200}")
+    if at == "last" and bottom is not None:
+        place.append(f"Pz{int(bottom) // 200}")
+    if edge is not None:
+        place.append(f"Pe{int(edge)}/{at}")
+    if number is not None:
+        place.append(f"Pp{number == 1}/{at}")
+    kind = _typography(s)
+    return ["L", *kind, *place, f"{kind[0]}/{before}/{after}"]
+
+
+def furniture(lines: list[str], title: str, known, reader: Perceptron | None, page: tuple) -> list[str | None]:
+    """`running_line`, `page_number` or None for each line; `known` tells by a line's key whether it recurs in its document alone."""
+    out: list[str | None] = [None] * len(lines)
+    filled = [i for i, x in enumerate(lines) if x and not x.isspace()]
+    if not filled:
+        return out
+    number = [False] * len(lines)
+    for i in filled:
+        s = lines[i].strip()
+        if len(s) <= SHORT:
+            if PAGE_NUMBER.match(s):
+                number[i] = True
             elif _headed(s):
                 bare = skeleton(s)
-                if len(doc.bare) >= 6 and doc.bare in bare and len(bare) <= len(doc.bare) + 14:
-                    kind = "running_line"
-                elif known and any(c in bare for c in doc.codes) and _line_key(s) in known:
-                    kind = "running_line"
-        out.append(kind)
+                if _titled(bare, title):
+                    out[i] = "running_line"
+                elif known(_line_key(s)) and reader and reader.lead(line_features(lines, i, filled[0], filled[-1], page), "furniture", "text") > 0:
+                    out[i] = "running_line"
+    for k, i in enumerate(filled):
+        if number[i]:
+            a = k
+            while a and number[filled[a - 1]]:
+                a -= 1
+            b = k
+            while b + 1 < len(filled) and number[filled[b + 1]]:
+                b += 1
+            if b - a < 2:
+                out[i] = "page_number"
     return out
 
 
@@ -125,86 +177,61 @@ def _running(text: str) -> str:
     return _APART.sub(" ", text) if _APART_SIGN.search(text) else text
 
 
+def _break(line: str, following: str) -> str | None:
+    """Key of a word broken between two lines: what stands before the sign, the sign, what follows."""
+    line = line.rstrip(" \t")
+    if not line or line[-1] not in MARKS:
+        return None
+    m, rest = _BREAK.search(line), WORD.match(following.lstrip(" \t"))
+    if not m or not rest:
+        return None
+    return "\n".join((m.group(1).lower(), m.group(2), rest.group().lower(), "1" if rest.group()[:1].islower() else "0"))
+
+
 class Reader:
-    """Reads texts with the corpus' counts and the editor; remembers its verdicts on words."""
-
-    def __init__(self, counts: Counts, editor: Editor):
-        self.counts, self.editor = counts, editor
-        self.memo: dict[str, str | None] = {}
-        self.sound: set[str] = set()
-
-    def correct(self, word: str) -> str | None:
-        """The word that `word` (lower case) is a misreading of, or None."""
-        if word in self.memo:
-            return self.memo[word]
-        if len(self.memo) > 500_000:
-            self.memo.clear()
-        found = None
-        mixed = not word.isalpha()
-        if (len(word) >= 4 or mixed and len(word) >= 3) and not word.isdigit() and any(c.isalpha() for c in word):
-            own = self.counts(word)
-            need = max(LEAST, own if mixed else RATIO * own)
-            for cost, w in self.editor.edits(word, lambda w: w.isalpha() and len(w) >= 3 and self.counts(w) >= need):
-                if cost <= MARGIN:
-                    found = w
-                    break
-        self.memo[word] = found
-        return found
-
-    def joined(self, left: str, mark: str, right: str) -> bool:
-        """Whether the editor joins `left` and `right` over a sign at a line end."""
-        a, b = left.lower(), right.lower()
-        c = self.counts
-        whole, dashed = c(a + b), c(a + "-" + b)
-        if not whole and not dashed:
-            better = self.correct(a + b)
-            whole = c(better) if better else 0
-        return self.editor.joins(join_features(mark, whole, dashed, c(a), c(b), right[:1].islower()))
+    """Reads texts with the verdicts of their corpus: `get(kind, key)` gives a verdict or None."""
+
+    def __init__(self, get, lines: Perceptron | None):
+        self.get, self.lines = get, lines
+
+    def marks(self, lines: list[str], title: str, doc, page: tuple) -> list[str | None]:
+        d = _hash(doc) if isinstance(doc, str) else 0
+        return furniture(lines, title, lambda k: self.get("f", f"{d}:{k}"), self.lines, page)
 
     def breaks(self, lines: list[str]) -> list[int]:
         """Indices of lines that end in a broken word whose rest starts the next line."""
         out = []
         for i in range(len(lines) - 1):
-            line = lines[i].rstrip(" \t")
-            if line and line[-1] in MARKS:
-                m, rest = _BREAK.search(line), WORD.match(lines[i + 1].lstrip(" \t"))
-                if m and rest and self.joined(m.group(1), m.group(2), rest.group()):
-                    out.append(i)
+            key = _break(lines[i], lines[i + 1])
+            if key and self.get("j", key):
+                out.append(i)
         return out
 
     def spaced(self, text: str) -> list[tuple[int, int, str]]:
-        """Words spaced out letter by letter: start, end, word."""
+        """Words spaced out letter by letter: start, end, the word, mended."""
         out = []
         for m in _SPACED.finditer(text):
-            w = re.sub(r"[ \n]", "", m.group())
-            low = w.lower()
-            if self.counts(low) >= LEAST or self.correct(low):
-                out.append((m.start(), m.end(), w))
+            w = _GAP.sub("", m.group())
+            better = self.get("s", w.lower())
+            if better:
+                out.append((m.start(), m.end(), w if better == w.lower() else better))
         return out
 
-    def kinds(self, text: str, doc: _Doc, known: frozenset) -> set[str]:
+    def kinds(self, text: str, title: str, doc, page: tuple) -> set[str]:
         lines = text.split("\n")
-        marks = furniture(lines, doc, known)
+        marks = self.marks(lines, title, doc, page)
         got = {k for k in marks if k}
         own = [x for x, k in zip(lines, marks) if not k] if got else lines
         broken = set(self.breaks(own))
         if broken:
             got.add("broken_word")
         body = self._unbroken(own, broken)
-        if self._misreads(_running(_STUB.sub(" ", body))) or self.spaced(body):
+        # a stub before a sign at a line end, its rest elsewhere, is no word
+        words = set(WORD.findall(_running(_STUB.sub(" ", body)).lower()))
+        if any(self.get("w", w) for w in words) or self.spaced(body):
             got.add("misread")
         return got
 
-    def _misreads(self, text: str) -> bool:
-        """Whether any word is misread; a stub before a sign at a line end, its rest elsewhere, is no word."""
-        for word in set(WORD.findall(text.lower())) - self.sound:
-            if self.correct(word) is not None:
-                return True
-            if len(self.sound) > 500_000:
-                self.sound.clear()
-            self.sound.add(word)
-        return False
-
     @staticmethod
     def _unbroken(lines: list[str], broken: set[int]) -> str:
         if not broken:
@@ -215,24 +242,24 @@ class Reader:
             out.append(s.rstrip(" \t")[:-1] if i in broken else s + "\n")
         return "".join(out).removesuffix("\n")
 
-    def repair(self, text: str, doc: _Doc, known: frozenset) -> str:
+    def repair(self, text: str, title: str, doc, page: tuple) -> str:
         """The text without furniture, its words mended, its wrapped lines joined into paragraphs."""
         lines = text.split("\n")
-        marks = furniture(lines, doc, known)
+        marks = self.marks(lines, title, doc, page)
         own = [x for x, k in zip(lines, marks) if not k]
         broken = set(self.breaks(own))
         wrapped = bool(broken) or len(own) < len(lines) or _wrapped(own)
         body = self._unbroken(own, broken)
         last, parts = 0, []
         for s, e, w in self.spaced(body):
-            parts += [body[last:s], self._fix(w)]
+            parts += [body[last:s], w]
             last = e
         body = "".join(parts) + body[last:]
         body = WORD.sub(lambda m: self._fix(m.group()), body)
         return _paragraphs(body) if wrapped else body
 
     def _fix(self, word: str) -> str:
-        better = self.correct(word.lower())
+        better = self.get("w", word.lower())
         if better is None:
             return word
         letters = [c for c in word if c.isalpha()]
@@ -263,30 +290,59 @@ def _paragraphs(text: str) -> str:
 
 # ---- over a corpus -----------------------------------------------------------------------------------
 
+_SEEN = "kind int, s string, n bigint, a bigint, b bigint, c bigint"
+
+
+def _page(pdf: pd.DataFrame):
+    none = lambda x: None if x is None or x != x else x
+    return [(none(p), none(t), none(b), none(e)) for p, t, b, e in zip(pdf["page_no"], pdf["top"], pdf["bottom"], pdf["edge"])]
+
+
+class _Sample:
+    """The `size` examples with the smallest hashes."""
+
+    def __init__(self, size: int):
+        self.size, self.rows, self.limit = size, [], 1 << 63
+
+    def add(self, h: int, make) -> None:
+        if h < self.limit:
+            self.rows.append((h, make()))
+            if len(self.rows) >= 2 * self.size:
+                self.cut()
+
+    def cut(self) -> None:
+        self.rows = sorted(self.rows)[: self.size]
+        if len(self.rows) == self.size:
+            self.limit = self.rows[-1][0]
+
 
 def _count_scan(batches):
-    """Word counts of a partition (pieces of the sketch), its most frequent words, and lines that may be furniture."""
+    """One partition: word counts (1), line ends (2), spaced words (3), lines that may be furniture (0), lines to train on (4)."""
     words: Counter = Counter()
-    table = np.zeros((ROWS, SLOTS), np.int64)
-    best: Counter = Counter()
-    titles: dict[str, _Doc] = {}
+    ends: set = set()
+    apart: set = set()
+    titles: dict = {}
+    samples = {"furniture": _Sample(TRAIN_LINES), "text": _Sample(TRAIN_LINES)}
+
+    def rows(kind, keys, numbers):
+        return pd.DataFrame({"kind": kind, "s": pd.Series(keys, dtype=object), "n": numbers, "a": 0, "b": 0, "c": 0})
 
     def flush():
-        if not words:
-            return
-        slots = np.array([word_slots(w) for w in words])
-        n = np.fromiter(words.values(), dtype=np.int64, count=len(words))
-        for r in range(ROWS):
-            np.add.at(table[r], slots[:, r], n)
-        best.update({w: c for w, c in words.most_common(4 * TRAIN_WORDS)})
-        if len(best) > 20 * TRAIN_WORDS:
-            for w, _ in best.most_common()[8 * TRAIN_WORDS :]:
-                del best[w]
+        for site in ends:
+            a, _, b, _ = site.split("\n")
+            words[a + b] += 0
+        for w in apart:
+            words[w] += 0
+        yield rows(1, list(words), list(words.values()))
+        yield rows(2, list(ends), 1)
+        yield rows(3, list(apart), 1)
         words.clear()
+        ends.clear()
+        apart.clear()
 
     for pdf in batches:
         docs, keys, recs = [], [], []
-        for rec, doc, title, text in zip(pdf["record_key"], pdf["doc_id"], pdf["title"], pdf["text"]):
+        for rec, doc, title, text, page in zip(pdf["record_key"], pdf["doc_id"], pdf["title"], pdf["text"], _page(pdf)):
             if not text:
                 continue
             low = text.lower()
@@ -295,119 +351,237 @@ def _count_scan(batches):
                 for c in _COMPOUND.findall(low):
                     p = c.split("-")
                     words.update(a + "-" + b for a, b in zip(p, p[1:]))
-            if isinstance(doc, str):
-                name = title_of(title, doc)
-                if name not in titles:
-                    if len(titles) > 100_000:
-                        titles.clear()
-                    titles[name] = _Doc(name)
-                codes = titles[name].codes
-                for line in text.split("\n") if codes else ():
-                    if 5 <= len(line) <= 120 and _headed(line) and any(c in skeleton(line) for c in codes):
-                        docs.append(_hash(doc))
-                        keys.append(_line_key(line))
-                        recs.append(_hash(rec))
-        if len(words) > 200_000:
-            flush()
+            for m in _SPACED.finditer(low):
+                apart.add(_GAP.sub("", m.group()))
+            lines = text.split("\n")
+            filled = [i for i, x in enumerate(lines) if x and not x.isspace()]
+            name = title_of(title, doc)
+            bare = titles.get(name)
+            if bare is None:
+                if len(titles) > 100_000:
+                    titles.clear()
+                bare = titles[name] = skeleton(name)
+            d, r = (_hash(doc), _hash(rec)) if isinstance(doc, str) else (0, 0)
+            short = set()
+            for i in filled:
+                s = lines[i].strip()
+                if len(s) > SHORT:
+                    continue
+                if PAGE_NUMBER.match(s):
+                    short.add(i)
+                elif isinstance(doc, str) and _headed(s):
+                    short.add(i)
+                    k = _line_key(s)
+                    titled = _titled(skeleton(s), bare)
+                    if not titled:
+                        docs.append(d)
+                        keys.append(k)
+                        recs.append(r)
+                    samples["furniture" if titled else "text"].add(_hash(f"{r}:{i}:{k}"), lambda: (" ".join(line_features(lines, i, filled[0], filled[-1], page)), d, k))
+            for k, i in enumerate(filled[:-1]):
+                if lines[i].rstrip(" \t")[-1:] in MARKS:
+                    # lines between that may prove to be furniture are stepped over
+                    for j in filled[k + 1 :]:
+                        if site := _break(lines[i], lines[j]):
+                            ends.add(site)
+                        if j not in short:
+                            break
+        if len(words) > 500_000:
+            yield from flush()
         if docs:
-            yield pd.DataFrame({"kind": 0, "a": docs, "b": keys, "c": recs, "s": None, "v": None})
-    flush()
-    step = SLOTS // 8
-    full = np.minimum(table, 0xFFFFFFFF).astype(np.uint32)
-    rows = [(1, r, p, 0, None, zlib.compress(full[r, p * step : (p + 1) * step].tobytes(), 1)) for r in range(ROWS) for p in range(8) if full[r, p * step : (p + 1) * step].any()]
-    top = [w for w, _ in best.most_common() if 4 <= len(w) <= 40 and w.isalpha()][:TRAIN_WORDS]
-    pairs = [w for w, _ in best.most_common() if "-" in w][:TRAIN_COMPOUNDS]
-    rows += [(2, 0, 0, 0, w, None) for w in [*top, *pairs]]
-    yield pd.DataFrame(rows, columns=["kind", "a", "b", "c", "s", "v"])
-
-
-def _add_pieces(batches):
-    acc: dict = {}
-    for pdf in batches:
-        for r, p, v in zip(pdf["a"], pdf["b"], pdf["v"]):
-            x = np.frombuffer(zlib.decompress(v), np.uint32).astype(np.int64)
-            acc[r, p] = acc[r, p] + x if (r, p) in acc else x
-    yield pd.DataFrame([(r, p, np.minimum(x, 0xFFFFFFFF).astype(np.uint32).tobytes()) for (r, p), x in acc.items()], columns=["a", "b", "v"])
+            yield pd.DataFrame({"kind": 0, "s": None, "n": 0, "a": docs, "b": keys, "c": recs})
+    yield from flush()
+    for label, sample in samples.items():
+        sample.cut()
+        if sample.rows:
+            out = rows(4, [f"{label} {f}" for _, (f, _, _) in sample.rows], 1)
+            out["c"] = [h for h, _ in sample.rows]
+            out["a"], out["b"] = [d for _, (_, d, _) in sample.rows], [k for _, (_, _, k) in sample.rows]
+            yield out
+
+
+class Filter:
+    """Bloom filter over words; bits are found by the two halves of a 64-bit hash."""
+
+    def __init__(self, bits: bytes | bytearray, mask: int):
+        self.bits, self.mask = bits, mask
+
+    def __contains__(self, word: str) -> bool:
+        h = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 42)
+        a, b = h & self.mask, (h >> 32) & self.mask
+        return bool(self.bits[a >> 3] >> (a & 7) & 1 and self.bits[b >> 3] >> (b & 7) & 1)
+
+    @classmethod
+    def over(cls, words: DataFrame) -> Filter:
+        """Filter of the column `s` (distinct); made by bitmap aggregation, FILTER_MOST bits at most."""
+        need = max(1 << 16, min(FILTER_MOST, FILTER_BITS * words.count()))
+        mask = (1 << (need - 1).bit_length()) - 1
+        h = F.xxhash64("s")
+        p = words.select(F.explode(F.array(h.bitwiseAND(F.lit(mask)) + 1, F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(mask)) + 1)).alias("p"))
+        bits = bytearray((mask + 1) // 8)
+        for r in p.groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("v")).toLocalIterator():
+            v = bytes(r["v"])
+            start = (r["k"] - 1) * 4096
+            bits[start : start + len(v)] = v[: len(bits) - start]
+        return cls(bytes(bits), mask)
 
 
 class Scanned:
-    """Records (place, record_key, doc_id, title, text) with the corpus' counts, editor and furniture."""
-
-    def __init__(self, records: DataFrame):
-        self.records = records.select("place", "record_key", "doc_id", "title", "text").where("record_key is not null")
-        self.records = spread(self.records)
-        seen = cut(self.records.where("text is not null").mapInPandas(_count_scan, "kind int, a bigint, b bigint, c bigint, s string, v binary"))
-        table = np.zeros((ROWS, SLOTS), np.uint32)
-        step = SLOTS // 8
-        # 16 pieces of fixed size reach the driver, whatever the corpus
-        for r in seen.where("kind = 1").select("a", "b", "v").repartition(16, "a", "b").mapInPandas(_add_pieces, "a bigint, b bigint, v binary").collect():
-            table[r["a"], r["b"] * step : (r["b"] + 1) * step] = np.frombuffer(r["v"], np.uint32)
-        counts = Counts(table)
-        # at most TRAIN_WORDS + TRAIN_COMPOUNDS words are fitted on: those found most often among the partitions' most frequent
-        often = seen.where("kind = 2").groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-        pick = lambda where, n: [r["s"] for r in often.where(where).orderBy(F.desc("n"), "s").limit(n * 4).collect()]
-        rank = lambda ws, n: sorted(ws, key=lambda w: (-counts(w), w))[:n]
-        self.editor = train(rank(pick("s not like '%-%'", TRAIN_WORDS), TRAIN_WORDS), rank(pick("s like '%-%'", TRAIN_COMPOUNDS), TRAIN_COMPOUNDS), counts)
-        self.table = table
+    """Records (place, record_key, doc_id, title, text, page_no, top, bottom, edge) with their corpus' editor and verdicts.
+
+    `top` and `bottom` are the heights of the record's block on its page, `edge` tells whether it is the first (1), the
+    last (2), the only (3) or another block (0) of the page; all three and the page may be null.
+    """
+
+    def __init__(self, records: DataFrame, broadcast_bytes: int = BROADCAST_BYTES):
+        spark = records.sparkSession
+        self.broadcast_bytes = broadcast_bytes
+        self.records = spread(records.select("place", "record_key", "doc_id", "title", "text", "page_no", "top", "bottom", "edge").where("record_key is not null"))
+        seen = cut(self.records.where("text is not null").mapInPandas(_count_scan, _SEEN))
+        self.counts = counts = cut(seen.where("kind = 1").groupBy("s").agg(F.sum("n").alias("n")))
+        letters = F.col("s").rlike(r"^\p{L}+$")
+        known = Filter.over(counts.where((F.col("n") >= LEAST) & letters & (F.length("s") >= 3)).select("s"))
+        rng = random.Random(11)
+        top = lambda where, n: [r["s"] for r in counts.where(where).orderBy(F.desc("n"), "s").limit(n).collect()]
+        words = top(letters & F.length("s").between(4, 40) & (F.col("n") >= LEAST), TRAIN_WORDS)
+        compounds = top(F.col("s").contains("-") & (F.col("n") >= LEAST), TRAIN_COMPOUNDS)
+        chars = train_chars(words, rng)
+        moves, ends, need = wanted_counts(chars, words, compounds, known.__contains__, rng)
+        # the words asked for stem from at most TRAIN_WORDS + TRAIN_COMPOUNDS words
+        asked = F.broadcast(spark.createDataFrame([(w,) for w in sorted(need)], "s string"))
+        got = {r["s"]: r["n"] for r in counts.join(asked, "s").collect()}
+        self.editor = train_moves(chars, moves, ends, lambda w: got.get(w, 0), rng)
         lines = seen.where("kind = 0").groupBy("a", "b").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-        alone = lines.groupBy("b").agg(F.count(F.lit(1)).alias("docs"), F.first("a").alias("a"), F.max(F.col("lo") != F.col("hi")).alias("many"))
-        # a document has few running lines; those of one document come as one short array
-        self.known = alone.where("docs = 1 and many").groupBy("a").agg(F.collect_set("b").alias("known"))
+        lines = lines.groupBy("b").agg(F.count(F.lit(1)).alias("docs"), F.first("a").alias("a"), F.max(F.col("lo") != F.col("hi")).alias("many"))
+        self.alone = cut(lines.where("docs = 1 and many").select("a", "b"))
+        lines = []
+        for label in ("furniture", "text"):
+            picked = seen.where((F.col("kind") == 4) & F.startswith("s", F.lit(label + " "))).orderBy("c", "s").limit(TRAIN_LINES)
+            # what recurs in one document may be furniture without a title, and is no example of text
+            picked = picked.join(self.alone, ["a", "b"], "left_anti").select("c", "s").orderBy("c", "s").collect()
+            lines += [(f, y) for y, *f in (r["s"].split(" ") for r in picked)]
+        self.lines = Perceptron.fit(lines, ["text", "furniture"], rng) if lines else None
+        self.seen, self.known = seen, known
+
+    def fixes(self) -> DataFrame:
+        """`s, better, n`: every word that the editor changes, what into, and how often that is seen."""
+        held = self.records.sparkSession.sparkContext.broadcast((self.editor, self.known.bits, self.known.mask))
+
+        def propose(batches):
+            editor, bits, mask = held.value
+            known = Filter(bits, mask)
+            for pdf in batches:
+                out = [(w, own, other, cost, edits) for w, own in zip(pdf["s"], pdf["n"]) for other, cost, edits in editor.proposals(w, lambda x: len(x) >= 3 and x in known)]
+                yield pd.DataFrame(out, columns=["s", "own", "other", "cost", "edits"])
+
+        def decide(batches):
+            editor = held.value[0]
+            for pdf in batches:
+                lead = [editor.accepts(edit_features(*x)) for x in zip(pdf["s"], pdf["own"], pdf["n"], pdf["cost"], pdf["edits"])]
+                keep = pd.Series(lead, index=pdf.index, dtype=float) > 0
+                yield pdf.assign(lead=lead)[keep][["s", "other", "n", "lead"]]
+
+        mixed = ~F.col("s").rlike(r"^\p{L}+$")
+        words = self.counts.where(F.col("s").rlike(r"\p{L}") & ~F.col("s").contains("-") & ((F.length("s") >= 4) | mixed & (F.length("s") >= 3)))
+        pairs = words.mapInPandas(propose, "s string, own bigint, other string, cost double, edits int")
+        both = pairs.join(self.counts.select(F.col("s").alias("other"), "n"), "other").where((F.col("n") >= LEAST) & (F.col("n") > F.col("own")))
+        good = both.select("s", "own", "other", "n", "cost", "edits").mapInPandas(decide, "s string, other string, n bigint, lead double")
+        best = good.groupBy("s").agg(F.max(F.struct("lead", "n", "other")).alias("m"))
+        return best.select("s", F.col("m.other").alias("better"), F.col("m.n").alias("n"))
+
+    def verdicts(self) -> DataFrame:
+        """`kind, key, value`: words to change (w), line ends to join (j), spaced words (s), furniture that recurs (f)."""
+        fixes = cut(self.fixes())
+        held = self.records.sparkSession.sparkContext.broadcast(self.editor)
+        sites = self.seen.where("kind = 2").select(F.col("s").alias("site")).distinct()
+        part = lambda i: F.get(F.split("site", "\n"), F.lit(i))
+        asked = sites.select("site", F.posexplode(F.array(F.concat(part(0), part(2)), F.concat_ws("-", part(0), part(2)), part(0), part(2))).alias("i", "s"))
+        found = asked.join(self.counts, "s", "left").groupBy("site").agg(*[F.coalesce(F.sum(F.when(F.col("i") == i, F.col("n"))), F.lit(0)).alias(c) for i, c in enumerate(("whole", "dashed", "left", "right"))])
+        found = found.withColumn("s", F.concat(part(0), part(2))).join(fixes.select("s", F.col("n").alias("mended")), "s", "left")
+        found = found.withColumn("whole", F.when((F.col("whole") == 0) & (F.col("dashed") == 0), F.coalesce("mended", F.lit(0))).otherwise(F.col("whole")))
+
+        def join(batches):
+            for pdf in batches:
+                ok = []
+                for site, w, d, a, b in zip(pdf["site"], pdf["whole"], pdf["dashed"], pdf["left"], pdf["right"]):
+                    _, mark, _, lower = site.split("\n")
+                    ok.append(held.value.joins(join_features(mark, w, d, a, b, lower == "1")))
+                yield pd.DataFrame({"kind": "j", "key": pdf["site"][ok], "value": "1"})
+
+        joined = found.select("site", "whole", "dashed", "left", "right").mapInPandas(join, "kind string, key string, value string")
+        spaced = self.seen.where("kind = 3").select("s").distinct().join(self.counts, "s").join(fixes.select("s", "better"), "s", "left")
+        spaced = spaced.where((F.col("n") >= LEAST) | F.col("better").isNotNull()).select(F.lit("s").alias("kind"), F.col("s").alias("key"), F.when(F.col("n") >= LEAST, F.col("s")).otherwise(F.col("better")).alias("value"))
+        words = fixes.select(F.lit("w").alias("kind"), F.col("s").alias("key"), F.col("better").alias("value"))
+        return words.unionByName(joined).unionByName(spaced).unionByName(self.alone.select(F.lit("f").alias("kind"), F.concat_ws(":", "a", "b").alias("key"), F.lit("1").alias("value")))
 
     def _read(self, fn, schema: str) -> DataFrame:
-        spark = self.records.sparkSession
-        held = spark.sparkContext.broadcast((self.table, self.editor))
-        per_doc = cut(self.known)
-        few = per_doc.limit(200_001).count() <= 200_000
+        verdicts = cut(self.verdicts())
+        sc = self.records.sparkSession.sparkContext
         names = [c.split()[0] for c in schema.split(",")]
-        found = spark.sparkContext.broadcast({r["a"]: frozenset(r["known"]) for r in per_doc.collect()}) if few else None
-        source = self.records if few else self._with_known(per_doc)
+        lines = sc.broadcast(self.lines)
+        if small_enough(verdicts, self.broadcast_bytes):
+            held = sc.broadcast({(r["kind"], r["key"]): r["value"] for r in verdicts.toLocalIterator()})
+            source = self.records
+        else:
+            held, source = None, self._with_verdicts(verdicts)
 
         def run(batches):
-            table, editor = held.value
-            reader = Reader(Counts(table), editor)
-            docs: dict = {}
+            titles: dict = {}
             for pdf in batches:
                 out = []
-                extra = pdf["known"] if "known" in pdf else [None] * len(pdf)
-                for place, rec, doc, title, text, kn in zip(pdf["place"], pdf["record_key"], pdf["doc_id"], pdf["title"], pdf["text"], extra):
+                own = pdf["verdicts"] if held is None else [None] * len(pdf)
+                for place, rec, doc, title, text, page, given in zip(pdf["place"], pdf["record_key"], pdf["doc_id"], pdf["title"], pdf["text"], _page(pdf), own):
                     if not text:
-                        out.extend(fn(reader, place, rec, text, None, frozenset()))
+                        out.extend(fn(None, place, rec, text, "", doc, page))
                         continue
+                    table = held.value if held else {(v["kind"], v["key"]): v["value"] for v in given} if given is not None else {}
                     name = title_of(title, doc)
-                    d = docs.get(name)
-                    if d is None:
-                        if len(docs) > 100_000:
-                            docs.clear()
-                        d = docs[name] = _Doc(name)
-                    known = (found.value.get(_hash(doc), frozenset()) if isinstance(doc, str) else frozenset()) if found else frozenset(kn) if kn is not None else frozenset()
-                    out.extend(fn(reader, place, rec, text, d, known))
+                    if name not in titles:
+                        if len(titles) > 100_000:
+                            titles.clear()
+                        titles[name] = skeleton(name)
+                    reader = Reader(lambda kind, key: table.get((kind, key)), lines.value)
+                    out.extend(fn(reader, place, rec, text, titles[name], doc, page))
                 yield pd.DataFrame(out, columns=names, dtype=object)
 
         return source.mapInPandas(run, schema)
 
-    def _with_known(self, per_doc: DataFrame) -> DataFrame:
-        """Records with the furniture of their documents, by a shuffle join on the document's hash."""
+    def _with_verdicts(self, verdicts: DataFrame) -> DataFrame:
+        """Records with the verdicts on their own words, line ends and lines, by shuffle joins on these and on the record."""
 
-        def add(batches):
+        def keys(batches):
             for pdf in batches:
-                yield pdf.assign(h=[_hash(d) if isinstance(d, str) else 0 for d in pdf["doc_id"]])
-
-        hashed = self.records.mapInPandas(add, "place string, record_key string, doc_id string, title string, text string, h bigint")
-        return hashed.join(per_doc.withColumnRenamed("a", "h"), "h", "left").drop("h")
+                out = []
+                for rec, doc, text in zip(pdf["h"], pdf["doc_id"], pdf["text"]):
+                    lines = text.split("\n")
+                    got = {("w", w) for w in WORD.findall(text.lower())} | {("s", _GAP.sub("", m.group()).lower()) for m in _SPACED.finditer(text)}
+                    d = _hash(doc) if isinstance(doc, str) else 0
+                    filled = [x for x in lines if x and not x.isspace()]
+                    got |= {("f", f"{d}:{_line_key(x.strip())}") for x in filled if _headed(x)}
+                    for k, x in enumerate(filled):
+                        if x.rstrip(" \t")[-1:] in MARKS:
+                            sites = {_break(x, y) for y in filled[k + 1 :]} - {None}
+                            got |= {("j", s) for s in sites} | {("w", "".join(s.split("\n")[0:3:2])) for s in sites}
+                    out += [(rec, k, v) for k, v in got]
+                yield pd.DataFrame(out, columns=["h", "kind", "key"])
+
+        named = self.records.withColumn("h", F.xxhash64("place", "record_key", "doc_id", "text"))
+        asked = named.where("text is not null").select("h", "doc_id", "text").mapInPandas(keys, "h bigint, kind string, key string").distinct()
+        per = asked.join(verdicts, ["kind", "key"]).groupBy("h").agg(F.collect_list(F.struct("kind", "key", "value")).alias("verdicts"))
+        return named.join(per, "h", "left").drop("h")
 
     def found(self) -> DataFrame:
         """`place, record_key, kind`, distinct."""
 
-        def kinds(reader, place, rec, text, doc, known):
-            return [(place, rec, k) for k in sorted(reader.kinds(text, doc, known))] if doc else []
+        def kinds(reader, place, rec, text, title, doc, page):
+            return [(place, rec, k) for k in sorted(reader.kinds(text, title, doc, page))] if reader else []
 
         return self._read(kinds, "place string, record_key string, kind string").distinct()
 
     def repaired(self) -> DataFrame:
         """`place, record_key, clean_text` for every record."""
 
-        def mend(reader, place, rec, text, doc, known):
-            return [(place, rec, reader.repair(text, doc, known) if doc else text)]
+        def mend(reader, place, rec, text, title, doc, page):
+            return [(place, rec, reader.repair(text, title, doc, page) if reader else text)]
 
         return self._read(mend, "place string, record_key string, clean_text string")
