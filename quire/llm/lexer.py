@@ -1,4 +1,7 @@
-"""Markup tokens of a text: HTML, Markdown, wiki and LaTeX, told apart from text that only looks alike."""
+"""Markup tokens of a text: HTML, Markdown, wiki and LaTeX, told apart from text that only looks alike.
+
+What a token's own line cannot settle (quote marks beside quoted literals, backslashes within a path, a table rule
+without a header) is left unsure, for the wrappers of the text's host to decide."""
 
 from __future__ import annotations
 
@@ -68,6 +71,7 @@ class Token(NamedTuple):
     label: str  # opening `x`, closing `/x`, or a single mark
     start: int
     end: int
+    sure: bool = True  # False: only a wrapper of its host can tell that it is markup
 
 
 def _label(part: str, s: str) -> str | None:
@@ -89,7 +93,7 @@ def _label(part: str, s: str) -> str | None:
 
 
 def tokens(text: str) -> list[Token]:
-    """All markup tokens in order.  Inside pre and code elements only HTML counts."""
+    """All markup tokens in order, sure or not.  Inside pre and code elements only HTML counts."""
     out: list[Token] = []
     raw = 0
     at = 0
@@ -100,8 +104,7 @@ def tokens(text: str) -> list[Token]:
         if part == "eqs":
             part = "wikihead"
         at = e if e > s else e + 1
-        if part == "command" and _DRIVE.search(text[max(0, s - 300) : s]):
-            continue  # a step of a file path
+        sure = not (part == "command" and _DRIVE.search(text[max(0, s - 300) : s]))  # else a step of a file path
         label = _label(part, m.group())
         if label is None:
             at = s + 1
@@ -110,19 +113,20 @@ def tokens(text: str) -> list[Token]:
             at = s + 1
             continue
         if part == "rule" and "|" not in text[text.rfind("\n", 0, max(s - 1, 0)) + 1 : max(s - 1, 0)]:
-            continue
+            sure = False
         if part == "quotes" and not m.group().startswith("'''"):
             a, b = text.rfind("\n", 0, s) + 1, text.find("\n", e)
             line = text[a : b if b >= 0 else len(text)]
             if _LITERAL.search(line.replace(m.group(), " ")):
-                continue  # quoted literals of program text
+                sure = False  # quoted literals of program text
         if label in ("pre", "code") and part == "tag" and low.find(f"</{label}", e) >= 0:
             raw += 1
         elif label in ("/pre", "/code") and raw:
             raw -= 1
-        out.append(Token(part, KIND[part], label, s, e))
+        out.append(Token(part, KIND[part], label, s, e, sure))
     return out
 
 
 def kinds(text: str | None) -> set[str]:
-    return {t.kind for t in tokens(text)} if text else set()
+    """Kinds of the tokens that need no wrapper."""
+    return {t.kind for t in tokens(text) if t.sure} if text else set()

@@ -4,12 +4,15 @@ Wrappers are union-free regular expressions over markup tokens with text slots.
 read as blocks (an element with all that it holds, or a single mark); a block's own wrapper has adjacent
 equal siblings and repeated groups folded into one repeated part.  Blocks of the same host and the same root
 are then aligned one after the other: labels on a longest common subsequence are merged, what only one
-side has becomes optional, text becomes a slot, and no alternatives are ever formed.  Merging is order-robust
-in the labels and parents it admits, so partial wrappers made at the scan are merged in two further rounds,
-first salted, then by host and root; a hot host never gathers its records, only bounded wrappers.
+side has becomes optional, text becomes a slot, and no alternatives are ever formed.  Blocks reach the merge
+as distinct shapes in a fixed order, first within salted parts of a host and root, then part by part, so the
+same records give the same wrappers however they are partitioned; a hot host never gathers its records, and
+a task holds one wrapper and one shape at a time.
 
-Every record is then read again with its host's wrappers: tokens that lie where a wrapper admits them are
-markup of that record, and parts that a wrapper repeats are set apart by line breaks in the clean text.
+Every record is then read again with its host's wrappers.  Wrappers are inferred from the tokens that are
+markup beyond doubt.  A token that may be markup or may only look alike counts if the wrapper of the element or
+environment around it has that mark at that place, that is if other records of the host have it there beyond doubt;
+outside of any element it is text.  Parts that a wrapper repeats are set apart by line breaks in the clean text.
 
 Clean text keeps structure as plain marks: headings `## x`, list items `- x`, code in fences or backticks,
 table rows `a | b`, formulas in their own delimiters; emphasis, links, templates, comments, attributes and
@@ -173,6 +176,54 @@ def _shape(text: str, toks: list[Token], partner: dict[int, int], first: int) ->
         i = after
 
 
+def enclosing(toks: list[Token], unsure: list[Token]) -> list[tuple[str, ...]]:
+    """Labels of the elements and environments around each unsure token, outermost first; `toks` are the sure ones."""
+    out: list[tuple[str, ...]] = [()] * len(unsure)
+    todo = sorted(range(len(unsure)), key=lambda k: unsure[k].start)
+    closers: dict[int, int] = {}
+    stack: list[int] = []
+    for i, t in enumerate(toks):
+        if t.part not in ("tag", "env", "wikitable") or t.label in VOID:
+            continue
+        if t.label[0] != "/":
+            stack.append(i)
+            continue
+        for k in range(len(stack) - 1, -1, -1):
+            if toks[stack[k]].label == t.label[1:]:
+                closers[stack[k]] = i
+                del stack[k:]
+                break
+    open_: list[int] = []
+    i = 0
+    for k in todo:
+        while i < len(toks) and toks[i].start < unsure[k].start:
+            if i in closers:
+                open_.append(i)
+            i += 1
+        while open_ and toks[closers[open_[-1]]].start < unsure[k].start:
+            open_.pop()
+        out[k] = tuple(toks[o].label for o in open_ if toks[closers[o]].start > unsure[k].start)
+    return out
+
+
+def has_mark(wraps: dict, path: tuple[str, ...], label: str) -> bool:
+    """Whether the wrapper of `path`'s outermost element has `label` directly below the path."""
+    if not path or path[0] not in wraps:
+        return False
+    level = [wraps[path[0]]]
+    for name in (*path[1:], label):
+        below = []
+        todo = [p for w in level for p in w[2]]
+        while todo:
+            p = todo.pop()
+            if p[0] == "()":
+                todo.extend(p[2])
+            elif p[0] == name:
+                below.append(p)
+        level = below
+    return bool(level)
+
+
 def admits(wrapper: tuple, shape: tuple) -> bool:
     """Whether every part of `shape` lies under a parent that `wrapper` has it under."""
     if wrapper[0] != shape[0]:
@@ -205,37 +256,43 @@ def _tuple(x):
 
 
 def _wrap_scan(batches):
-    own: dict[tuple, tuple] = {}
+    """The shapes of a partition's blocks, each about once."""
     seen: set = set()
     for pdf in batches:
+        rows = []
         for host, text in zip(pdf["host"], pdf["text"]):
             if not isinstance(text, str):
                 continue
             host = host if isinstance(host, str) else None
-            for w, _, _ in blocks(text, tokens(text)):
-                if (host, w) in seen:
-                    continue
-                if len(seen) > 50_000:
-                    seen.clear()
-                seen.add((host, w))
-                k = (host, w[0])
-                own[k] = merge(own[k], w) if k in own else w
-    yield _rows(own)
+            for w, _, _ in blocks(text, [t for t in tokens(text) if t.sure]):
+                if (host, w) not in seen:
+                    if len(seen) > 50_000:
+                        seen.clear()
+                    seen.add((host, w))
+                    rows.append((host, w[0], json.dumps(w, separators=(",", ":"))))
+        yield pd.DataFrame(rows, columns=["host", "root", "wrapper"], dtype=object)
 
 
 def _wrap_merge(batches):
-    own: dict[tuple, tuple] = {}
-    for pdf in batches:
-        for host, root, w in zip(pdf["host"], pdf["root"], pdf["wrapper"]):
-            k = (host if isinstance(host, str) else None, root)
-            w = _tuple(json.loads(w))
-            own[k] = merge(own[k], w) if k in own else w
-    yield _rows(own)
+    """One wrapper for each run of rows of one host, root and part; rows come sorted."""
+    at, own = None, None
 
+    def row():
+        host, root, part = at
+        return pd.DataFrame({"host": pd.Series([host], dtype=object), "root": [root], "part": [part], "wrapper": [json.dumps(own, separators=(",", ":"))]})
 
-def _rows(own: dict) -> pd.DataFrame:
-    keys = sorted(own, key=str)
-    return pd.DataFrame({"host": pd.Series([k[0] for k in keys], dtype=object), "root": pd.Series([k[1] for k in keys], dtype=object), "wrapper": pd.Series([json.dumps(own[k], separators=(",", ":")) for k in keys], dtype=object)})
+    for pdf in batches:
+        for host, root, part, w in zip(pdf["host"], pdf["root"], pdf["part"], pdf["wrapper"]):
+            k = (host if isinstance(host, str) else None, root, int(part))
+            w = _tuple(json.loads(w))
+            if k != at:
+                if at is not None:
+                    yield row()
+                at, own = k, w
+            else:
+                own = merge(own, w)
+    if at is not None:
+        yield row()
 
 
 _SCHEMA = "host string, root string, wrapper string"
@@ -246,11 +303,13 @@ def hinted(records: DataFrame) -> DataFrame:
     return records.where(F.col("text").rlike(HINT))
 
 
-def wrappers(records: DataFrame, salts: int = 8) -> DataFrame:
-    """`host, root, wrapper` (JSON) inferred from all `records` (host, text)."""
-    part = hinted(records.select("host", "text")).mapInPandas(_wrap_scan, _SCHEMA)
-    salted = part.repartition("host", "root", F.pmod(F.xxhash64("wrapper"), F.lit(salts))).mapInPandas(_wrap_merge, _SCHEMA)
-    return salted.repartition("host", "root").mapInPandas(_wrap_merge, _SCHEMA)
+def wrappers(records: DataFrame, salts: int = 16) -> DataFrame:
+    """`host, root, wrapper` (JSON) inferred from all `records` (host, text), whatever their order."""
+    shapes = hinted(records.select("host", "text")).mapInPandas(_wrap_scan, _SCHEMA).distinct()
+    salted = shapes.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(salts)).cast("int"))
+    first = salted.repartition("host", "root", "part").sortWithinPartitions("host", "root", "part", "wrapper").mapInPandas(_wrap_merge, _SCHEMA + ", part int")
+    second = first.repartition("host", "root").sortWithinPartitions("host", "root", "part").withColumn("part", F.lit(0))
+    return second.mapInPandas(_wrap_merge, _SCHEMA + ", part int").drop("part")
 
 
 class Markup:
@@ -295,10 +354,7 @@ class Markup:
         """`place, record_key, markup`: the kinds of markup of each record, distinct."""
 
         def kinds(place, key, text, wraps):
-            got = set()
-            for shape, i, j, toks in _fitting(text, wraps):
-                got.update(t.kind for t in toks[i : j + 1])
-            return [(place, key, k) for k in sorted(got)]
+            return [(place, key, k) for k in sorted({t.kind for t in reading(text, wraps)})]
 
         return self._read(kinds, "place string, record_key string, markup string", hinted(self.records)).distinct()
 
@@ -309,16 +365,23 @@ class Markup:
             if text is None:
                 return [(place, key, None)]
             apart = set().union(*(repeated(w) for w in wraps.values())) if wraps else set()
-            return [(place, key, clean(text, apart))]
+            return [(place, key, clean(text, apart, reading(text, wraps)))]
 
         return self._read(tidy, "place string, record_key string, clean_text string", self.records)
 
 
-def _fitting(text: str | None, wraps: dict):
+def reading(text: str | None, wraps: dict) -> list[Token]:
+    """The tokens of a text that are markup by its host's wrappers, in order."""
     toks = tokens(text) if text else []
-    for shape, i, j in blocks(text, toks) if toks else []:
+    sure, unsure = [t for t in toks if t.sure], [t for t in toks if not t.sure]
+    out: list[Token] = []
+    for shape, i, j in blocks(text, sure) if sure else []:
         if shape[0] in wraps and admits(wraps[shape[0]], shape):
-            yield shape, i, j, toks
+            out += sure[i : j + 1]
+    if unsure:
+        out += [t for t, path in zip(unsure, enclosing(sure, unsure)) if has_mark(wraps, path, t.label)]
+        out.sort(key=lambda t: t.start)
+    return out
 
 
 # ---- clean text ------------------------------------------------------------------------------------
@@ -335,9 +398,10 @@ def _inner(s: str, mark: int) -> str:
     return s[mark:-mark]
 
 
-def clean(text: str, apart: set[str] = frozenset()) -> str:
-    """Clean text of one record; `apart` names neutral elements that the host's wrappers repeat."""
-    toks = tokens(text)
+def clean(text: str, apart: set[str] = frozenset(), toks: list[Token] | None = None) -> str:
+    """Clean text of one record; `apart` names neutral elements that the host's wrappers repeat, `toks` its markup."""
+    if toks is None:
+        toks = [t for t in tokens(text) if t.sure]
     out: list[str] = []
     cur = 0
     pre = 0

@@ -34,6 +34,39 @@ def test_operator_finds_what_the_lexer_finds(spark):
     assert len(clean) == len(CASES) and clean[len(CASES) - 3] is None and clean[len(CASES) - 2] == ""
 
 
+#: Records of two hosts; the last of each is markup only if other records of its host have the like at that place.
+UNSURE = [
+    ("a", "<ul><li>an ''outer'' ring</li><li>plain</li></ul>"), ("a", "<ul><li>the ''inner'' ring</li></ul>"), ("a", "<ul><li>the ''middle'' ring is 'set' by hand</li></ul>"),
+    ("b", "<ul><li>an outer ring</li></ul>"), ("b", "<ul><li>the ''middle'' ring is 'set' by hand</li></ul>"), ("a", "the ''middle'' ring is 'set' by hand"),
+    ("c", "<div>\n|a|b|\n|---|---|\n</div>"), ("c", "<div>\nx\n|---|---|\n</div>"), ("d", "<div>\nx\n|---|---|\n</div>"),
+]
+
+
+def test_wrappers_decide_what_the_lexer_leaves_open(spark):
+    rec = records(spark, UNSURE)
+
+    def found(wraps):
+        got = {i: set() for i in range(len(UNSURE))}
+        for r in M.Markup(rec, wraps).found().collect():
+            got[int(r.record_key)].add(r.markup)
+        return got
+
+    wraps = M.wrappers(rec)
+    got = found(wraps)
+    assert [("wiki" in got[i], "markdown" in got[i]) for i in range(len(UNSURE))] == [(True, False)] * 3 + [(False, False)] * 3 + [(False, True)] * 2 + [(False, False)]
+    # without wrappers the cases are lost, and so is all that they admit
+    assert not any(found(wraps.limit(0)).values())
+    assert "wiki" not in found(wraps.where("host <> 'a'"))[2]
+
+
+def test_wrappers_do_not_depend_on_order(spark):
+    texts = [f"<div><{a}>x</{a}><{b}>y</{b}>{c}</div>" for a in ("p", "b", "i") for b in ("p", "em", "h1") for c in ("", "<br>", "<hr><br>")]
+    rows = [("h", t) for t in texts]
+    one = {(r.host, r.root, r.wrapper) for r in M.wrappers(records(spark, rows).repartition(7)).collect()}
+    other = {(r.host, r.root, r.wrapper) for r in M.wrappers(records(spark, rows[::-1]).coalesce(1)).collect()}
+    assert one == other and len(one) == 1
+
+
 def test_hint_lets_every_text_with_tokens_through(spark):
     # a text of each part of the lexer alone
     alone = [
