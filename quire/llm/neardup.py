@@ -4,8 +4,8 @@ A text is the set of its runs of `width` words; a pair is similar if the Jaccard
 sets reaches num/den.  The join is exact:
 
 * Texts with equal sets form one class (all copies of a text are one member of the join).
-* Runs are put into one global order, rare first.  Frequencies come from a counting sketch of fixed
-  size that all texts feed; any order gives right results, a good one few candidates.
+* Runs are put into one global order, rare first.  Frequencies come from a counting sketch, sized from the
+  input, that every class of a partition feeds once; any order gives right results, a good one few candidates.
 * For sizes a, b a similar pair shares at least alpha = ceil(num (a+b) / (num+den)) runs, so for every
   l <= alpha it shares at least l among the first a-alpha+l and b-alpha+l runs.  Each text lengthens its
   prefix by its own l, the one with the least estimated cost: postings touched (from the sketch) plus
@@ -15,10 +15,11 @@ sets reaches num/den.  The join is exact:
 * Runs that the sketch proves unique are never sent.
 * Candidates are verified on the texts themselves.
 
-Scale: the sketch and its broadcast have a fixed size whatever the input.  Texts are not shuffled to be
-posted.  A run in more than CELL texts (by the sketch) is spread over a grid of cells in which every pair of
-its texts meets exactly once; meetings are counted by pair with partial aggregation.  The rarest-first
-order keeps runs that a third of all texts share out of nearly every prefix.
+Scale: the sketch grows with the input up to SLOTS_MOST counters of 32 bits, which bounds its broadcast; beyond
+that it only prunes less.  Texts are not shuffled to be posted.  A run in more than CELL classes (by the sketch,
+which never counts too few) is spread over as many cells of a grid as it takes, so that no cell holds more than about
+two parts of CELL and every pair of its classes meets exactly once; meetings are counted by pair with partial
+aggregation.  The rarest-first order keeps runs that a third of all texts share out of nearly every prefix.
 
 Defined results: null texts and texts under `min_words` words or without any run take no part; empty
 tables give no pairs; repeated rows of an id count once; if one id has several texts the smallest text
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 from quire.llm.shingle import mix64, overlaps, shingles
 from quire.runtime import bounded_join, cut, spread
 
-#: Slots of the counting sketch (a power of two): 16-bit counters, 8 MB in all.
-SLOTS = 1 << 22
+#: Counters of the sketch (powers of two): at least, and at most (128 MB in all).
+SLOTS_LEAST, SLOTS_MOST = 1 << 20, 1 << 25
 #: Pieces in which sketches travel.
 PIECES = 16
 #: Longest lengthening of a prefix.
@@ -53,8 +54,17 @@ SPELLED = 64
 PART = 1024
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (mix64(h) & np.uint64(SLOTS - 1)).astype(np.int64)
+_FULL = 0xFFFFFFFF
+
+
+def slots_for(df: DataFrame) -> int:
+    """Size of the sketch for an input: about two counters for each byte that its files hold, by Spark's estimate."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(SLOTS_LEAST, min(SLOTS_MOST, 1 << max(0, 2 * size - 1).bit_length()))
+
+
+def _slot(h: np.ndarray, slots: int) -> np.ndarray:
+    return (mix64(h) & np.uint64(slots - 1)).astype(np.int64)
 
 
 def _fingerprints(h: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -67,24 +77,44 @@ def _fingerprints(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return fp
 
 
-def profile(df: DataFrame, key: str, text: str, width: int, min_words: int) -> tuple[DataFrame, np.ndarray]:
+class _Fresh:
+    """Tells which texts of a partition are the first of their class."""
+
+    def __init__(self):
+        self.done: set = set()
+
+    def __call__(self, fp: np.ndarray, n: np.ndarray) -> np.ndarray:
+        fresh = np.zeros(len(n), dtype=bool)
+        for i in np.flatnonzero(n):
+            if fp[i] not in self.done:
+                self.done.add(fp[i])
+                fresh[i] = True
+        if len(self.done) > 1_000_000:
+            self.done.clear()
+        return fresh
+
+
+def profile(df: DataFrame, key: str, text: str, width: int, min_words: int, slots: int | None = None) -> tuple[DataFrame, np.ndarray]:
     """One pass over the texts: `id, fp, n, same` of each row (materialised) and the counting sketch of all runs.
 
     `fp` identifies the set of runs (64 bits of sum and product mixing over the set, joined with n), `same` the text.
     """
-    step = SLOTS // PIECES
+    slots = slots or slots_for(df)
+    step = slots // PIECES
 
     def run(batches):
-        sketch = np.zeros(SLOTS, dtype=np.int64)
+        sketch = np.zeros(slots, dtype=np.uint32)
+        first = _Fresh()
         for pdf in batches:
             doc, h, n = shingles(pdf["_t"].tolist(), width, min_words)
-            np.add.at(sketch, _slot(h), 1)
             ids = pdf["_k"].to_numpy()
             has = n > 0
             fp = _fingerprints(h, n)
+            if len(h):
+                at, times = np.unique(_slot(h[first(fp, n)[doc]], slots), return_counts=True)
+                sketch[at] = np.minimum(sketch[at] + times, _FULL)
             yield pd.DataFrame({"id": ids[has], "fp": fp[has].view(np.int64), "n": n[has].astype(np.int32), "same": pdf["_h"].to_numpy()[has], "piece": np.full(has.sum(), -1, np.int32), "counts": np.full(has.sum(), None, dtype=object)})
-        full = np.minimum(sketch, 65535).astype(np.uint16)
-        rows = [(i, zlib.compress(full[i * step : (i + 1) * step].tobytes(), 1)) for i in range(PIECES) if full[i * step : (i + 1) * step].any()]
+        rows = [(i, zlib.compress(sketch[i * step : (i + 1) * step].tobytes(), 1)) for i in range(PIECES) if sketch[i * step : (i + 1) * step].any()]
         yield pd.DataFrame({"id": np.full(len(rows), None, dtype=object), "fp": np.zeros(len(rows), np.int64), "n": np.zeros(len(rows), np.int32), "same": np.zeros(len(rows), np.int64), "piece": np.array([r[0] for r in rows], np.int32), "counts": pd.Series([r[1] for r in rows], dtype=object)})
 
     kt = df.schema[key].dataType.simpleString()
@@ -95,15 +125,15 @@ def profile(df: DataFrame, key: str, text: str, width: int, min_words: int) -> t
         acc: dict[int, np.ndarray] = {}
         for pdf in batches:
             for p, c in zip(pdf["piece"], pdf["counts"]):
-                v = np.frombuffer(zlib.decompress(c), dtype=np.uint16).astype(np.int64)
+                v = np.frombuffer(zlib.decompress(c), dtype=np.uint32).astype(np.int64)
                 acc[p] = acc[p] + v if p in acc else v
-        yield pd.DataFrame({"piece": np.array(list(acc), np.int32), "counts": pd.Series([np.minimum(v, 65535).astype(np.uint16).tobytes() for v in acc.values()], dtype=object)})
+        yield pd.DataFrame({"piece": np.array(list(acc), np.int32), "counts": pd.Series([np.minimum(v, _FULL).astype(np.uint32).tobytes() for v in acc.values()], dtype=object)})
 
-    # the driver receives PIECES pieces of fixed size, whatever the input
-    sketch = np.zeros(SLOTS, dtype=np.uint16)
+    # the driver receives PIECES pieces, SLOTS_MOST counters in all at most
+    sketch = np.zeros(slots, dtype=np.uint32)
     parts = both.where("piece >= 0").select("piece", "counts").repartition(PIECES, "piece").mapInPandas(add, "piece int, counts binary")
-    for r in parts.collect():
-        sketch[r["piece"] * step : (r["piece"] + 1) * step] = np.frombuffer(r["counts"], dtype=np.uint16)
+    for r in parts.toLocalIterator():
+        sketch[r["piece"] * step : (r["piece"] + 1) * step] = np.frombuffer(r["counts"], dtype=np.uint32)
     return both.where("piece < 0").select("id", "fp", "n", "same"), sketch
 
 
@@ -112,7 +142,7 @@ def _prefixes(doc, h, n, sketch, num, den):
 
     Result: indices of texts, runs (in order), positions, and for each text its l.
     """
-    count = sketch[_slot(h)].astype(np.int64)
+    count = sketch[_slot(h, len(sketch))].astype(np.int64)
     o = np.lexsort((h, count, doc))
     doc, h, count = doc[o], h[o], count[o]
     start = np.cumsum(n) - n
@@ -130,26 +160,32 @@ def _prefixes(doc, h, n, sketch, num, den):
     return doc[keep], h[keep], pos[keep], ell
 
 
-def _cells(run: np.ndarray, tag: np.ndarray, at: np.ndarray, count: np.ndarray):
-    """Keys of postings: a run by itself, or, beyond CELL texts, a grid of cells that each pair meets in once.
+#: Layout of `at`: runs of the text, position, whether in a mixed cell, and on which side of it, and l.
+_N, _POS, _MIXED, _SIDE, _ELL = 36, 9, 1 << 8, 1 << 7, 127
+
 
-    The texts of a hot run fall into `s` parts by their tag; a posting of part i goes to the cells
-    (i, j) of all j, lower part first; bit 8 of `at` marks the upper side of a mixed cell.
+def _cells(run: np.ndarray, tag: np.ndarray, at: np.ndarray, count: np.ndarray, cell: int = CELL):
+    """Keys of postings: a run by itself, or, beyond `cell` classes, a grid of cells that each pair meets in once.
+
+    The classes of a hot run fall into `s` parts by their tag; a posting of part i goes to the cells (i, j) of all
+    j, lower part first.  The key of a cell is hashed from run and parts: should two cells share a key, some
+    pairs meet once too often and become candidates, which are verified like all others.
     """
-    key = run << 16
-    parts = np.minimum(255, -(-count // CELL))
+    parts = -(-count // cell)
     hot = np.flatnonzero(parts > 1)
     if not len(hot):
-        return key, tag, at
+        return run, tag, at
     s = parts[hot]
     i = (mix64(tag[hot].astype(np.uint64)) % s.astype(np.uint64)).astype(np.int64)
     who = np.repeat(np.arange(len(hot)), s)
     j = np.arange(len(who)) - np.repeat(np.cumsum(s) - s, s)
     me = i[who]
-    cell = (np.minimum(me, j) << 8) | np.maximum(me, j)
-    side = (me > j).astype(np.int64) << 8
+    with np.errstate(over="ignore"):
+        grid = np.minimum(me, j).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.maximum(me, j).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        key = (mix64(run[hot][who].view(np.uint64) + mix64(grid + np.uint64(1))) >> np.uint64(1)).astype(np.int64)
+    mark = np.where(me != j, _MIXED, 0) | np.where(me > j, _SIDE, 0)
     cold = parts <= 1
-    return np.r_[key[cold], key[hot][who] | cell], np.r_[tag[cold], tag[hot][who]], np.r_[at[cold], at[hot][who] | side]
+    return np.r_[run[cold], key], np.r_[tag[cold], tag[hot][who]], np.r_[at[cold], at[hot][who] | mark]
 
 
 def _meet(key: np.ndarray, tag: np.ndarray, at: np.ndarray, num: int, den: int):
@@ -161,8 +197,7 @@ def _meet(key: np.ndarray, tag: np.ndarray, at: np.ndarray, num: int, den: int):
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[first, len(key)])
     follow = np.repeat(first + size, size) - np.arange(len(key)) - 1
-    n, pos, ell, side = at >> 36, (at >> 9) & 0x7FFFFFF, at & 255, (at >> 8) & 1
-    mixed = ((key >> 8) & 255) != (key & 255)
+    n, pos, ell, side, mixed = at >> _N, (at >> _POS) & 0x7FFFFFF, at & _ELL, (at & _SIDE) > 0, (at & _MIXED) > 0
     ends = np.cumsum(follow)
     lo = 0
     while lo < len(key):
@@ -180,7 +215,7 @@ def _meet(key: np.ndarray, tag: np.ndarray, at: np.ndarray, num: int, den: int):
         yield np.minimum(tag[x[ok]], tag[y[ok]]), np.maximum(tag[x[ok]], tag[y[ok]]), need[ok]
 
 
-def candidates(rows: DataFrame, key: str, text: str, sketch: np.ndarray, width: int, min_words: int, num: int, den: int) -> DataFrame:
+def candidates(rows: DataFrame, key: str, text: str, sketch: np.ndarray, width: int, min_words: int, num: int, den: int, cell: int = CELL) -> DataFrame:
     """Candidate pairs of tags `a <= b` (a tag is the upper 40 bits of a class's fingerprint).
 
     Every text of a scan partition is posted once for each class; equal postings of copies in other
@@ -189,25 +224,19 @@ def candidates(rows: DataFrame, key: str, text: str, sketch: np.ndarray, width:
     held = rows.sparkSession.sparkContext.broadcast(sketch)
 
     def post(batches):
-        done: set = set()
+        first = _Fresh()
         for pdf in batches:
             doc, h, n = shingles(pdf["_t"].tolist(), width, min_words)
             if not len(h):
                 continue
             fp = _fingerprints(h, n)
-            fresh = np.zeros(len(n), dtype=bool)
-            for i in np.flatnonzero(n):
-                if fp[i] not in done:
-                    done.add(fp[i])
-                    fresh[i] = True
-            if len(done) > 1_000_000:
-                done.clear()
+            fresh = first(fp, n)
             keep = fresh[doc]
             doc, h, n = doc[keep], h[keep], np.where(fresh, n, 0)
             d, run, pos, ell = _prefixes(doc, h, n, held.value, num, den)
-            at = (n[d] << 36) | (pos << 9) | ell[d]
+            at = (n[d] << _N) | (pos << _POS) | ell[d]
             tag = (fp >> np.uint64(24)).astype(np.int64)[d]
-            k, t, a = _cells((run >> np.uint64(25)).astype(np.int64) & 0x7FFFFFFFFF, tag, at, held.value[_slot(run)].astype(np.int64))
+            k, t, a = _cells((run >> np.uint64(1)).astype(np.int64), tag, at, held.value[_slot(run, len(held.value))].astype(np.int64), cell)
             yield pd.DataFrame({"key": k, "tag": t, "at": a})
 
     def meet(batches):
@@ -274,12 +303,12 @@ def one_text(df: DataFrame, key: str, text: str) -> DataFrame:
     return bounded_join(src, several, "id", "left_anti").unionByName(least)
 
 
-def near_duplicates(df: DataFrame, key: str = "chunk_id", text: str = "chunk_text", width: int = 5, num: int = 4, den: int = 5, min_words: int = 0) -> NearDuplicates:
+def near_duplicates(df: DataFrame, key: str = "chunk_id", text: str = "chunk_text", width: int = 5, num: int = 4, den: int = 5, min_words: int = 0, cell: int = CELL, slots: int | None = None) -> NearDuplicates:
     """Join all texts of `df` at Jaccard similarity num/den on runs of `width` words."""
     src = one_text(df, key, text)
-    rows, sketch = profile(src, "id", "text", width, min_words)
+    rows, sketch = profile(src, "id", "text", width, min_words, slots)
     rows = rows.select("id", "fp", "same")
-    cand = cut(candidates(src, "id", "text", sketch, width, min_words, num, den))
+    cand = cut(candidates(src, "id", "text", sketch, width, min_words, num, den, cell))
     sides = cand.select("a", "b", F.posexplode(F.array("a", "b")).alias("side", "tag"))
     tags = sides.select("tag").distinct()
     tagged = rows.withColumn("tag", F.expr("shiftrightunsigned(fp, 24)"))
@@ -332,17 +361,17 @@ def memberships(found: NearDuplicates) -> DataFrame:
     return ids.join(texts.join(classes, "fp"), ["fp", "same"]).select("id", "class_id", "text_id")
 
 
-def groups(found: NearDuplicates, rounds: int = 50) -> DataFrame:
+def groups(found: NearDuplicates) -> DataFrame:
     """`id, group_id, links`: the connected component of each id and its number of similar partners.
 
     `group_id` is the smallest id of the component; `links` counts other ids of the same class and all
     ids of similar classes.  Components come from alternating large-star and small-star rounds on class
-    pairs; every round is checkpointed.  ids without partners form groups of one.
+    pairs until nothing changes; every round is checkpointed.  ids without partners form groups of one.
     """
     edges = found.pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = cut(edges.distinct())
     before = None
-    for _ in range(rounds):
+    while True:
         # large-star: larger neighbours of each node point to the node's smallest neighbour
         sym = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

@@ -28,3 +28,27 @@ WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w
 r AS (SELECT doc_id, list_transform(range(1, len(w) - 4), lambda i: array_to_string(w[i:i+5], ' ')) AS r FROM w WHERE len(w) >= 40)
 SELECT DISTINCT doc_id FROM r WHERE (len(r) - len(list_distinct(r))) * 10 >= len(r) * 3
 """
+
+
+def _similar(width: int, least: int, share: str) -> str:
+    """CTEs: one text `t` of each chunk, its runs `r`, and pairs `e(a, b)` of chunks at least `share` alike."""
+    return rf"""
+k AS (SELECT chunk_id, min(chunk_text) AS t FROM kb_chunks WHERE chunk_id IS NOT NULL AND chunk_text IS NOT NULL GROUP BY 1),
+w AS (SELECT chunk_id, t, regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}]+') AS w FROM k),
+r AS (SELECT chunk_id, t, list_sort(list_distinct(list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i:i + {width - 1}], ' ')))) AS r FROM w WHERE len(w) >= {max(least, width)}),
+x AS MATERIALIZED (SELECT chunk_id, len(r) AS n, unnest(r) AS s FROM r),
+e AS MATERIALIZED (SELECT a.chunk_id AS a, b.chunk_id AS b FROM x a JOIN x b ON a.s = b.s AND a.chunk_id < b.chunk_id GROUP BY a.chunk_id, b.chunk_id, a.n, b.n HAVING count(*) >= {share} * (a.n + b.n - count(*)))
+"""
+
+
+SQL["p2_found"] = f"WITH {_similar(3, 20, '0.6')} SELECT a AS chunk_id_a, b AS chunk_id_b FROM e"
+SQL["p2_members"] = f"WITH {_similar(3, 20, '0.6')} SELECT chunk_id, min(chunk_id) OVER (PARTITION BY r) AS class_id, min(chunk_id) OVER (PARTITION BY t) AS text_id FROM r"
+SQL["p2_groups"] = rf"""WITH RECURSIVE {_similar(5, 0, '0.8')},
+b AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+g AS (SELECT chunk_id AS id, chunk_id AS root FROM r UNION SELECT b.b, g.root FROM g JOIN b ON b.a = g.id),
+n AS (SELECT a, count(*) AS links FROM b GROUP BY 1),
+long AS (SELECT g.id AS chunk_id, min(g.root) AS group_id, coalesce(min(n.links), 0) AS links FROM g LEFT JOIN n ON n.a = g.id GROUP BY 1),
+i AS (SELECT DISTINCT chunk_id FROM kb_chunks WHERE chunk_id IS NOT NULL),
+short AS (SELECT i.chunk_id, CASE WHEN regexp_matches(k.t, '[^\s\p{{Z}}]') THEN k.t END AS t FROM i LEFT JOIN k ON k.chunk_id = i.chunk_id WHERE i.chunk_id NOT IN (SELECT chunk_id FROM r))
+SELECT * FROM long UNION ALL
+SELECT chunk_id, CASE WHEN t IS NULL THEN chunk_id ELSE min(chunk_id) OVER (PARTITION BY t) END, CASE WHEN t IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY t) - 1 END FROM short"""

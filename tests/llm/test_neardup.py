@@ -127,17 +127,38 @@ def test_every_id_has_a_group(spark, tmp_path):
     assert got == [("a1", "a1", 1), ("a2", "a1", 1)] + [(i, i, 0) for i in ("b1", "b2", "e1", "e2", "n1", "n2")] + [("s1", "s1", 1), ("s2", "s1", 1), ("s3", "s3", 0), ("w1", "w1", 0)]
 
 
-def test_cells_let_every_pair_meet_once(monkeypatch):
-    monkeypatch.setattr(N, "CELL", 3)
+def test_cells_let_every_pair_meet_once():
     n = 40
     tag, at = np.arange(n), np.full(n, (10 << 36) | (0 << 9) | 1)
-    key, tag, at = N._cells(np.full(n, 5), tag, at, np.full(n, n))
+    key, tag, at = N._cells(np.full(n, 5), tag, at, np.full(n, n), 3)
     seen = []
     for a, b, _ in N._meet(key, tag, at, 3, 5):
         seen += list(zip(a.tolist(), b.tolist()))
     assert sorted(seen) == list(combinations(range(n), 2))
 
 
+def test_a_run_of_very_many_texts_is_split_evenly():
+    n = 300_000
+    key, tag, at = N._cells(np.full(n, 5), np.arange(n), np.zeros(n, np.int64), np.full(n, n))
+    parts = -(-n // N.CELL)
+    assert len(key) == n * parts and np.bincount(np.unique(key, return_inverse=True)[1]).max() < 2.3 * N.CELL
+    cells = {}
+    for k, t, a in zip(key.tolist(), tag.tolist(), at.tolist()):
+        if t < 60:
+            cells.setdefault(t, {})[k] = a
+    for x, y in combinations(range(60), 2):
+        common = [k for k in cells[x] if k in cells[y] and (not cells[x][k] & N._MIXED or (cells[x][k] ^ cells[y][k]) & N._SIDE)]
+        assert len(common) == 1
+
+
+def test_hot_runs_lose_no_pair(spark):
+    texts = corpus(90, 3)
+    texts = {i: f"all of these texts start alike {t}" for i, t in texts.items()}
+    df = spark.createDataFrame(list(texts.items()), "id int, text string").repartition(4)
+    found = N.near_duplicates(df, "id", "text", 3, 3, 5, 20, cell=4, slots=1 << 10)
+    assert {(r.id_a, r.id_b) for r in N.spelled_pairs(found, None).collect()} == brute(texts, 3, 3, 5, 20)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "id string, text string")
     found = N.near_duplicates(df, "id", "text")
