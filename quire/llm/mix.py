@@ -4,11 +4,14 @@
    smallest (source, id), so that no text can exceed its cap under a second id.
 2. The tokens of each source are laid end to end and cut into blocks of `block` tokens; the last block
    of a source may be shorter.  Offsets are prefix sums in two levels (bucket totals, then within a
-   bucket), so a source that holds a third of the corpus is still spread over `buckets` tasks.
-3. The mixture has N slots, the most for which no source needs more than its blocks times its
-   `max_repeats`.  Each source's quota is its share of N, rounded by largest remainders.  Slots are split
-   evenly over output shards; each shard draws its per-source counts from a multinomial with its own
-   seeded generator, in parallel.  Draws scatter about the quotas: a source's slots beyond its quota are
+   bucket); a source has as many buckets as its tokens need, so a bucket is a bounded piece of work.
+   Unless given, the block is the largest power of two up to LONGEST of which the smallest quota holds GRAIN.
+3. The mixture has N slots.  Without `total_tokens` that is the most for which no source needs more than its
+   blocks times its `max_repeats`, so every source reaches its share and the scarcest sets the size.  With
+   `total_tokens` it is that size; a source whose share of it exceeds its cap gives all it may, the others
+   their shares of the size, and the shares reached are reported.  Quotas are rounded by largest remainders.
+   Slots are split evenly over output shards; each shard draws its per-source counts from a multinomial with
+   its own seeded generator, in parallel.  Draws scatter about the quotas: a source's slots beyond its quota are
    numbered and handed, in that order, to the sources whose draws fell short, so that the whole meets
    every quota exactly and no cap is ever passed, while shards stay random.
 4. The k-th slot of a source is epoch k div blocks, place k mod blocks; the place is sent through the
@@ -34,6 +37,10 @@ from pyspark.sql.types import LongType
 from quire.llm.encode import count_column
 from quire.runtime import cut
 
+#: Longest block, blocks that the smallest quota holds at least, and tokens of a bucket.
+LONGEST, GRAIN, BUCKET = 2048, 16, 1 << 24
+
+
 def _usable(docs: DataFrame, targets: DataFrame, path: str | None) -> DataFrame:
     """`source, doc_id, tokens` of each distinct text of a listed source."""
     listed = targets.select("source").where("source is not null").distinct()
@@ -43,14 +50,16 @@ def _usable(docs: DataFrame, targets: DataFrame, path: str | None) -> DataFrame:
     return d.groupBy("_h1", "_h2").agg(F.min(F.struct("source", "doc_id", "tokens")).alias("m")).select("m.*").where("tokens > 0")
 
 
-def pack(sized: DataFrame, block: int, buckets: int = 64) -> DataFrame:
+def pack(sized: DataFrame, block: int, tokens: dict[str, int], bucket: int = BUCKET) -> DataFrame:
     """Segments `source, block_no, doc_id, start, length`: which tokens of which text lie in which block.
 
-    `start` is the first token within its text.  A text longer than a block spans several.
+    `start` is the first token within its text.  A text longer than a block spans several.  `tokens` are the
+    totals of the sources.
     """
-    b = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    # one row for each listed source
+    parts = sized.sparkSession.createDataFrame([(s, -(-n // bucket)) for s, n in tokens.items()], "source string, parts bigint")
+    b = sized.join(F.broadcast(parts), "source").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.col("parts"))).drop("parts")
     totals = b.groupBy("source", "bucket").agg(F.sum("tokens").alias("n"))
-    # at most `buckets` rows a source
     base = totals.selectExpr("source", "bucket", "sum(n) over (partition by source order by bucket) - n as base")
     inner = b.selectExpr("source", "bucket", "doc_id", "tokens", "sum(tokens) over (partition by source, bucket order by doc_id) - tokens as within")
     at = inner.join(base, ["source", "bucket"]).select("source", "doc_id", "tokens", (F.col("base") + F.col("within")).alias("lo"))
@@ -62,8 +71,8 @@ def pack(sized: DataFrame, block: int, buckets: int = 64) -> DataFrame:
     return seg.select("source", "block_no", "doc_id", (lo - F.col("lo")).alias("start"), (hi - lo).alias("length"))
 
 
-def plan(targets: list[dict], blocks: dict[str, int]) -> tuple[int, list[dict]]:
-    """Number of slots and one entry for each usable source: its share scaled to 1, blocks and quota of slots."""
+def entries_of(targets: list[dict], tokens: dict[str, int]) -> list[dict]:
+    """One entry for each usable source: its share scaled to 1, its tokens and how often they may be used."""
     seen, use = set(), []
     key = lambda t: (t["source"] or "", t["target_share"] is None, t["target_share"] or 0.0, t["max_repeats"] or 0)
     for t in sorted(targets, key=key):
@@ -71,24 +80,43 @@ def plan(targets: list[dict], blocks: dict[str, int]) -> tuple[int, list[dict]]:
         if s is None or s in seen:
             continue
         seen.add(s)
-        if s in blocks and (t["target_share"] or 0) > 0 and (t["max_repeats"] or 0) > 0:
-            use.append({"source": s, "share": float(t["target_share"]), "blocks": blocks[s], "cap": blocks[s] * int(t["max_repeats"])})
+        if tokens.get(s) and (t["target_share"] or 0) > 0 and (t["max_repeats"] or 0) > 0:
+            use.append({"source": s, "share": float(t["target_share"]), "tokens": tokens[s], "repeats": int(t["max_repeats"])})
     whole = sum(u["share"] for u in use)
     for u in use:
         u["share"] /= whole
-    total = min((int(u["cap"] / u["share"]) for u in use), default=0)
+    return use
+
+
+def block_for(use: list[dict], total_tokens: int | None) -> int:
+    """Length of a block: a power of two up to LONGEST that cuts the smallest quota into GRAIN blocks, 16 at least."""
+    if not use:
+        return LONGEST
+    size = total_tokens or min(int(u["tokens"] * u["repeats"] / u["share"]) for u in use)
+    least = min(min(u["tokens"] * u["repeats"], size * u["share"]) for u in use)
+    return max(16, min(LONGEST, 1 << (max(1, int(least / GRAIN)).bit_length() - 1)))
+
+
+def plan(use: list[dict], blocks: dict[str, int], slots: int | None = None) -> int:
+    """Number of slots; gives every entry its `blocks`, `cap` and `quota`.  `slots` is the size wanted, if any."""
+    for u in use:
+        u["blocks"] = blocks[u["source"]]
+        u["cap"] = u["blocks"] * u["repeats"]
+    total = slots or min((int(u["cap"] / u["share"]) for u in use), default=0)
     for u in use:
         u["quota"] = min(u["cap"], int(total * u["share"]))
     # what rounding down left goes to the largest remainders that have room
-    for u in sorted(use, key=lambda u: u["quota"] - total * u["share"]):
-        if sum(x["quota"] for x in use) < total and u["quota"] < u["cap"]:
+    left = total - sum(int(total * u["share"]) for u in use)
+    for u in sorted(use, key=lambda u: (u["quota"] - total * u["share"], u["source"])):
+        if left > 0 and u["quota"] < u["cap"]:
             u["quota"] += 1
-    return sum(u["quota"] for u in use), use
+            left -= 1
+    return sum(u["quota"] for u in use)
 
 
 def _draws(spark: SparkSession, use: list[dict], slots: int, shards: int, seed: int) -> DataFrame:
     """`shard, source, slots` drawn from a multinomial in each shard; made in parallel, one row of work a shard."""
-    names, shares = [u["source"] for u in use], [u["share"] for u in use]
+    names, shares = [u["source"] for u in use], [u["quota"] / slots for u in use]
 
     def draw(batches):
         import numpy as np
@@ -175,16 +203,20 @@ class Mixture:
         )
 
 
-def mix(docs: DataFrame, targets: DataFrame, block: int = 16, slots_per_shard: int = 4096, seed: int = 7, path: str | None = None) -> Mixture:
+def mix(docs: DataFrame, targets: DataFrame, block: int | None = None, slots_per_shard: int = 4096, seed: int = 7, path: str | None = None, total_tokens: int | str | None = None, bucket: int = BUCKET) -> Mixture:
     """Plan the mixture of `docs` (doc_id, source, text) for `targets` (source, target_share, max_repeats).
 
-    Only the target rows and two counts for each listed source reach the driver; both are as long as
-    the list of targets.
+    `total_tokens` is the size wanted, or "all" for that of all usable texts.  Only the target rows and two
+    counts for each listed source reach the driver; both are as long as the list of targets.
     """
     spark = docs.sparkSession
-    segments = cut(pack(_usable(docs, targets, path), block))
-    blocks = {r["source"]: r["n"] for r in segments.groupBy("source").agg((F.max("block_no") + 1).alias("n")).collect()}
-    total, entries = plan([r.asDict() for r in targets.select("source", "target_share", "max_repeats").collect()], blocks)
+    sized = cut(_usable(docs, targets, path))
+    tokens = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
+    entries = entries_of([r.asDict() for r in targets.select("source", "target_share", "max_repeats").collect()], tokens)
+    wanted = sum(tokens.values()) if total_tokens == "all" else total_tokens
+    block = block or block_for(entries, wanted)
+    segments = cut(pack(sized, block, tokens, bucket))
+    total = plan(entries, {s: -(-n // block) for s, n in tokens.items()}, wanted and max(1, wanted // block))
     shards = max(1, math.ceil(total / slots_per_shard))
     if total:
         drawn = cut(_draws(spark, entries, total, shards, seed))

@@ -139,6 +139,12 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).shares()
 
 
+def p7_sized(spark: SparkSession, d: str) -> DataFrame:
+    """A mixture as large as all texts together: shares wanted and reached where small sources end at their caps."""
+    docs = spread(table(spark, d, "documents").select("doc_id", "source", "text"))
+    return mx.mix(docs, table(spark, d, "mix_targets"), total_tokens="all").shares()
+
+
 def _repetition(spark: SparkSession, d: str) -> DataFrame:
     return rp.repetition(spread(table(spark, d, "documents").select("doc_id", "lang", "source", "text")))
 
@@ -166,7 +172,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p2_found, p2_members, p2_groups, p3_found, p3_lines, p3_clean, p4_found, p4_clean, p5_found, p5_clean, p5_wrappers, p6_ids, p6_round_trip, p7_mix, p7_shares, p8_found, p8_shares, p8_cutoffs, p8_heavy]
+    names = [p2_found, p2_members, p2_groups, p3_found, p3_lines, p3_clean, p4_found, p4_clean, p5_found, p5_clean, p5_wrappers, p6_ids, p6_round_trip, p7_mix, p7_shares, p7_sized, p8_found, p8_shares, p8_cutoffs, p8_heavy]
 
     def ready(f: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,6 +43,26 @@ def test_shares_caps_and_repeats(spark):
     assert len(slots) == sum(r.slots for r in s.values()) and len({p.shard for p in pieces}) > 1
 
 
+def test_given_size_reports_what_small_sources_miss(spark):
+    rows, df = docs(spark)
+    targets = spark.createDataFrame([("big", 0.4, 1), ("mid", 0.3, 2), ("small", 0.3, 2)], "source string, target_share double, max_repeats int")
+    m = M.mix(df, targets, block=8, slots_per_shard=50, total_tokens=6000, bucket=200)
+    s = {r.source: r for r in m.shares().collect()}
+    whole = sum(r.tokens for r in s.values())
+    assert s["small"].slots == 2 * -(-s["small"].tokens_available // 8) and s["small"].most_uses == 2 and s["small"].actual_share < 0.2
+    assert abs(s["big"].tokens - 0.4 * 6000) < 60 and abs(s["mid"].tokens - 0.3 * 6000) < 60 and s["mid"].most_uses <= 2
+    assert abs(sum(r.actual_share for r in s.values()) - 1) < 1e-9 and whole < 6000
+    # blocks tile each source whatever the buckets
+    for source in s:
+        got = m.segments.where(f"source = '{source}'").groupBy("block_no").agg({"length": "sum"}).collect()
+        assert sorted(r[0] for r in got) == list(range(len(got))) and all(r[1] == 8 for r in got if r[0] < len(got) - 1)
+
+
+def test_block_follows_the_smallest_quota():
+    use = M.entries_of([{"source": "a", "target_share": 0.9, "max_repeats": 1}, {"source": "b", "target_share": 0.1, "max_repeats": 2}], {"a": 10**9, "b": 10**6})
+    assert M.block_for(use, None) == M.LONGEST and M.block_for(use, 100_000) == 512 and M.block_for(use, 100) == 16 and M.block_for([], None) == M.LONGEST
+
+
 def test_mix_without_anything(spark):
     rows, df = docs(spark)
     targets = spark.createDataFrame([("absent", 1.0, 1), (None, 0.5, 1), ("big", 0.0, 1), ("mid", None, None)], "source string, target_share double, max_repeats int")
