@@ -52,3 +52,28 @@ i AS (SELECT DISTINCT chunk_id FROM kb_chunks WHERE chunk_id IS NOT NULL),
 short AS (SELECT i.chunk_id, CASE WHEN regexp_matches(k.t, '[^\s\p{{Z}}]') THEN k.t END AS t FROM i LEFT JOIN k ON k.chunk_id = i.chunk_id WHERE i.chunk_id NOT IN (SELECT chunk_id FROM r))
 SELECT * FROM long UNION ALL
 SELECT chunk_id, CASE WHEN t IS NULL THEN chunk_id ELSE min(chunk_id) OVER (PARTITION BY t) END, CASE WHEN t IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY t) - 1 END FROM short"""
+
+_PIECE = r"list_filter(list_transform({0}, lambda x: trim(regexp_replace(lower(x), '[\s\x{{0b}}]+', ' ', 'g'))), lambda x: x <> '')"
+_REPEATED = rf"""
+w AS (SELECT doc_id, lang, source, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w, {_PIECE.format("string_split(coalesce(text, ''), chr(10))")} AS l,
+  {_PIECE.format("string_split(regexp_replace(coalesce(text, ''), '([.!?。！？])[" + chr(92) + "s" + chr(92) + "x{0b}]*', '" + chr(92) + "1' || chr(1), 'g'), chr(1))")} AS s FROM documents),
+r AS (SELECT *, CASE WHEN len(w) >= 6 THEN list_transform(range(1, len(w) - 4), lambda i: array_to_string(w[i:i+5], ' ')) ELSE [] END AS r FROM w),
+sh AS (SELECT doc_id, lang, source, len(w) AS words, len(r) AS runs, len(r) - len(list_distinct(r)) AS repeated_runs, CASE WHEN len(r) > 0 THEN (len(r) - len(list_distinct(r))) / len(r) ELSE 0.0 END AS run_share,
+  CASE WHEN len(l) > 0 THEN (len(l) - len(list_distinct(l))) / len(l) ELSE 0.0 END AS line_share, CASE WHEN len(s) > 0 THEN (len(s) - len(list_distinct(s))) / len(s) ELSE 0.0 END AS sentence_share FROM r)
+"""
+SQL["p8_shares"] = f"WITH {_REPEATED} SELECT doc_id, lang, source, words, runs, repeated_runs, CAST(run_share AS DOUBLE) AS run_share, CAST(line_share AS DOUBLE) AS line_share, CAST(sentence_share AS DOUBLE) AS sentence_share FROM sh"
+
+
+def _cutoffs(least: str, most: str) -> str:
+    """CTE `cut`: the 0.95 quantile of each language and source, drawn towards language and corpus by 20 documents."""
+    q = "list_sort(list(run_share))[CAST(ceil(0.95 * count(*)) AS BIGINT)]"
+    return f"""
+a AS (SELECT {q} AS q FROM sh),
+b AS (SELECT lang, count(*) AS n, {q} AS q FROM sh GROUP BY lang),
+c AS (SELECT lang, source, count(*) AS n, {q} AS q FROM sh GROUP BY lang, source),
+cut AS (SELECT c.lang, c.source, c.n, least(greatest((c.n * c.q + 20 * ((b.n * b.q + 20 * a.q) / (b.n + 20))) / (c.n + 20), {least}), {most}) AS cutoff FROM c JOIN b ON b.lang IS NOT DISTINCT FROM c.lang, a)
+"""
+
+
+SQL["p8_cutoffs"] = f"WITH {_REPEATED}, {_cutoffs('0.0', '1.0')} SELECT lang, source, n, cutoff FROM cut"
+SQL["p8_heavy"] = f"WITH {_REPEATED}, {_cutoffs('0.1', '1.0')} SELECT doc_id, sh.lang, sh.source, CAST(run_share AS DOUBLE) AS run_share, cutoff FROM sh JOIN cut ON cut.lang IS NOT DISTINCT FROM sh.lang AND cut.source IS NOT DISTINCT FROM sh.source WHERE words >= 40 AND run_share >= cutoff"

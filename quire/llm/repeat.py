@@ -5,10 +5,11 @@ that equal a run starting earlier in the same text: (runs - distinct runs) / run
 runs of letters and numbers of the lower-cased text.  Line and sentence shares are measured likewise.
 
 Cutoffs are not fixed: a mergeable quantile sketch (KLL) of the shares is kept for each language and
-source; sketches merge upwards to language and to the whole corpus, so a group too small to speak for
-itself takes its parent's quantile.  Documents are joined with their group's cutoff and filtered.
-All of it is partial aggregation of fixed-size sketches: a hot language or source costs no more than
-any other.
+source; sketches merge upwards to language and to the whole corpus.  A group's cutoff is its own quantile
+and its parent's, weighted by its documents and by PRIOR documents; the same holds for languages in the corpus.  So
+every group's own sketch counts, more the larger it is.  Documents are joined with their group's cutoff and filtered.
+All of it is partial aggregation of fixed-size sketches, exact up to K documents: a hot language or source costs no
+more than any other.
 
 Results: a null, empty or wordless text has 0 words, 0 runs and share 0.0, a text of fewer than `n`
 words has 0 runs; null language and source form groups of their own; repeated rows stay; long texts are
@@ -20,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A language-and-source group speaks for itself from this many documents on.
-GROUP_MIN = 200
+#: Documents that the parent's quantile counts for, and items that a sketch keeps exactly.
+PRIOR, K = 20, 1024
 
 
 def words(text: Column) -> Column:
@@ -70,17 +71,18 @@ def _once(value: Column, body) -> Column:
 def cutoffs(shares: DataFrame, value: str, quantile: float, at_least: float, at_most: float, lang: str = "lang", source: str = "source") -> DataFrame:
     """`lang, source, n, cutoff` of every group: its quantile from mergeable sketches.
 
-    Groups under GROUP_MIN documents take the merged sketch of their language, and languages under it
-    that of the corpus.  The result is held between `at_least` and `at_most`.  One row for each group;
-    sketches have a fixed size, and only sketches travel.
+    The quantile of a group is drawn towards that of its language, and that towards the corpus', by the weight
+    of PRIOR documents.  The result is held between `at_least` and `at_most`.  One row for each group; sketches
+    have a fixed size, and only sketches travel.
     """
-    leaf = shares.groupBy(lang, source).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(value)).alias("sk"))
-    by_lang = leaf.groupBy(F.col(lang).alias("_lang")).agg(F.sum("n").alias("n_lang"), F.kll_merge_agg_double("sk").alias("sk_lang"))
-    whole = by_lang.agg(F.kll_merge_agg_double("sk_lang").alias("sk_all"))
+    leaf = shares.groupBy(lang, source).agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(value), F.lit(K)).alias("sk"))
+    by_lang = leaf.groupBy(F.col(lang).alias("_lang")).agg(F.sum("n").alias("n_lang"), F.kll_merge_agg_double("sk", F.lit(K)).alias("sk_lang"))
+    whole = by_lang.agg(F.kll_merge_agg_double("sk_lang", F.lit(K)).alias("sk_all"))
     q = lambda sk: F.kll_sketch_get_quantile_double(sk, F.lit(quantile))
+    drawn = lambda n, own, parent: (n * own + PRIOR * parent) / (n + PRIOR)
     # one row per group on either side, and exactly one row in `whole`
     joined = leaf.join(by_lang, F.col(lang).eqNullSafe(F.col("_lang"))).join(F.broadcast(whole))
-    own = F.when(F.col("n") >= GROUP_MIN, q(F.col("sk"))).when(F.col("n_lang") >= GROUP_MIN, q(F.col("sk_lang"))).otherwise(q(F.col("sk_all")))
+    own = drawn(F.col("n"), q(F.col("sk")), drawn(F.col("n_lang"), q(F.col("sk_lang")), q(F.col("sk_all"))))
     return joined.select(lang, source, "n", F.least(F.greatest(own, F.lit(at_least)), F.lit(at_most)).alias("cutoff"))
 
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import mix as M
 from quire.llm import repeat as R
@@ -88,6 +89,10 @@ def test_cutoffs_and_heavy(spark):
     s = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string, run_share double").selectExpr("*", "100L as words")
     c = {(r.lang, r.source): r.cutoff for r in R.cutoffs(s, "run_share", 0.95, 0.0, 1.0).collect()}
     assert abs(c["en", "a"] - 0.95) < 0.02 and (None, None) in c
+    # a small group is drawn towards the corpus, and its own documents count
+    assert 0.9 < c[None, None] < 0.97
+    low = s.unionByName(s.limit(0)).withColumn("run_share", F.when(F.col("lang").isNull(), 0.2).otherwise(F.col("run_share")))
+    assert R.cutoffs(low, "run_share", 0.95, 0.0, 1.0).where("lang is null").first().cutoff < c[None, None] - 0.05
     got = {r.doc_id for r in R.heavy(s, R.cutoffs(s, "run_share", 0.95, 0.1, 0.3)).collect()}
     assert got == {r[0] for r in rows if r[4] >= 0.3}
     assert R.heavy(s.limit(0), R.cutoffs(s.limit(0), "run_share", 0.95, 0.1, 0.3)).count() == 0
