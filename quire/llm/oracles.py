@@ -30,6 +30,26 @@ SELECT DISTINCT doc_id FROM r WHERE (len(r) - len(list_distinct(r))) * 10 >= len
 """
 
 
+def _report(table: str, rule: str) -> str:
+    """Lines of `table` with documents, clusters (documents of equal chunk texts) and dates, under `rule`."""
+    return rf"""
+k AS (SELECT chunk_id, doc_id, source, chunk_text, min(CAST(created_at AS DATE)) AS day FROM {table} WHERE source IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1, 2, 3, 4),
+d AS (SELECT source, doc_id, list_sort(list(coalesce(chunk_text, chr(1)))) AS texts, min(day) AS day FROM k GROUP BY 1, 2),
+c AS (SELECT source, texts, min(doc_id) AS doc_id, count(*) AS size, min(day) AS day FROM d GROUP BY 1, 2),
+t AS (SELECT source, count(*) AS source_docs FROM d GROUP BY 1),
+e AS (SELECT source, doc_id, unnest(string_split(chunk_text, chr(10))) AS line FROM k WHERE chunk_text IS NOT NULL),
+s AS (SELECT DISTINCT source, doc_id, lower({_LINE}) AS line FROM e WHERE length(regexp_replace(line, '[^\p{{L}}]', '', 'g')) >= 20),
+n AS (SELECT s.source, s.line, CAST(sum(c.size) AS BIGINT) AS docs, count(*) AS clusters, count(DISTINCT c.day) AS dates FROM s JOIN c ON c.source = s.source AND c.doc_id = s.doc_id GROUP BY 1, 2)
+SELECT n.source, n.line, docs, clusters, dates, source_docs FROM n JOIN t ON t.source = n.source WHERE docs >= 4 AND docs * 10 >= source_docs AND {rule}
+"""
+
+
+SQL["p3_lines"] = f"WITH {_report('kb_chunks', 'true')}"
+SQL["p3_republished"] = f"""WITH z AS (SELECT chunk_id, doc_id, source, chunk_text, created_at FROM kb_chunks
+  UNION ALL SELECT chunk_id || '#' || k, doc_id || '#' || k, source, chunk_text, created_at + to_days(CAST(k AS INTEGER)) FROM kb_chunks, (SELECT unnest([1, 2, 3]) AS k)),
+{_report('z', 'clusters >= 4 AND dates >= 2')}"""
+
+
 def _similar(width: int, least: int, share: str) -> str:
     """CTEs: one text `t` of each chunk, its runs `r`, and pairs `e(a, b)` of chunks at least `share` alike."""
     return rf"""

@@ -59,6 +59,13 @@ class SiteLines:
         hit = bounded_join(src, self.found.select("source", "h"), ["source", "h"])
         return hit.where(_letters(F.col("line")) >= self.min_letters).select("chunk_id", (F.col("i") + 1).alias("line_no")).distinct()
 
+    def report(self) -> DataFrame:
+        """`source, line` (levelled), with its documents, clusters and dates, of each boilerplate line."""
+        src = self.chunks.select("source", F.explode(F.split(same_text(F.col("chunk_text")), "\n")).alias("line")).where(F.length("line") >= self.min_letters)
+        src = src.select("source", F.trim("line").alias("line"), line_hash(F.col("line")).alias("h"))
+        text = bounded_join(src, self.found.select("source", "h"), ["source", "h"]).groupBy("source", "h").agg(F.min("line").alias("line"))
+        return self.found.join(text, ["source", "h"]).where(_letters(F.col("line")) >= self.min_letters).select("source", "line", "docs", "clusters", "dates", "source_docs")
+
     def cleaned(self) -> DataFrame:
         """The chunks with `clean_text` and `removed` (lines taken out); one row for each input row."""
         per = self.found.groupBy("source").agg(F.collect_set("h").alias("_hs"))
@@ -84,8 +91,8 @@ def site_lines(
     """
     chunks = chunks.select("chunk_id", "doc_id", "source", "chunk_text", F.to_date("created_at").alias("_day"))
     known = chunks.where("source is not null and doc_id is not null")
-    # a chunk counts once however often it was ingested
-    once = known.groupBy("source", "doc_id", "chunk_id").agg(F.max(F.xxhash64("chunk_text")).alias("h"), F.min("_day").alias("day"))
+    # a text of a chunk counts once however often it was ingested
+    once = known.groupBy("source", "doc_id", "chunk_id", F.xxhash64("chunk_text").alias("h")).agg(F.min("_day").alias("day"))
     docs = once.groupBy("source", "doc_id").agg(F.sum(F.xxhash64("h") % 1_000_003_000_001).alias("f1"), F.sum(F.xxhash64("h", F.lit(1)) % 1_000_003_000_001).alias("f2"), F.min("day").alias("day"))
     clusters = docs.groupBy("source", "f1", "f2").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("size"), F.min("day").alias("day"))
     clusters = cut(clusters.select("source", "doc_id", "size", "day"))

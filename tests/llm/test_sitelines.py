@@ -1,8 +1,11 @@
 import re
 
+from pyspark.sql import functions as F
+
 from quire.llm import sitelines as S
 
 LEGAL = "This copy is uncontrolled when printed; register 2020"
+S_LEGAL = "this copy is uncontrolled when printed; register 0"
 
 
 def chunks(spark, rows):
@@ -37,6 +40,19 @@ def test_places_and_cleaning(spark):
     assert {r.source for r in strict.found.collect()} == {"a"}
 
 
+def test_clusters_and_dates_tell_republished_from_boilerplate(spark):
+    article = "the very same article in every one of these"
+    rows = [(f"r{i}", f"g{i}", "c", article) for i in range(10)] + [(f"l{i}", f"h{i}", "c", f"own line {'xyzw'[i] * 3}\n{LEGAL}") for i in range(4)]
+    # two texts under one chunk id: documents that differ in the other text only are no copies
+    rows += [("m1", "g0", "d", "first text of the chunk"), ("m1", "g0", "d", "second text"), ("m2", "g1", "d", "first text of the chunk"), ("m2", "g1", "d", "other text")]
+    dated = chunks(spark, rows).withColumn("created_at", F.expr("timestamp'2020-01-01' + make_interval(0, 0, 0, cast(substr(doc_id, 2) as int))"))
+    lines = {r.line: (r.docs, r.clusters, r.dates) for r in S.site_lines(dated).report().collect()}
+    assert lines[article] == (10, 1, 1) and lines[S_LEGAL] == (4, 4, 4)
+    assert {r.line for r in S.site_lines(dated, min_clusters=4).report().collect()} == {S_LEGAL} == {r.line for r in S.site_lines(dated, min_dates=2).report().collect()}
+    both = S.site_lines(dated, min_docs=2).lines.where("source = 'd'").collect()
+    assert {r.clusters for r in both} == {2}
+
+
 def test_source_without_dates(spark):
     rows = [(f"c{i}", f"d{i}", "a", f"own line of {i}\n{LEGAL}") for i in range(6)]
     undated = chunks(spark, rows).selectExpr("chunk_id", "doc_id", "source", "chunk_text", "cast(null as timestamp) as created_at")
