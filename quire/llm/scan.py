@@ -10,8 +10,8 @@ distinct hyphen at a line end.  What it decided is one table of verdicts, with w
 * page numbers: lines with nothing but a number in any style (digits, roman, `3-4`, `A-13`, `Page 2 of 9`),
   unless they stand in a column of three or more such lines;
 * running lines: lines that are little more than their document's title (read through misreadings); and lines
-  that stand in several records of one document and of no other, where a perceptron over the place of the line on
-  its page and its typography takes them for furniture.  It is trained on title lines as furniture and on the
+  that stand in several records of one document and of no other, where a perceptron over the places of the line on
+  its pages and its typography takes them for furniture.  It is trained on title lines as furniture and on the
   other lines of like shape as text, without seeing the titles;
 * broken words: a hyphen or like sign at a line end whose lines the editor joins, furniture between skipped;
 * misread words: words that the editor changes (several misreadings in a word, too), and words spaced out.
@@ -31,6 +31,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 import xxhash
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.editor import Perceptron, edit_features, join_features, train_chars, train_moves, wanted_counts
-from quire.runtime import BROADCAST_BYTES, cut, small_enough, spread
+from quire.runtime import BROADCAST_BYTES, bounded_join, cut, small_enough, spread
 
 #: Words and compounds the editor is trained on, and lines of either kind the line reader is, at most.
 TRAIN_WORDS, TRAIN_COMPOUNDS, TRAIN_LINES = 2000, 400, 3000
@@ -49,9 +50,9 @@ FILTER_BITS, FILTER_MOST = 32, 1 << 29
 #: Furniture is a short line; a longer one is text.
 SHORT = 120
 
+_MARKED = frozenset("-‐¬­")
 MARKS = "-‐¬­"
 WORD = re.compile(r"[^\W_]+(?:\|[^\W_]+)*|\|[^\W\d_]+(?:\|[^\W_]+)*")
-_COMPOUND = re.compile(r"(?<![^\W_])[^\W\d_]+(?:-[^\W\d_]+)+")
 _BREAK = re.compile(rf"([^\W\d_|]*[^\W_|](?:\|[^\W_]+)*|[^\W_]+)([{MARKS}])[ \t]*$")
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ \n][^\W_]){3,}(?![^\W_])")
 _ROMAN = r"(?=[ivxl])(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
@@ -67,6 +68,14 @@ _GAP = re.compile(r"[ \n]")
 _NOLETTER = re.compile(r"[^\w|]+|_+")
 
 
+_EDGES = " \t-–—−_*•·.,:;()[]{}<>~/"
+
+
+def _is_number(s: str) -> bool:
+    """Whether a stripped line holds only a page number; without its ornaments none is longer than 30 characters."""
+    return len(s.strip(_EDGES)) <= 30 and PAGE_NUMBER.match(s) is not None
+
+
 def _hash(s: str) -> int:
     return xxhash.xxh64_intdigest(s.encode("utf-8", "replace")) - (1 << 63)
 
@@ -95,8 +104,28 @@ def _headed(line: str) -> bool:
 _LONE_NUMBER = re.compile(r"(?<![^\W_])\d+(?![^\W_])")
 
 
-def _line_key(line: str) -> int:
-    return _hash(skeleton(_LONE_NUMBER.sub("", line)))
+def _line_key(line: str, bare: str | None = None) -> int:
+    """Hash of a line's skeleton without its lone numbers; `bare` is its skeleton, if known."""
+    rest = _LONE_NUMBER.sub("", line)
+    return _hash(bare if bare is not None and rest == line else skeleton(rest))
+
+
+_HEAD = re.compile(r"[^\W\d_]+")
+
+
+def _compounds(low: str) -> list[str]:
+    """`a-b` of every hyphen between two words of letters."""
+    out = []
+    parts = low.split("-")
+    for a, b in zip(parts, parts[1:]):
+        if a and b and a[-1].isalpha() and b[0].isalpha():
+            # the word before the hyphen, found backwards
+            i = len(a)
+            while i and a[i - 1].isalpha():
+                i -= 1
+            if not (i and a[i - 1].isalnum()):
+                out.append(a[i:] + "-" + _HEAD.match(b).group())
+    return out
 
 
 def _titled(bare: str, title: str) -> bool:
@@ -107,37 +136,46 @@ def _titled(bare: str, title: str) -> bool:
 # ---- lines of a page ---------------------------------------------------------------------------------
 
 
-def _typography(s: str) -> list[str]:
-    letters = [w for w in s.split() if w.upper() != w.lower()]
-    large = sum(w != w.lower() for w in letters)
-    return [f"Tc{large * 4 // max(1, len(letters))}", "Tu" + str(s.upper() == s), "Ts" + str(any(c in "|•–—·" for c in s) or "   " in s), "Tn" + str(s[0].isdigit())]
+_AT, _BEFORE, _AFTER = ("first", "last", "second", "secondlast", "inside"), ("none", "blank", "closed", "open"), ("none", "blank", "lower", "large", "other")
 
 
-def line_features(lines: list[str], i: int, lo: int, hi: int, page: tuple) -> list[str]:
-    """What the line reader sees of line `i`: typography, its place among the lines `lo` to `hi` that are not
-    blank, what stands before and after it, and where its block stands on the page."""
+def line_code(lines: list[str], i: int, lo: int, hi: int, page: tuple) -> int:
+    """What the line reader sees of line `i`, in one number: typography, its place among the lines `lo` to `hi` that
+    are not blank, what stands before and after it, and where its block stands on the page."""
     s = lines[i].strip()
-    at = "first" if i == lo else "last" if i == hi else "second" if i == lo + 1 else "secondlast" if i == hi - 1 else "inside"
+    letters = [w for w in s.split() if w.upper() != w.lower()]
+    large = sum(w != w.lower() for w in letters) * 4 // max(1, len(letters))
+    signs = (s.upper() == s) | (any(c in "|•–—·" for c in s) or "   " in s) << 1 | s[0].isdigit() << 2
+    at = 0 if i == lo else 1 if i == hi else 2 if i == lo + 1 else 3 if i == hi - 1 else 4
     p = lines[i - 1].strip() if i else None
     n = lines[i + 1].strip() if i + 1 < len(lines) else None
-    before = "none" if p is None else "blank" if not p else "closed" if p[-1] in ".!?:;。" else "open"
-    after = "none" if n is None else "blank" if not n else "lower" if n[0].islower() else "large" if n[0].isupper() else "other"
+    before = 0 if p is None else 1 if not p else 2 if p[-1] in ".!?:;。" else 3
+    after = 0 if n is None else 1 if not n else 2 if n[0].islower() else 3 if n[0].isupper() else 4
     number, top, bottom, edge = page
-    place = ["Pa" + at, "Pb" + before, "Pn" + after, f"Pbn{before}/{after}", f"Pabn{at}/{before}/{after}"]
-    if at == "first" and top is not None:
-        place.append(f"Py{int(top) // 200}")
-    if at == "last" and bottom is not None:
-        place.append(f"Pz{int(bottom) // 200}")
-    if edge is not None:
-        place.append(f"Pe{int(edge)}/{at}")
-    if number is not None:
-        place.append(f"Pp{number == 1}/{at}")
-    kind = _typography(s)
-    return ["L", *kind, *place, f"{kind[0]}/{before}/{after}"]
-
-
-def furniture(lines: list[str], title: str, known, reader: Perceptron | None, page: tuple) -> list[str | None]:
-    """`running_line`, `page_number` or None for each line; `known` tells by a line's key whether it recurs in its document alone."""
+    height = top if at == 0 else bottom if at == 1 else None
+    height = 15 if height is None else max(0, min(14, int(height) // 200))
+    edge = 4 if edge is None else int(edge)
+    number = 0 if number is None else 1 if number == 1 else 2
+    return large | signs << 3 | at << 6 | before << 9 | after << 12 | height << 15 | edge << 19 | number << 22
+
+
+@lru_cache(maxsize=100_000)
+def line_features(code: int) -> tuple[str, ...]:
+    """The features in a line's number: T for typography, P for the place on the page."""
+    large, signs, height, edge, number = code & 7, code >> 3 & 7, code >> 15 & 15, code >> 19 & 7, code >> 22 & 3
+    at, before, after = _AT[code >> 6 & 7], _BEFORE[code >> 9 & 7], _AFTER[code >> 12 & 7]
+    out = ["L", f"Tc{large}", f"Tu{signs & 1}", f"Ts{signs >> 1 & 1}", f"Tn{signs >> 2}", "Pa" + at, "Pb" + before, "Pn" + after, f"Pbn{before}/{after}", f"Pabn{at}/{before}/{after}", f"PTc{large}/{before}/{after}"]
+    if height < 15:
+        out.append(f"Ph{height}/{at}")
+    if edge < 4:
+        out.append(f"Pe{edge}/{at}")
+    if number:
+        out.append(f"Pp{number}/{at}")
+    return tuple(out)
+
+
+def furniture(lines: list[str], title: str, known=None) -> list[str | None]:
+    """`running_line`, `page_number` or None for each line; `known` tells by a line's key whether the line reader took it for furniture of its document."""
     out: list[str | None] = [None] * len(lines)
     filled = [i for i, x in enumerate(lines) if x and not x.isspace()]
     if not filled:
@@ -146,13 +184,12 @@ def furniture(lines: list[str], title: str, known, reader: Perceptron | None, pa
     for i in filled:
         s = lines[i].strip()
         if len(s) <= SHORT:
-            if PAGE_NUMBER.match(s):
+            if _is_number(s):
                 number[i] = True
             elif _headed(s):
-                bare = skeleton(s)
-                if _titled(bare, title):
+                if len(s) >= len(title) and _titled(skeleton(s), title):
                     out[i] = "running_line"
-                elif known(_line_key(s)) and reader and reader.lead(line_features(lines, i, filled[0], filled[-1], page), "furniture", "text") > 0:
+                elif known and known(_line_key(s)):
                     out[i] = "running_line"
     for k, i in enumerate(filled):
         if number[i]:
@@ -177,6 +214,11 @@ def _running(text: str) -> str:
     return _APART.sub(" ", text) if _APART_SIGN.search(text) else text
 
 
+def _may_be_spaced(words: list[str]) -> bool:
+    """Whether there are four words of one character, as a word spaced out by letters has."""
+    return sum(len(w) == 1 for w in words) >= 4
+
+
 def _break(line: str, following: str) -> str | None:
     """Key of a word broken between two lines: what stands before the sign, the sign, what follows."""
     line = line.rstrip(" \t")
@@ -189,46 +231,54 @@ def _break(line: str, following: str) -> str | None:
 
 
 class Reader:
-    """Reads texts with the verdicts of their corpus: `get(kind, key)` gives a verdict or None."""
-
-    def __init__(self, get, lines: Perceptron | None):
-        self.get, self.lines = get, lines
-
-    def marks(self, lines: list[str], title: str, doc, page: tuple) -> list[str | None]:
-        d = _hash(doc) if isinstance(doc, str) else 0
-        return furniture(lines, title, lambda k: self.get("f", f"{d}:{k}"), self.lines, page)
-
-    def breaks(self, lines: list[str]) -> list[int]:
-        """Indices of lines that end in a broken word whose rest starts the next line."""
-        out = []
-        for i in range(len(lines) - 1):
-            key = _break(lines[i], lines[i + 1])
-            if key and self.get("j", key):
-                out.append(i)
-        return out
+    """Reads texts with the verdicts of their corpus: for each kind a dict of keys to verdicts."""
+
+    def __init__(self, verdicts: dict[str, dict[str, str]]):
+        self.words, self.ends, self.apart = verdicts.get("w", {}), verdicts.get("j", {}), verdicts.get("s", {})
+        self.docs, self.furniture = verdicts.get("d", {}), verdicts.get("f", {})
+
+    def marks(self, lines: list[str], title: str, doc) -> list[str | None]:
+        known = None
+        if self.docs and isinstance(doc, str):
+            d = _hash(doc)
+            if str(d) in self.docs:
+                known = lambda k: f"{d}:{k}" in self.furniture
+        return furniture(lines, title, known)
+
+    def breaks(self, lines: list[str]) -> tuple[list[int], bool]:
+        """Indices of lines that end in a broken word whose rest starts the next line, and whether other lines end in a sign."""
+        out, stubs = [], False
+        for i, line in enumerate(lines):
+            if line.rstrip(" \t")[-1:] in _MARKED:
+                key = _break(line, lines[i + 1]) if i + 1 < len(lines) else None
+                if key and key in self.ends:
+                    out.append(i)
+                else:
+                    stubs = True
+        return out, stubs
 
     def spaced(self, text: str) -> list[tuple[int, int, str]]:
         """Words spaced out letter by letter: start, end, the word, mended."""
         out = []
         for m in _SPACED.finditer(text):
             w = _GAP.sub("", m.group())
-            better = self.get("s", w.lower())
+            better = self.apart.get(w.lower())
             if better:
                 out.append((m.start(), m.end(), w if better == w.lower() else better))
         return out
 
-    def kinds(self, text: str, title: str, doc, page: tuple) -> set[str]:
+    def kinds(self, text: str, title: str, doc) -> set[str]:
         lines = text.split("\n")
-        marks = self.marks(lines, title, doc, page)
+        marks = self.marks(lines, title, doc)
         got = {k for k in marks if k}
         own = [x for x, k in zip(lines, marks) if not k] if got else lines
-        broken = set(self.breaks(own))
-        if broken:
+        ends, stubs = self.breaks(own)
+        if ends:
             got.add("broken_word")
-        body = self._unbroken(own, broken)
+        body = self._unbroken(own, set(ends))
         # a stub before a sign at a line end, its rest elsewhere, is no word
-        words = set(WORD.findall(_running(_STUB.sub(" ", body)).lower()))
-        if any(self.get("w", w) for w in words) or self.spaced(body):
+        words = WORD.findall(_running(_STUB.sub(" ", body) if stubs else body).lower())
+        if not self.words.keys().isdisjoint(words) or _may_be_spaced(words) and self.spaced(body):
             got.add("misread")
         return got
 
@@ -242,12 +292,12 @@ class Reader:
             out.append(s.rstrip(" \t")[:-1] if i in broken else s + "\n")
         return "".join(out).removesuffix("\n")
 
-    def repair(self, text: str, title: str, doc, page: tuple) -> str:
+    def repair(self, text: str, title: str, doc) -> str:
         """The text without furniture, its words mended, its wrapped lines joined into paragraphs."""
         lines = text.split("\n")
-        marks = self.marks(lines, title, doc, page)
+        marks = self.marks(lines, title, doc)
         own = [x for x, k in zip(lines, marks) if not k]
-        broken = set(self.breaks(own))
+        broken = set(self.breaks(own)[0])
         wrapped = bool(broken) or len(own) < len(lines) or _wrapped(own)
         body = self._unbroken(own, broken)
         last, parts = 0, []
@@ -259,7 +309,7 @@ class Reader:
         return _paragraphs(body) if wrapped else body
 
     def _fix(self, word: str) -> str:
-        better = self.get("w", word.lower())
+        better = self.words.get(word.lower())
         if better is None:
             return word
         letters = [c for c in word if c.isalpha()]
@@ -298,6 +348,9 @@ def _page(pdf: pd.DataFrame):
     return [(none(p), none(t), none(b), none(e)) for p, t, b, e in zip(pdf["page_no"], pdf["top"], pdf["bottom"], pdf["edge"])]
 
 
+_LARGE = (1 << 63) - 1
+
+
 class _Sample:
     """The `size` examples with the smallest hashes."""
 
@@ -341,18 +394,17 @@ def _count_scan(batches):
         apart.clear()
 
     for pdf in batches:
-        docs, keys, recs = [], [], []
+        docs, keys, recs, codes = [], [], [], []
         for rec, doc, title, text, page in zip(pdf["record_key"], pdf["doc_id"], pdf["title"], pdf["text"], _page(pdf)):
             if not text:
                 continue
             low = text.lower()
-            words.update(WORD.findall(low))
+            found = WORD.findall(low)
+            words.update(found)
             if "-" in low:
-                for c in _COMPOUND.findall(low):
-                    p = c.split("-")
-                    words.update(a + "-" + b for a, b in zip(p, p[1:]))
-            for m in _SPACED.finditer(low):
-                apart.add(_GAP.sub("", m.group()))
+                words.update(_compounds(low))
+            if _may_be_spaced(found):
+                apart.update(_GAP.sub("", m.group()) for m in _SPACED.finditer(low))
             lines = text.split("\n")
             filled = [i for i, x in enumerate(lines) if x and not x.isspace()]
             name = title_of(title, doc)
@@ -367,19 +419,21 @@ def _count_scan(batches):
                 s = lines[i].strip()
                 if len(s) > SHORT:
                     continue
-                if PAGE_NUMBER.match(s):
+                if _is_number(s):
                     short.add(i)
-                elif isinstance(doc, str) and _headed(s):
+                elif d and _headed(s):
                     short.add(i)
-                    k = _line_key(s)
-                    titled = _titled(skeleton(s), bare)
+                    plain = skeleton(s)
+                    k = _line_key(s, plain)
+                    titled = _titled(plain, bare)
                     if not titled:
                         docs.append(d)
                         keys.append(k)
                         recs.append(r)
-                    samples["furniture" if titled else "text"].add(_hash(f"{r}:{i}:{k}"), lambda: (" ".join(line_features(lines, i, filled[0], filled[-1], page)), d, k))
+                        codes.append(line_code(lines, i, filled[0], filled[-1], page))
+                    samples["furniture" if titled else "text"].add(((k ^ r) + i) * 0x9E3779B97F4A7C15 & _LARGE, lambda: (line_code(lines, i, filled[0], filled[-1], page), d, k))
             for k, i in enumerate(filled[:-1]):
-                if lines[i].rstrip(" \t")[-1:] in MARKS:
+                if lines[i].rstrip(" \t")[-1:] in _MARKED:
                     # lines between that may prove to be furniture are stepped over
                     for j in filled[k + 1 :]:
                         if site := _break(lines[i], lines[j]):
@@ -389,12 +443,12 @@ def _count_scan(batches):
         if len(words) > 500_000:
             yield from flush()
         if docs:
-            yield pd.DataFrame({"kind": 0, "s": None, "n": 0, "a": docs, "b": keys, "c": recs})
+            yield pd.DataFrame({"kind": 0, "s": None, "n": codes, "a": docs, "b": keys, "c": recs})
     yield from flush()
     for label, sample in samples.items():
         sample.cut()
         if sample.rows:
-            out = rows(4, [f"{label} {f}" for _, (f, _, _) in sample.rows], 1)
+            out = rows(4, [label] * len(sample.rows), [code for _, (code, _, _) in sample.rows])
             out["c"] = [h for h, _ in sample.rows]
             out["a"], out["b"] = [d for _, (_, d, _) in sample.rows], [k for _, (_, _, k) in sample.rows]
             yield out
@@ -426,6 +480,13 @@ class Filter:
         return cls(bytes(bits), mask)
 
 
+def _by_kind(rows) -> dict[str, dict[str, str]]:
+    out: dict[str, dict[str, str]] = {}
+    for r in rows:
+        out.setdefault(r["kind"], {})[r["key"]] = r["value"]
+    return out
+
+
 class Scanned:
     """Records (place, record_key, doc_id, title, text, page_no, top, bottom, edge) with their corpus' editor and verdicts.
 
@@ -456,11 +517,11 @@ class Scanned:
         self.alone = cut(lines.where("docs = 1 and many").select("a", "b"))
         lines = []
         for label in ("furniture", "text"):
-            picked = seen.where((F.col("kind") == 4) & F.startswith("s", F.lit(label + " "))).orderBy("c", "s").limit(TRAIN_LINES)
+            picked = seen.where((F.col("kind") == 4) & (F.col("s") == label)).orderBy("c", "n").limit(TRAIN_LINES)
             # what recurs in one document may be furniture without a title, and is no example of text
-            picked = picked.join(self.alone, ["a", "b"], "left_anti").select("c", "s").orderBy("c", "s").collect()
-            lines += [(f, y) for y, *f in (r["s"].split(" ") for r in picked)]
-        self.lines = Perceptron.fit(lines, ["text", "furniture"], rng) if lines else None
+            picked = picked.join(self.alone, ["a", "b"], "left_anti").select("c", "n").orderBy("c", "n").collect()
+            lines += [(list(line_features(r["n"])), label) for r in picked]
+        self.lines = Perceptron.fit(lines, ["text", "furniture"], rng)
         self.seen, self.known = seen, known
 
     def fixes(self) -> DataFrame:
@@ -489,8 +550,20 @@ class Scanned:
         best = good.groupBy("s").agg(F.max(F.struct("lead", "n", "other")).alias("m"))
         return best.select("s", F.col("m.other").alias("better"), F.col("m.n").alias("n"))
 
+    def recurring(self) -> DataFrame:
+        """`a, b`: document and key of lines that recur in their document alone and that the line reader, over all the
+        places they stand at, takes for furniture."""
+        held = self.records.sparkSession.sparkContext.broadcast(self.lines)
+
+        def lead(batches):
+            for pdf in batches:
+                yield pdf[["a", "b"]].assign(lead=[held.value.lead(line_features(int(n)), "furniture", "text") for n in pdf["n"]])
+
+        at = bounded_join(self.seen.where("kind = 0").select("a", "b", "n"), self.alone, ["a", "b"])
+        return at.mapInPandas(lead, "a bigint, b bigint, lead double").groupBy("a", "b").agg(F.sum("lead").alias("lead")).where("lead > 0").select("a", "b")
+
     def verdicts(self) -> DataFrame:
-        """`kind, key, value`: words to change (w), line ends to join (j), spaced words (s), furniture that recurs (f)."""
+        """`kind, key, value`: words to change (w), line ends to join (j), spaced words (s), lines that recur in one document (f), and these documents (d)."""
         fixes = cut(self.fixes())
         held = self.records.sparkSession.sparkContext.broadcast(self.editor)
         sites = self.seen.where("kind = 2").select(F.col("s").alias("site")).distinct()
@@ -512,36 +585,37 @@ class Scanned:
         spaced = self.seen.where("kind = 3").select("s").distinct().join(self.counts, "s").join(fixes.select("s", "better"), "s", "left")
         spaced = spaced.where((F.col("n") >= LEAST) | F.col("better").isNotNull()).select(F.lit("s").alias("kind"), F.col("s").alias("key"), F.when(F.col("n") >= LEAST, F.col("s")).otherwise(F.col("better")).alias("value"))
         words = fixes.select(F.lit("w").alias("kind"), F.col("s").alias("key"), F.col("better").alias("value"))
-        return words.unionByName(joined).unionByName(spaced).unionByName(self.alone.select(F.lit("f").alias("kind"), F.concat_ws(":", "a", "b").alias("key"), F.lit("1").alias("value")))
+        lines = cut(self.recurring())
+        docs = lines.select(F.lit("d").alias("kind"), F.col("a").cast("string").alias("key"), F.lit("1").alias("value")).distinct()
+        return words.unionByName(joined).unionByName(spaced).unionByName(docs).unionByName(lines.select(F.lit("f").alias("kind"), F.concat_ws(":", "a", "b").alias("key"), F.lit("1").alias("value")))
 
     def _read(self, fn, schema: str) -> DataFrame:
         verdicts = cut(self.verdicts())
         sc = self.records.sparkSession.sparkContext
         names = [c.split()[0] for c in schema.split(",")]
-        lines = sc.broadcast(self.lines)
         if small_enough(verdicts, self.broadcast_bytes):
-            held = sc.broadcast({(r["kind"], r["key"]): r["value"] for r in verdicts.toLocalIterator()})
+            held = sc.broadcast(_by_kind(verdicts.toLocalIterator()))
             source = self.records
         else:
             held, source = None, self._with_verdicts(verdicts)
 
         def run(batches):
             titles: dict = {}
+            reader = Reader(held.value) if held else None
             for pdf in batches:
                 out = []
                 own = pdf["verdicts"] if held is None else [None] * len(pdf)
-                for place, rec, doc, title, text, page, given in zip(pdf["place"], pdf["record_key"], pdf["doc_id"], pdf["title"], pdf["text"], _page(pdf), own):
+                for place, rec, doc, title, text, given in zip(pdf["place"], pdf["record_key"], pdf["doc_id"], pdf["title"], pdf["text"], own):
                     if not text:
-                        out.extend(fn(None, place, rec, text, "", doc, page))
+                        out.extend(fn(None, place, rec, text, "", doc))
                         continue
-                    table = held.value if held else {(v["kind"], v["key"]): v["value"] for v in given} if given is not None else {}
                     name = title_of(title, doc)
                     if name not in titles:
                         if len(titles) > 100_000:
                             titles.clear()
                         titles[name] = skeleton(name)
-                    reader = Reader(lambda kind, key: table.get((kind, key)), lines.value)
-                    out.extend(fn(reader, place, rec, text, titles[name], doc, page))
+                    own_reader = reader or Reader(_by_kind(given if given is not None else ()))
+                    out.extend(fn(own_reader, place, rec, text, titles[name], doc))
                 yield pd.DataFrame(out, columns=names, dtype=object)
 
         return source.mapInPandas(run, schema)
@@ -557,9 +631,9 @@ class Scanned:
                     got = {("w", w) for w in WORD.findall(text.lower())} | {("s", _GAP.sub("", m.group()).lower()) for m in _SPACED.finditer(text)}
                     d = _hash(doc) if isinstance(doc, str) else 0
                     filled = [x for x in lines if x and not x.isspace()]
-                    got |= {("f", f"{d}:{_line_key(x.strip())}") for x in filled if _headed(x)}
+                    got |= {("d", str(d))} | {("f", f"{d}:{_line_key(x.strip())}") for x in filled if _headed(x)}
                     for k, x in enumerate(filled):
-                        if x.rstrip(" \t")[-1:] in MARKS:
+                        if x.rstrip(" \t")[-1:] in _MARKED:
                             sites = {_break(x, y) for y in filled[k + 1 :]} - {None}
                             got |= {("j", s) for s in sites} | {("w", "".join(s.split("\n")[0:3:2])) for s in sites}
                     out += [(rec, k, v) for k, v in got]
@@ -573,15 +647,15 @@ class Scanned:
     def found(self) -> DataFrame:
         """`place, record_key, kind`, distinct."""
 
-        def kinds(reader, place, rec, text, title, doc, page):
-            return [(place, rec, k) for k in sorted(reader.kinds(text, title, doc, page))] if reader else []
+        def kinds(reader, place, rec, text, title, doc):
+            return [(place, rec, k) for k in sorted(reader.kinds(text, title, doc))] if reader else []
 
         return self._read(kinds, "place string, record_key string, kind string").distinct()
 
     def repaired(self) -> DataFrame:
         """`place, record_key, clean_text` for every record."""
 
-        def mend(reader, place, rec, text, title, doc, page):
-            return [(place, rec, reader.repair(text, title, doc, page) if reader else text)]
+        def mend(reader, place, rec, text, title, doc):
+            return [(place, rec, reader.repair(text, title, doc) if reader else text)]
 
         return self._read(mend, "place string, record_key string, clean_text string")

@@ -94,7 +94,7 @@ def test_kinds_and_repair(spark):
         got = read(s.found())
         return {k for k in want if want[k] & kinds and not got[k] & kinds}
 
-    place = {f: i for f, i in s.lines.index.items() if f.startswith("P") or "/" in f}
+    place = {f: i for f, i in s.lines.index.items() if f.startswith("P")}
     kept = s.lines.weights.copy()
     for i in place.values():
         s.lines.weights[i] = 0
