@@ -50,7 +50,12 @@ def _route(kind: Column, is_title: Column, skip: Column) -> Column:
 
 
 def _level(content: Column) -> Column:
-    return F.greatest(F.coalesce(content["level"], F.lit(1)), F.lit(1))
+    return F.greatest(_given_level(content), F.lit(1))
+
+
+def _given_level(content: Column) -> Column:
+    """The level, which may come as text; 1 where there is none."""
+    return F.coalesce(content["level"].try_cast("int"), F.lit(1))
 
 
 def _context(pages: Column, page_type: str) -> Column:
@@ -100,7 +105,7 @@ def sectioned(files: DataFrame, key: str = "file_id", doc: str = "doc_id", pages
         _block_id(),
         title.alias("is_title"),
         title_text.alias("title_text"),
-        (title & (F.coalesce(c("level"), F.lit(1)) < 1)).alias("bad_level"),
+        (title & (_given_level(F.col("content")) < 1)).alias("bad_level"),
         F.size("section_path").alias("depth"),
         F.array_join("section_path", " > ").alias("section_title"),
         X.clean_text(raw).alias("text"),

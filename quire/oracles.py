@@ -455,3 +455,12 @@ SQL["readmes"] = """SELECT m.doc_id, '# ' || coalesce(doc_title, '') AS head, co
 _SENT = f"SELECT DISTINCT k.doc_id, chunk_id, page_no, content_type, section_title, chunk_text, image_path FROM kb_chunks k JOIN kb_manifest m ON m.doc_id = k.doc_id"
 SQL["written_chunks"] = f"SELECT chunk_id, page_no, content_type, {_title('section_title')} AS section_title, chunk_text, image_path FROM ({_SENT})"
 SQL["shared_chunks"] = f"SELECT replace(doc_title, '/', '_') AS title, count(*) AS lines, count(DISTINCT chunk_id) AS chunks FROM ({_SENT}) k JOIN kb_manifest m ON m.doc_id = k.doc_id WHERE doc_title IS NOT NULL GROUP BY 1"
+
+# The packager over files that exist as JSON text: the same SQL over their decoded pages, every good image path existing.
+_I = '[{"type":"VARCHAR","content":"VARCHAR"}]'
+_SHAPE = f'[[{{"type":"VARCHAR","bbox":["DOUBLE"],"content":{{"level":"INTEGER","title_content":{_I},"paragraph_content":{_I},"list_items":[{{"item_type":"VARCHAR","item_content":{_I}}}],"table_caption":{_I},"table_footnote":{_I},"html":"VARCHAR","image_source":{{"path":"VARCHAR"}},"image_caption":{_I},"image_footnote":{_I},"math_content":"VARCHAR"}}}}]]'
+_RAW = f"""WITH RECURSIVE content_list_v2 AS MATERIALIZED (SELECT file_id, doc_id, CASE WHEN json_type(j) = 'ARRAY' THEN json_transform(j, '{_SHAPE}') END AS pages
+  FROM (SELECT file_id, doc_id, CASE WHEN json_valid(body) THEN CAST(body AS JSON) END AS j FROM content_list_raw)),
+kb_chunks AS (SELECT doc_id, unnest(list_transform(flatten(pages), lambda b: b.content.image_source.path)) AS image_path FROM content_list_v2),
+"""
+SQL["packed_raw"] = SQL["packed_chunks"].replace("WITH RECURSIVE ", _RAW, 1).replace("final AS chunk_text, image_path FROM ch", "final AS chunk_text FROM ch")

@@ -62,9 +62,13 @@ def content_paths(dirs: DataFrame) -> DataFrame:
     return dirs.select("dirname", F.coalesce(F.col("files_used")["content_list_v2"], F.col("files_used")["content_list"]).alias("path"))
 
 
+#: Pages as they are decoded: levels come as numbers or as text.
+_DECODED = PAGES.simpleString().replace("level:int", "level:string")
+
+
 def decoded(files: DataFrame, body: str = "value") -> DataFrame:
     """`files` with `pages` out of JSON text; null where it cannot be decoded."""
-    return files.withColumn("pages", F.from_json(body, PAGES)).drop(body)
+    return files.withColumn("pages", F.from_json(body, _DECODED)).drop(body)
 
 
 def load_pages(spark: SparkSession, root: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
