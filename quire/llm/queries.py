@@ -133,11 +133,9 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Tokens, and whether decoding gives the text back, for every document."""
+    """Whether decoding the ids of every document gives its text back."""
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
-    coded = docs.select("doc_id", "text", enc.ids_column(F.col("text")).alias("ids"))
-    same = enc.text_column(F.col("ids")) == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", F.size("ids").cast("bigint").alias("tokens"), same.alias("same"))
+    return docs.select("doc_id", (enc.text_column(enc.ids_column(F.col("text"))) == F.coalesce("text", F.lit(""))).alias("same"))
 
 
 def _mixture(spark: SparkSession, d: str) -> mx.Mixture:
@@ -152,6 +150,16 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).shares()
 
 
+def p7_reached(spark: SparkSession, d: str) -> DataFrame:
+    """For each target source: whether it is present, within its cap, and within half a point of its share among those present."""
+    s = cut(_mixture(spark, d).shares())
+    # the broadcast side is a single row
+    present = F.col("tokens_available") > 0
+    whole = s.where(present).agg(F.sum("target_share").alias("whole"))
+    share = F.when(present, F.col("target_share") / F.col("whole")).otherwise(0.0)
+    return s.crossJoin(F.broadcast(whole)).select("source", present.alias("present"), (F.col("most_uses") <= F.col("max_repeats")).alias("within_cap"), (F.abs(F.col("actual_share") - share) <= 0.005).alias("reached"))
+
+
 def p7_sized(spark: SparkSession, d: str) -> DataFrame:
     """A mixture as large as all texts together: shares wanted and reached where small sources end at their caps."""
     docs = spread(table(spark, d, "documents").select("doc_id", "source", "text"))
@@ -185,7 +193,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    names = [p2_found, p2_members, p2_groups, p3_found, p3_lines, p3_republished, p3_clean, p4_found, p4_clean, p5_found, p5_clean, p5_wrappers, p6_ids, p6_round_trip, p7_mix, p7_shares, p7_sized, p8_found, p8_shares, p8_cutoffs, p8_heavy]
+    names = [p2_found, p2_members, p2_groups, p3_found, p3_lines, p3_republished, p3_clean, p4_found, p4_clean, p5_found, p5_clean, p5_wrappers, p6_ids, p6_round_trip, p7_mix, p7_shares, p7_reached, p7_sized, p8_found, p8_shares, p8_cutoffs, p8_heavy]
 
     def ready(f: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
