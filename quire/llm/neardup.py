@@ -15,8 +15,8 @@ sets reaches num/den.  The join is exact:
 * Runs that the sketch proves unique are never sent.
 * Candidates are verified on the texts themselves.
 
-Scale: the sketch grows with the input up to SLOTS_MOST counters of 32 bits, which bounds its broadcast; beyond
-that it only prunes less.  Texts are not shuffled to be posted.  A run in more than CELL classes (by the sketch,
+Scale: the sketch grows with the input up to SLOTS_MOST counters, summed in 32 bits and broadcast in a byte each;
+beyond that it only prunes less.  Texts are not shuffled to be posted.  A run in more than CELL classes (by the sketch,
 which never counts too few) is spread over as many cells of a grid as it takes, so that no cell holds more than about
 two parts of CELL and every pair of its classes meets exactly once; meetings are counted by pair with partial
 aggregation.  The rarest-first order keeps runs that a third of all texts share out of nearly every prefix.
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from quire.llm.shingle import mix64, overlaps, shingles
 from quire.runtime import bounded_join, cut, spread
 
-#: Counters of the sketch (powers of two): at least, and at most (128 MB in all).
+#: Counters of the sketch (powers of two): at least, and at most (32 MB in all, as they are broadcast).
 SLOTS_LEAST, SLOTS_MOST = 1 << 20, 1 << 25
 #: Pieces in which sketches travel.
 PIECES = 16
@@ -57,10 +57,31 @@ PART = 1024
 _FULL = 0xFFFFFFFF
 
 
+def _scale() -> np.ndarray:
+    """The counts that a byte of the broadcast sketch stands for: exact up to 16, then an eighth apart."""
+    out = list(range(17))
+    while out[-1] < _FULL:
+        out.append(out[-1] + max(1, out[-1] >> 3))
+    return np.array(out, dtype=np.int64)
+
+
+SCALE = _scale()
+
+
+class Sketch:
+    """How many classes of texts have a run: never too few, an eighth too many by rounding and more by clashes."""
+
+    def __init__(self, counts: np.ndarray):
+        self.codes = np.searchsorted(SCALE, counts).astype(np.uint8)
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        return SCALE[self.codes[_slot(h, len(self.codes))]]
+
+
 def slots_for(df: DataFrame) -> int:
-    """Size of the sketch for an input: about two counters for each byte that its files hold, by Spark's estimate."""
+    """Size of the sketch for an input: a counter for every 16 bytes of its files or more, by Spark's estimate."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(SLOTS_LEAST, min(SLOTS_MOST, 1 << max(0, 2 * size - 1).bit_length()))
+    return max(SLOTS_LEAST, min(SLOTS_MOST, 1 << (size // 16).bit_length()))
 
 
 def _slot(h: np.ndarray, slots: int) -> np.ndarray:
@@ -94,7 +115,7 @@ class _Fresh:
         return fresh
 
 
-def profile(df: DataFrame, key: str, text: str, width: int, min_words: int, slots: int | None = None) -> tuple[DataFrame, np.ndarray]:
+def profile(df: DataFrame, key: str, text: str, width: int, min_words: int, slots: int | None = None) -> tuple[DataFrame, Sketch]:
     """One pass over the texts: `id, fp, n, same` of each row (materialised) and the counting sketch of all runs.
 
     `fp` identifies the set of runs (64 bits of sum and product mixing over the set, joined with n), `same` the text.
@@ -134,7 +155,7 @@ def profile(df: DataFrame, key: str, text: str, width: int, min_words: int, slot
     parts = both.where("piece >= 0").select("piece", "counts").repartition(PIECES, "piece").mapInPandas(add, "piece int, counts binary")
     for r in parts.toLocalIterator():
         sketch[r["piece"] * step : (r["piece"] + 1) * step] = np.frombuffer(r["counts"], dtype=np.uint32)
-    return both.where("piece < 0").select("id", "fp", "n", "same"), sketch
+    return both.where("piece < 0").select("id", "fp", "n", "same"), Sketch(sketch)
 
 
 def _prefixes(doc, h, n, sketch, num, den):
@@ -142,7 +163,7 @@ def _prefixes(doc, h, n, sketch, num, den):
 
     Result: indices of texts, runs (in order), positions, and for each text its l.
     """
-    count = sketch[_slot(h, len(sketch))].astype(np.int64)
+    count = sketch(h)
     o = np.lexsort((h, count, doc))
     doc, h, count = doc[o], h[o], count[o]
     start = np.cumsum(n) - n
@@ -215,7 +236,7 @@ def _meet(key: np.ndarray, tag: np.ndarray, at: np.ndarray, num: int, den: int):
         yield np.minimum(tag[x[ok]], tag[y[ok]]), np.maximum(tag[x[ok]], tag[y[ok]]), need[ok]
 
 
-def candidates(rows: DataFrame, key: str, text: str, sketch: np.ndarray, width: int, min_words: int, num: int, den: int, cell: int = CELL) -> DataFrame:
+def candidates(rows: DataFrame, key: str, text: str, sketch: Sketch, width: int, min_words: int, num: int, den: int, cell: int = CELL) -> DataFrame:
     """Candidate pairs of tags `a <= b` (a tag is the upper 40 bits of a class's fingerprint).
 
     Every text of a scan partition is posted once for each class; equal postings of copies in other
@@ -236,7 +257,7 @@ def candidates(rows: DataFrame, key: str, text: str, sketch: np.ndarray, width:
             d, run, pos, ell = _prefixes(doc, h, n, held.value, num, den)
             at = (n[d] << _N) | (pos << _POS) | ell[d]
             tag = (fp >> np.uint64(24)).astype(np.int64)[d]
-            k, t, a = _cells((run >> np.uint64(1)).astype(np.int64), tag, at, held.value[_slot(run, len(held.value))].astype(np.int64), cell)
+            k, t, a = _cells((run >> np.uint64(1)).astype(np.int64), tag, at, held.value(run), cell)
             yield pd.DataFrame({"key": k, "tag": t, "at": a})
 
     def meet(batches):

@@ -151,6 +151,12 @@ def test_a_run_of_very_many_texts_is_split_evenly():
         assert len(common) == 1
 
 
+def test_sketch_never_counts_too_few():
+    counts = np.array([0, 1, 2, 15, 16, 17, 100, 65_535, 65_536, 10**7, 4_294_967_295])
+    got = N.SCALE[N.Sketch(counts).codes]
+    assert len(N.SCALE) <= 256 and (got >= counts).all() and (got[:5] == counts[:5]).all() and (got <= counts * 1.13 + 1).all()
+
+
 def test_hot_runs_lose_no_pair(spark):
     texts = corpus(90, 3)
     texts = {i: f"all of these texts start alike {t}" for i, t in texts.items()}
