@@ -85,6 +85,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def wide(df: DataFrame, *columns: str) -> DataFrame:
+    """`df` by `columns` over all shuffle partitions, however few bytes it has: for rows that are small but costly."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *columns)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared checkpoint folder, so that a lost executor loses nothing."""
     ensure_checkpoint_dir(df.sparkSession)
