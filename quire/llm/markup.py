@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.lexer import HINT, VOID, Token, tokens
-from quire.runtime import cut
+from quire.runtime import cut, wide
 
 #: Longest sequence of parts a wrapper keeps in order; a longer one becomes a repeated group of optional parts.
 LONGEST = 48
@@ -307,8 +307,8 @@ def wrappers(records: DataFrame, salts: int = 16) -> DataFrame:
     """`host, root, wrapper` (JSON) inferred from all `records` (host, text), whatever their order."""
     shapes = hinted(records.select("host", "text")).mapInPandas(_wrap_scan, _SCHEMA).distinct()
     salted = shapes.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(salts)).cast("int"))
-    first = salted.repartition("host", "root", "part").sortWithinPartitions("host", "root", "part", "wrapper").mapInPandas(_wrap_merge, _SCHEMA + ", part int")
-    second = first.repartition("host", "root").sortWithinPartitions("host", "root", "part").withColumn("part", F.lit(0))
+    first = wide(salted, "host", "root", "part").sortWithinPartitions("host", "root", "part", "wrapper").mapInPandas(_wrap_merge, _SCHEMA + ", part int")
+    second = wide(first, "host", "root").sortWithinPartitions("host", "root", "part").withColumn("part", F.lit(0))
     return second.mapInPandas(_wrap_merge, _SCHEMA + ", part int").drop("part")
 
 

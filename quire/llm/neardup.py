@@ -11,7 +11,8 @@ sets reaches num/den.  The join is exact:
   prefix by its own l, the one with the least estimated cost: postings touched (from the sketch) plus
   verifications expected, which fall by RATE with every further match required.
 * Postings (run, text) meet by run in one shuffle; a meeting counts only if it lies within both prefixes
-  at the l of that pair, and a pair becomes a candidate at l or more meetings.
+  at the l of that pair, at positions that leave room for alpha shared runs, and a pair becomes a candidate at
+  l or more meetings.
 * Runs that the sketch proves unique are never sent.
 * Candidates are verified on the texts themselves.
 
@@ -45,7 +46,7 @@ PIECES = 16
 #: Longest lengthening of a prefix.
 MOST = 8
 #: Share of candidates that also have a further match, and cost of verifying one in postings touched.
-RATE, VERIFY = 0.12, 200.0
+RATE, VERIFY = 0.05, 200.0
 #: Texts of one run that meet in one cell; hotter runs are spread over a grid of cells.
 CELL = 4096
 #: Byte-identical texts of up to this many ids are written out as all their pairs where stars are asked for.
@@ -233,6 +234,8 @@ def _meet(key: np.ndarray, tag: np.ndarray, at: np.ndarray, num: int, den: int):
         alpha = (num * (n[x] + n[y]) + num + den - 1) // (num + den)
         need = np.minimum(np.minimum(ell[x], ell[y]), alpha)
         ok = (pos[x] < n[x] - alpha + need) & (pos[y] < n[y] - alpha + need)
+        # what comes before and after a shared run in both orders bounds what the two can share at all
+        ok &= np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y]) >= alpha
         yield np.minimum(tag[x[ok]], tag[y[ok]]), np.maximum(tag[x[ok]], tag[y[ok]]), need[ok]
 
 

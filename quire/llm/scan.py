@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.editor import Perceptron, edit_features, join_features, train_chars, train_moves, wanted_counts
-from quire.runtime import BROADCAST_BYTES, bounded_join, cut, small_enough, spread
+from quire.runtime import BROADCAST_BYTES, bounded_join, cut, small_enough, spread, wide
 
 #: Words and compounds the editor is trained on, and lines of either kind the line reader is, at most.
 TRAIN_WORDS, TRAIN_COMPOUNDS, TRAIN_LINES = 2000, 400, 3000
@@ -544,7 +544,7 @@ class Scanned:
 
         mixed = ~F.col("s").rlike(r"^\p{L}+$")
         words = self.counts.where(F.col("s").rlike(r"\p{L}") & ~F.col("s").contains("-") & ((F.length("s") >= 4) | mixed & (F.length("s") >= 3)))
-        pairs = words.mapInPandas(propose, "s string, own bigint, other string, cost double, edits int")
+        pairs = wide(words, "s").mapInPandas(propose, "s string, own bigint, other string, cost double, edits int")
         both = pairs.join(self.counts.select(F.col("s").alias("other"), "n"), "other").where((F.col("n") >= LEAST) & (F.col("n") > F.col("own")))
         good = both.select("s", "own", "other", "n", "cost", "edits").mapInPandas(decide, "s string, other string, n bigint, lead double")
         best = good.groupBy("s").agg(F.max(F.struct("lead", "n", "other")).alias("m"))
