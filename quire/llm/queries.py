@@ -151,13 +151,13 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_reached(spark: SparkSession, d: str) -> DataFrame:
-    """For each target source: whether it is present, within its cap, and within half a point of its share among those present."""
+    """For each target source: whether it is present, within its cap, and within half a point, or two slots, of its share among those present."""
     s = cut(_mixture(spark, d).shares())
     # the broadcast side is a single row
     present = F.col("tokens_available") > 0
-    whole = s.where(present).agg(F.sum("target_share").alias("whole"))
+    whole = s.where(present).agg(F.sum("target_share").alias("whole"), F.sum("slots").alias("all_slots"))
     share = F.when(present, F.col("target_share") / F.col("whole")).otherwise(0.0)
-    return s.crossJoin(F.broadcast(whole)).select("source", present.alias("present"), (F.col("most_uses") <= F.col("max_repeats")).alias("within_cap"), (F.abs(F.col("actual_share") - share) <= 0.005).alias("reached"))
+    return s.crossJoin(F.broadcast(whole)).select("source", present.alias("present"), (F.col("most_uses") <= F.col("max_repeats")).alias("within_cap"), (F.abs(F.col("actual_share") - share) <= F.greatest(F.lit(0.005), 2 / F.col("all_slots"))).alias("reached"))
 
 
 def p7_sized(spark: SparkSession, d: str) -> DataFrame:

@@ -128,9 +128,19 @@ def _compounds(low: str) -> list[str]:
     return out
 
 
-def _titled(bare: str, title: str) -> bool:
-    """Whether a line's skeleton is little more than the title's."""
-    return len(title) >= 6 and title in bare and len(bare) <= len(title) + 14
+def _plain(s: str) -> str:
+    """A skeleton in which only single characters are made equal, as a pair may have come about by misreading one."""
+    return _NOLETTER.sub("", s.lower()).translate(_FOLD)
+
+
+def title_keys(title: str) -> tuple[str, str]:
+    return skeleton(title), _plain(title)
+
+
+def _titled(line: str, bare: str, title: tuple[str, str]) -> bool:
+    """Whether a line (with its skeleton `bare`) is little more than the title, by either skeleton."""
+    own, plain = title
+    return len(own) >= 6 and len(bare) <= len(own) + 14 and (own in bare or plain in _plain(line))
 
 
 # ---- lines of a page ---------------------------------------------------------------------------------
@@ -144,7 +154,8 @@ def line_code(lines: list[str], i: int, lo: int, hi: int, page: tuple) -> int:
     are not blank, what stands before and after it, and where its block stands on the page."""
     s = lines[i].strip()
     letters = [w for w in s.split() if w.upper() != w.lower()]
-    large = sum(w != w.lower() for w in letters) * 4 // max(1, len(letters))
+    share = sum(w != w.lower() for w in letters) / max(1, len(letters))
+    large = share >= 0.55
     signs = (s.upper() == s) | (any(c in "|•–—·" for c in s) or "   " in s) << 1 | s[0].isdigit() << 2
     at = 0 if i == lo else 1 if i == hi else 2 if i == lo + 1 else 3 if i == hi - 1 else 4
     p = lines[i - 1].strip() if i else None
@@ -156,7 +167,7 @@ def line_code(lines: list[str], i: int, lo: int, hi: int, page: tuple) -> int:
     height = 15 if height is None else max(0, min(14, int(height) // 200))
     edge = 4 if edge is None else int(edge)
     number = 0 if number is None else 1 if number == 1 else 2
-    return large | signs << 3 | at << 6 | before << 9 | after << 12 | height << 15 | edge << 19 | number << 22
+    return int(large) | signs << 3 | at << 6 | before << 9 | after << 12 | height << 15 | edge << 19 | number << 22
 
 
 @lru_cache(maxsize=100_000)
@@ -174,7 +185,7 @@ def line_features(code: int) -> tuple[str, ...]:
     return tuple(out)
 
 
-def furniture(lines: list[str], title: str, known=None) -> list[str | None]:
+def furniture(lines: list[str], title: tuple[str, str], known=None) -> list[str | None]:
     """`running_line`, `page_number` or None for each line; `known` tells by a line's key whether the line reader took it for furniture of its document."""
     out: list[str | None] = [None] * len(lines)
     filled = [i for i, x in enumerate(lines) if x and not x.isspace()]
@@ -187,7 +198,7 @@ def furniture(lines: list[str], title: str, known=None) -> list[str | None]:
             if _is_number(s):
                 number[i] = True
             elif _headed(s):
-                if len(s) >= len(title) and _titled(skeleton(s), title):
+                if len(s) >= len(title[0]) and _titled(s, skeleton(s), title):
                     out[i] = "running_line"
                 elif known and known(_line_key(s)):
                     out[i] = "running_line"
@@ -237,7 +248,7 @@ class Reader:
         self.words, self.ends, self.apart = verdicts.get("w", {}), verdicts.get("j", {}), verdicts.get("s", {})
         self.docs, self.furniture = verdicts.get("d", {}), verdicts.get("f", {})
 
-    def marks(self, lines: list[str], title: str, doc) -> list[str | None]:
+    def marks(self, lines: list[str], title: tuple[str, str], doc) -> list[str | None]:
         known = None
         if self.docs and isinstance(doc, str):
             d = _hash(doc)
@@ -267,7 +278,7 @@ class Reader:
                 out.append((m.start(), m.end(), w if better == w.lower() else better))
         return out
 
-    def kinds(self, text: str, title: str, doc) -> set[str]:
+    def kinds(self, text: str, title: tuple[str, str], doc) -> set[str]:
         lines = text.split("\n")
         marks = self.marks(lines, title, doc)
         got = {k for k in marks if k}
@@ -292,7 +303,7 @@ class Reader:
             out.append(s.rstrip(" \t")[:-1] if i in broken else s + "\n")
         return "".join(out).removesuffix("\n")
 
-    def repair(self, text: str, title: str, doc) -> str:
+    def repair(self, text: str, title: tuple[str, str], doc) -> str:
         """The text without furniture, its words mended, its wrapped lines joined into paragraphs."""
         lines = text.split("\n")
         marks = self.marks(lines, title, doc)
@@ -412,7 +423,7 @@ def _count_scan(batches):
             if bare is None:
                 if len(titles) > 100_000:
                     titles.clear()
-                bare = titles[name] = skeleton(name)
+                bare = titles[name] = title_keys(name)
             d, r = (_hash(doc), _hash(rec)) if isinstance(doc, str) else (0, 0)
             short = set()
             for i in filled:
@@ -425,7 +436,7 @@ def _count_scan(batches):
                     short.add(i)
                     plain = skeleton(s)
                     k = _line_key(s, plain)
-                    titled = _titled(plain, bare)
+                    titled = _titled(s, plain, bare)
                     if not titled:
                         docs.append(d)
                         keys.append(k)
@@ -521,7 +532,7 @@ class Scanned:
             # what recurs in one document may be furniture without a title, and is no example of text
             picked = picked.join(self.alone, ["a", "b"], "left_anti").select("c", "n").orderBy("c", "n").collect()
             lines += [(list(line_features(r["n"])), label) for r in picked]
-        self.lines = Perceptron.fit(lines, ["text", "furniture"], rng)
+        self.lines = Perceptron.fit(lines, ["text", "furniture"], rng, epochs=10)
         self.seen, self.known = seen, known
 
     def fixes(self) -> DataFrame:
@@ -560,7 +571,7 @@ class Scanned:
                 yield pdf[["a", "b"]].assign(lead=[held.value.lead(line_features(int(n)), "furniture", "text") for n in pdf["n"]])
 
         at = bounded_join(self.seen.where("kind = 0").select("a", "b", "n"), self.alone, ["a", "b"])
-        return at.mapInPandas(lead, "a bigint, b bigint, lead double").groupBy("a", "b").agg(F.sum("lead").alias("lead")).where("lead > 0").select("a", "b")
+        return at.mapInPandas(lead, "a bigint, b bigint, lead double").groupBy("a", "b").agg(F.avg("lead").alias("lead")).where("lead > 0").select("a", "b")
 
     def verdicts(self) -> DataFrame:
         """`kind, key, value`: words to change (w), line ends to join (j), spaced words (s), lines that recur in one document (f), and these documents (d)."""
@@ -607,13 +618,13 @@ class Scanned:
                 own = pdf["verdicts"] if held is None else [None] * len(pdf)
                 for place, rec, doc, title, text, given in zip(pdf["place"], pdf["record_key"], pdf["doc_id"], pdf["title"], pdf["text"], own):
                     if not text:
-                        out.extend(fn(None, place, rec, text, "", doc))
+                        out.extend(fn(None, place, rec, text, ("", ""), doc))
                         continue
                     name = title_of(title, doc)
                     if name not in titles:
                         if len(titles) > 100_000:
                             titles.clear()
-                        titles[name] = skeleton(name)
+                        titles[name] = title_keys(name)
                     own_reader = reader or Reader(_by_kind(given if given is not None else ()))
                     out.extend(fn(own_reader, place, rec, text, titles[name], doc))
                 yield pd.DataFrame(out, columns=names, dtype=object)
