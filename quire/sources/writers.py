@@ -7,6 +7,9 @@ Paths may name any file system that Arrow knows.
 
 from __future__ import annotations
 
+import re
+import uuid
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +24,19 @@ FILES = {"chunks_jsonl": "kb_chunks.jsonl", "manifest": "kb_manifest.json", "rea
 CATEGORIES = ("missing_images", "skipped_blocks", "unsupported_blocks", "parse_errors")
 
 
+def _located(name: str):
+    """File system and path of a full path, which may hold any characters and need not be escaped as URIs are."""
+    from pyarrow import fs
+
+    m = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(//[^/]*)?(/.*)", name, re.S)
+    if m is None:
+        return fs.LocalFileSystem(), name
+    if m.group(1).lower() == "file":
+        return fs.LocalFileSystem(), m.group(3)
+    system, root = fs.FileSystem.from_uri(f"{m.group(1)}:{m.group(2) or '//'}/")
+    return system, root.rstrip("/") + m.group(3)
+
+
 def write_lines(rows: DataFrame, order: list[str]) -> DataFrame:
     """Write the `line`s of every `file` (a full path) in `order`; gives `file, lines` of the files written.
 
@@ -29,10 +45,6 @@ def write_lines(rows: DataFrame, order: list[str]) -> DataFrame:
     """
 
     def run(batches):
-        import uuid
-
-        from pyarrow import fs
-
         current, sink, count, done = None, None, 0, []
 
         def close():
@@ -48,7 +60,7 @@ def write_lines(rows: DataFrame, order: list[str]) -> DataFrame:
             for name, line in zip(pdf["file"], pdf["line"]):
                 if name != current:
                     close()
-                    system, target = fs.FileSystem.from_uri(name) if "://" in name or name.startswith("file:") else (fs.LocalFileSystem(), name)
+                    system, target = _located(name)
                     system.create_dir(target.rsplit("/", 1)[0], recursive=True)
                     temporary = f"{target}.{uuid.uuid4().hex}"
                     current, count, sink = name, 0, (system, temporary, target, system.open_output_stream(temporary))

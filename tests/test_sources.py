@@ -61,6 +61,15 @@ def test_cli_run(spark, tmp_path):
     assert "weak figures left out: 1" in cli.report(total)
 
 
+def test_lines_go_to_files_of_any_name(spark, tmp_path):
+    root = f"file://{tmp_path}/out put"
+    rows = [(f"{root}/a ü%20+.jsonl", 2, "zwei"), (f"{root}/a ü%20+.jsonl", 1, "eins"), (f"{tmp_path}/plain.jsonl", 1, "x"), (f"{root}/empty", 1, None), (None, 1, "lost")]
+    done = W.write_lines(spark.createDataFrame(rows, "file string, seq int, line string"), ["seq"]).collect()
+    assert {(r.file, r.lines) for r in done} == {(rows[0][0], 2), (rows[2][0], 1), (rows[3][0], 0)}
+    assert (tmp_path / "out put/a ü%20+.jsonl").read_text() == "eins\nzwei\n" and (tmp_path / "plain.jsonl").read_text() == "x\n" and (tmp_path / "out put/empty").read_text() == ""
+    assert len(list((tmp_path / "out put").iterdir())) == 2
+
+
 def test_default_folder(spark, tmp_path):
     folder(tmp_path, A, content_list_v2__json=json.dumps(golden.PAGES))
     cli.run(spark, str(tmp_path))
